@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, row_key, table
+from .common import cut, table
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,10 +27,9 @@ def known_language(spark, docs, sf_dir):
 
 def distinct_texts(spark, docs, sf_dir):
     """Of texts equal but for white space, the longest, then the smallest doc_id."""
-    from .exact_dedup import exact_duplicates
+    from .exact_dedup import distinct_documents
 
-    gone = exact_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    return distinct_documents(docs)
 
 
 def one_of_each_group(spark, docs, sf_dir):
@@ -46,7 +45,7 @@ def without_repeats(spark, docs, sf_dir):
     from .substring_dedup import remove_repeats
 
     out = remove_repeats(docs).where("n_removed = 0 or length(trim(text)) > 0")
-    return out.select(*docs.columns)
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def packed(spark, docs, sf_dir):

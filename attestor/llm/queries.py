@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
+from . import exact_dedup
 from .common import table
 
 
@@ -21,10 +22,10 @@ QUERIES = {
     "op4_fingerprints": _of("fingerprints", "fingerprint_report"),
     "op5_ngram_jaccard_join": _of("ngram_join", "ngram_components"),
     "op6_best_fit_packing": _of("packing", "packed_pieces"),
-    "op7_exact_dedup": _of("exact_dedup", "exact_duplicates"),
+    "op7_exact_dedup": _of("exact_dedup", "exact_duplicates_report"),
     "op8_token_counts": _of("token_counts", "token_counts"),
     "op9_byte_bpe": _of("byte_bpe", "encode_decode_digests"),
     "op10_html_extraction": _of("html_wrappers", "main_texts", "pages"),
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op7_exact_dedup": exact_dedup.SQL}
