@@ -28,11 +28,11 @@ _FOUND = "kind int, doc_id long, row long, h long, text_sha256 string, n_chars l
 
 
 def golomb(values: np.ndarray) -> bytes:
-    """Sorted distinct uint64 values as a Rice code of their gaps; 16 bytes of head: how many, and the parameter."""
+    """Sorted distinct uint64 values as a Rice code of their gaps, behind a head: how many, the parameter, the first."""
     if not len(values):
-        return np.array([0, 0], "<u8").tobytes()
-    gaps = np.diff(values, prepend=np.uint64(0))
-    mean = int(values[-1]) // len(values)
+        return np.array([0, 0, 0], "<u8").tobytes()
+    gaps = np.diff(values, prepend=values[:1])
+    mean = int(values[-1] - values[0]) // len(values)
     k = max(0, min(58, mean.bit_length() - 1))
     high, low = (gaps >> np.uint64(k)).astype(np.int64), gaps & np.uint64((1 << k) - 1)
     size = high + 1 + k
@@ -41,14 +41,14 @@ def golomb(values: np.ndarray) -> bytes:
     bits[start + high] = 1  # the unary part: as many zeros as high, then a one
     for j in range(k):
         bits[start + high + 1 + j] = (low >> np.uint64(k - 1 - j)).astype(np.uint8) & 1
-    return np.array([len(values), k], "<u8").tobytes() + np.packbits(bits).tobytes()
+    return np.array([len(values), k, values[0]], "<u8").tobytes() + np.packbits(bits).tobytes()
 
 
 def ungolomb(payload: bytes) -> np.ndarray:
-    n, k = (int(x) for x in np.frombuffer(payload, "<u8", 2))
+    n, k, first = (int(x) for x in np.frombuffer(payload, "<u8", 3))
     if not n:
         return np.zeros(0, np.uint64)
-    bits = np.unpackbits(np.frombuffer(payload, np.uint8, offset=16))
+    bits = np.unpackbits(np.frombuffer(payload, np.uint8, offset=24))
     ones = np.flatnonzero(bits).tolist()
     ends, start, i = np.empty(n, np.int64), 0, 0
     high = np.empty(n, np.uint64)
@@ -61,7 +61,7 @@ def ungolomb(payload: bytes) -> np.ndarray:
     low = np.zeros(n, np.uint64)
     for j in range(k):
         low = low << np.uint64(1) | bits[ends + 1 + j].astype(np.uint64)
-    return np.cumsum(high << np.uint64(k) | low, dtype=np.uint64)
+    return np.cumsum(high << np.uint64(k) | low, dtype=np.uint64) + np.uint64(first)
 
 
 def _send(owners: int):
