@@ -138,7 +138,7 @@ def slash_expand(x: Column | str) -> Column:
 
 def wildcard_match(name: Column | str, pattern: Column | str) -> Column:
     """Whether a name fits a pattern in which x is one capital or digit."""
-    return _c(name).rlike(F.concat(F.lit("^"), F.replace(_c(pattern), F.lit("x"), F.lit("[A-Z0-9]")), F.lit("$")))
+    return F.rlike(_c(name), F.concat(F.lit("^"), F.replace(_c(pattern), F.lit("x"), F.lit("[A-Z0-9]")), F.lit("$")))
 
 
 def natural_key(x: Column | str) -> list[Column]:
