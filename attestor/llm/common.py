@@ -161,6 +161,39 @@ def shingles(buf: np.ndarray, offs: np.ndarray, width: int = 5) -> tuple[np.ndar
     return out, out_at
 
 
-def row_key(df: DataFrame, text: str = "text") -> DataFrame:
-    """Adds _h, a hash of the text: (doc_id, _h) names a row, and rows that share both are repeats of one row."""
-    return df.withColumn("_h", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names that df has no column of, whatever their case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+        taken.add(name.lower())
+    return out
+
+
+#: Bits of the filter of possible(): its size whatever the tables'.
+FILTER_BITS = 1 << 24
+
+
+def possible(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows of df whose key may be among the one column of wanted, by a broadcast bitmap of fixed size.
+
+    A sieve before a join, which still has to follow: it keeps most of a wide table out of the join's shuffle, less so
+    the more keys there are.  Null keys pass.
+    """
+    slot = F.pmod(F.xxhash64(F.col(wanted.columns[0])), F.lit(FILTER_BITS)) + 1
+    parts = wanted.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect()
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in parts:
+        own = np.frombuffer(bytes(r["bits"]), np.uint8)
+        at = (r["part"] - 1) * len(own)
+        bits[at : at + len(own)] = own
+    shared = df.sparkSession.sparkContext.broadcast(bits)
+
+    @F.arrow_udf("boolean")
+    def may(slots: pa.Array) -> pa.Array:
+        at = slots.to_numpy(zero_copy_only=False).astype(np.int64)
+        return pa.array((shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0)
+
+    return df.where(may(F.pmod(F.xxhash64(F.col(key)), F.lit(FILTER_BITS))) | F.col(key).isNull())

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, cut, text_rows
+from .common import SPACES, cut, fresh, text_rows
 
 OWNERS = 64
 _FOUND = "kind int, doc_id long, row long, h long, text_sha256 string, n_chars long, src int, owner int, slot int, twice boolean, payload binary"
@@ -156,12 +156,14 @@ def exact_duplicates_report(docs: DataFrame) -> DataFrame:
 
 def distinct_documents(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, with all columns."""
-    stays = exact_duplicates(docs).groupBy(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).agg(F.max("kept").alias("_kept"), F.count("*").alias("_n"))
-    gone = stays.where("not _kept or _n > 1")
-    marked = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    away = marked.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_h")), "left_anti")
-    again = marked.join(gone.where("_kept"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_h")), "left_semi").dropDuplicates(["doc_id", "_key"])
-    return away.unionByName(again).drop("_key")
+    key, i, h, kept, n = fresh(docs, "key", "id", "hash", "kept", "copies")
+    stays = exact_duplicates(docs).groupBy(F.col("doc_id").alias(i), F.col("h").alias(h)).agg(F.max("kept").alias(kept), F.count("*").alias(n))
+    gone = stays.where(~F.col(kept) | (F.col(n) > 1))
+    marked = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit(""))))
+    same = F.col("doc_id").eqNullSafe(F.col(i)) & (F.col(key) == F.col(h))
+    away = marked.join(gone, same, "left_anti")
+    again = marked.join(gone.where(kept), same, "left_semi").dropDuplicates(["doc_id", key])
+    return away.unionByName(again).drop(key)
 
 
 SQL = """

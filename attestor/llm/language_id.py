@@ -172,10 +172,10 @@ def scores(model: Model, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray,
     return p.argmax(1), p.max(1), letters
 
 
-def predict(docs: DataFrame, model: Model | None, columns: list[str]) -> DataFrame:
-    """The columns of docs with _lang, _score and _rejected."""
+def predict(docs: DataFrame, model: Model | None, out: str) -> DataFrame:
+    """docs with a struct of lang, score and rejected."""
     if model is None:
-        return docs.select(*columns, F.lit(UND).alias("_lang"), F.lit(0.0).alias("_score"), F.lit(True).alias("_rejected"))
+        return docs.withColumn(out, F.struct(F.lit(UND).alias("lang"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected")))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("struct<lang: string, score: double, rejected: boolean>")
@@ -191,12 +191,11 @@ def predict(docs: DataFrame, model: Model | None, columns: list[str]) -> DataFra
         rejected = (score < m.least) | (score == 0)
         return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(score), pa.array(rejected)], ["lang", "score", "rejected"])
 
-    marked = docs.select(*columns, language("text").alias("_found"))
-    return marked.select(*columns, F.col("_found.lang").alias("_lang"), F.col("_found.score").alias("_score"), F.col("_found.rejected").alias("_rejected"))
+    return docs.withColumn(out, language("text"))
 
 
 def language_predictions(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score and rejected of every row of docs (doc_id, text, lang)."""
-    out = predict(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), train(docs), ["doc_id", "text"])
+    out = predict(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), train(docs), "found")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
-    return out.select("doc_id", held_out.alias("held_out"), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"), F.col("_rejected").alias("rejected"))
+    return out.select("doc_id", held_out.alias("held_out"), F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"), F.col("found.rejected").alias("rejected"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, fresh, table
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,8 +21,8 @@ def known_language(spark, docs, sf_dir):
     """Documents whose language is known with calibrated confidence."""
     from .language_id import predict, train
 
-    marked = predict(docs, train(docs), columns=docs.columns)
-    return marked.where("not _rejected").select(*docs.columns)
+    (found,) = fresh(docs, "found")
+    return predict(docs, train(docs), found).where(~F.col(found)["rejected"]).select(*docs.columns)
 
 
 def distinct_texts(spark, docs, sf_dir):
@@ -36,16 +36,21 @@ def one_of_each_group(spark, docs, sf_dir):
     """Of linked documents, the one with the smallest doc_id."""
     from .ngram_join import ngram_components
 
-    gone = ngram_components(docs).where("component_id <> doc_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    (other,) = fresh(docs, "gone")
+    gone = ngram_components(docs).where("component_id <> doc_id").select(F.col("doc_id").alias(other))
+    return docs.join(gone, F.col("doc_id") == F.col(other), "left_anti")
 
 
 def without_repeats(spark, docs, sf_dir):
     """Documents without passages that an earlier document has; what is left empty by that goes."""
     from .substring_dedup import remove_repeats
 
-    out = remove_repeats(docs).where("n_removed = 0 or length(trim(text)) > 0")
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    (removal,) = fresh(docs, "removal")
+    changed = F.col(removal)["n_removed"] > 0
+    out = remove_repeats(docs, removal).where(~changed | (F.length(F.trim("text")) > 0))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
 
 
 def packed(spark, docs, sf_dir):

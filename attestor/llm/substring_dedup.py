@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _BINV, _power, mix, slices, spans_hash, text_rows, words
+from .common import _BINV, _power, fresh, mix, slices, spans_hash, text_rows, words
 
 MIN_WORDS = 25
 _LAST = (1 << 63) - 1
@@ -120,28 +120,26 @@ def _cut(text: pa.Array, places: pa.Array, firsts: pa.Array, least: int):
     return pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.array(spans, pa.int64()), pa.array(chars, pa.int64()), pa.array(said, pa.string())], ["text", "n_removed", "removed_chars", "removed"])
 
 
-def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """docs with text cut, and n_removed, removed_chars, removed ('start+length<first document', by ';')."""
-    columns = docs.columns
-    keyed = docs.withColumn("_rank", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))).withColumn("_h", F.hash(F.coalesce("text", F.lit(""))))
-    rows = keyed.select("_rank", "_h", "text").mapInArrow(_units, "rank long, h int, place int, d1 long, d2 int, again boolean")
+def remove_repeats(docs: DataFrame, out: str, min_words: int = MIN_WORDS) -> DataFrame:
+    """docs with text cut, and a struct of n_removed, removed_chars, removed ('start+length<first document', by ';')."""
+    rank, h, r, g, places, firsts = fresh(docs.withColumn(out, F.lit(0)), "rank", "hash", "r", "g", "places", "firsts")
+    keyed = docs.withColumn(rank, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))).withColumn(h, F.hash(F.coalesce("text", F.lit(""))))
+    rows = keyed.select(rank, h, "text").mapInArrow(_units, "rank long, h int, place int, d1 long, d2 int, again boolean")
     groups = rows.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min("rank").alias("first")).where("n > 1").drop("n")
     marks = rows.join(groups, ["d1", "d2"]).where("rank <> first or again").select("rank", "h", "place", "first").distinct()
-    lists = marks.groupBy("rank", "h").agg(F.array_sort(F.collect_list(F.struct("place", "first"))).alias("_marks"))
-    lists = lists.select(F.col("rank").alias("_r"), F.col("h").alias("_g"), F.col("_marks.place").alias("_places"), F.col("_marks.first").alias("_firsts"))
-    both = keyed.join(lists, (F.col("_rank") == F.col("_r")) & (F.col("_h") == F.col("_g")), "left")
+    lists = marks.groupBy("rank", "h").agg(F.array_sort(F.collect_list(F.struct("place", "first"))).alias("marks"))
+    lists = lists.select(F.col("rank").alias(r), F.col("h").alias(g), F.col("marks.place").alias(places), F.col("marks.first").alias(firsts))
+    both = keyed.join(lists, (F.col(rank) == F.col(r)) & (F.col(h) == F.col(g)), "left")
 
     @F.arrow_udf("struct<text: string, n_removed: long, removed_chars: long, removed: string>")
     def cut_runs(text: pa.Array, places: pa.Array, firsts: pa.Array) -> pa.Array:
         return _cut(text, places, firsts, min_words)
 
-    kept = [F.col("_out.text").alias("text") if c == "text" else F.col(c) for c in columns]
-    more = ["n_removed", "removed_chars", "removed"]
-    plain = [c for c in columns if c not in more]
-    done = both.select(*columns, cut_runs("text", "_places", "_firsts").alias("_out"))
-    return done.select(*[k for k, c in zip(kept, columns, strict=True) if c in plain], *[F.col(f"_out.{m}").alias(m) for m in more])
+    done = both.withColumn(out, cut_runs("text", places, firsts))
+    return done.select(*[F.col(out)["text"].alias("text") if c == "text" else F.col(c) for c in docs.columns], out)
 
 
 def substring_dedup_report(docs: DataFrame) -> DataFrame:
     """doc_id, text, n_removed, removed_chars and removed of every row of docs (doc_id, text)."""
-    return remove_repeats(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    done = remove_repeats(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "out")
+    return done.select("doc_id", "text", "out.n_removed", "out.removed_chars", "out.removed")
