@@ -4,9 +4,10 @@ A page becomes a stream of tokens: block tags with their class, and text slots w
 tags, comments, scripts and styles are no tokens).  The wrapper of a host starts as its first page's stream with tandem
 repeats folded into repeated groups.  Pages that it doesn't match are aligned with it: tokens on one side only become
 optional groups, tokens of both sides at one place two optional groups, and repeats are folded again, so that the
-wrapper matches every page aligned so far.  It is compiled to a regular expression over one character a token, in which
-the main region (article or main, else the container of most text) is a group; a page's text is that of the slots in
-the group which don't stand in menus, headers, footers, sidebars, notices, adverts, forms or reader comments.
+wrapper matches every page aligned so far.  It is compiled to a regular expression over one character a token, and a
+page's tokens are read off by it: text slots carry the block that they stand in, whether that is in the main region
+(article or main, else the container of most text), and whether it is a menu, header, footer, sidebar, notice, advert,
+form or reader comment, whose text is left out.
 
 Hosts are gathered by a shuffle on (host, salt): the first pages of a host in each input partition go together and the
 rest of a large host in portions, so that no host is one task's.
