@@ -33,19 +33,22 @@ LOW = (1 << 56) - 1
 PROBES = 4
 
 _SPACE = "' \\t\\n\\u000B\\f\\r'"
-_MARKS = f"transform(sequence(-128L, 127L), b -> shiftleft(b, 56) | {LOW}L)"
-#: Each bin's permutation of the bins: r -> (start + step * r) mod 256 with an odd step; back is the step's inverse.
-_START = "transform(sequence(0, 255), i -> cast(xxhash64(i, 1) & 255 as int))"
 
 
-def _steps() -> tuple[str, str]:
-    steps = [(i * 2654435761 >> 7) % BINS | 1 for i in range(BINS)]
-    return f"array({','.join(map(str, steps))})", f"array({','.join(str(pow(s, -1, BINS)) for s in steps)})"
+def _literal(values) -> str:
+    """An array that is folded to one constant, unlike the result of a higher-order function."""
+    return f"array({', '.join(values)})"
+
+
+_MARKS = _literal(f"{(b << 56) | LOW}L" for b in range(-128, 128))
+#: Each bin's permutation of the bins: r -> (start + step * r) mod 256 with an odd step; back is the step's inverse.
+_STEPS = [(i * 2654435761 >> 7) % BINS | 1 for i in range(BINS)]
+_START = _literal(str(i * 0x9E3779B1 >> 11 & 255) for i in range(BINS))
+_STEP, _BACK = _literal(map(str, _STEPS)), _literal(str(pow(s, -1, BINS)) for s in _STEPS)
 
 
 def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     """Adds `out`, an array of 32 longs with 8 bins each; empty for a text without words."""
-    step, back = _steps()
     keep = df.columns
     df = df.withColumn("_t", F.expr(f"trim(BOTH {_SPACE} FROM lower({text}))"))
     df = df.withColumn("_w", F.expr(r"CASE WHEN _t = '' THEN cast(array() AS array<string>) ELSE split(_t, '[\\x20\\x09-\\x0D]+') END"))
@@ -54,9 +57,9 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     df = df.withColumn("_s", F.expr(f"CASE WHEN size(_w) = 0 THEN cast(array() AS array<bigint>) ELSE sort_array(concat({shingles}, {_MARKS})) END")).drop("_w")
     df = df.withColumn("_m", F.expr("filter(_s, (x, i) -> i = 0 OR shiftright(x, 56) <> shiftright(_s[i - 1], 56))")).drop("_s")
     df = df.withColumn("_f", F.expr(f"filter(_m, x -> (x & {LOW}L) <> {LOW}L)"))
-    probe = [f"_m[({_START}[i] + {step}[i] * {r}) & 255]" for r in range(1, PROBES + 1)]
+    probe = [f"_m[({_START}[i] + {_STEP}[i] * {r}) & 255]" for r in range(1, PROBES + 1)]
     tried = ", ".join(f"CASE WHEN ({p} & {LOW}L) <> {LOW}L THEN {p} & 255 END" for p in probe)
-    least = f"array_min(transform(_f, y -> shiftleft(((shiftright(y, 56) + 128 - {_START}[i]) * {back}[i] - 1) & 255, 8) | (y & 255))) & 255"
+    least = f"array_min(transform(_f, y -> shiftleft(((shiftright(y, 56) + 128 - {_START}[i]) * {_BACK}[i] - 1) & 255, 8) | (y & 255))) & 255"
     df = df.withColumn("_c", F.expr(f"transform(_m, (x, i) -> CASE WHEN (x & {LOW}L) <> {LOW}L THEN x & 255 ELSE coalesce({tried}, {least}) END)")).drop("_m", "_f")
     eight = " | ".join(f"shiftleft(_c[8 * g + {k}], {56 - 8 * k})" for k in range(8))
     return df.withColumn(out, F.expr(f"CASE WHEN size(_c) = 0 THEN cast(array() AS array<bigint>) ELSE transform(sequence(0, {BINS // 8 - 1}), g -> {eight}) END")).drop("_c")
