@@ -9,12 +9,13 @@ How it scales:
 2. Shingles have one global order, the commonest last.  Linked sets share a token among the first
    ``n - ceil(0.8 n) + 1`` of each, so nodes meet by these prefix tokens only.  The order decides speed, never results:
    counts of common shingles come from all rows, and the bounded list of the commonest ones is what is broadcast.
-3. Within a token's nodes sorted by size, neighbours are compared first and give most of the links.  Nodes of the same
-   component need no comparison, so families of near copies, however large, fold up here.
+3. Within a token's nodes sorted by size, neighbours are compared first and give many of the links.  Nodes of the same
+   component need no comparison, so families of near copies, however large, fold up.
 4. What is left, nodes of one token in different components, goes through signature trees: nodes hold OR-combined
-   bitmaps and size ranges, and a dual traversal drops pairs of nodes by the largest overlap they could have.
-   Large groups are dealt out as pairs of blocks.
-5. Candidates are verified on whole texts; components come from alternating large-star and small-star rounds.
+   bitmaps and size ranges, and a dual traversal drops pairs of nodes by the largest overlap they could have.  Tokens
+   with the same nodes are searched once, and large groups are dealt out as pairs of blocks.  A first search takes only
+   each component's closest pair, which folds families up further; the second takes every pair that is left.
+5. Candidates are sieved by their own bitmaps and verified on whole texts; components come from alternating large-star and small-star rounds.
 
 Defined cases: null or empty text or white space only: an empty set, linked with nothing, component is the row's own
 doc_id.  Rows with a null doc_id join in by text, and a component's id is the smallest non-null one (null if none).
@@ -31,12 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, shingles, slices, text_rows
+from .common import cut, possible, shingles, slices, text_rows
 
 #: The commonest shingles that are broadcast to order the rest, at most.
 COMMON = 1 << 16
 #: Rows of one token that a task compares with one another at most; more are dealt out as pairs of blocks.
 BLOCK = 2048
+#: Links that one task joins up to components; it takes some 200 bytes for each.
+ONE_TASK = 1_000_000
 BITS = 1024
 PERCENT = 80
 _TOP = np.uint64(1) << np.uint64(62)
@@ -103,19 +106,32 @@ def common_tokens(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def documents_as_nodes(docs: DataFrame, width: int = 5) -> DataFrame:
-    """(doc_id, n, node): the size and the digest of each document's set; node is null for an empty one."""
+    """(doc_id, n, node, bitmap, excess) of each document's set; node is null for an empty one.
+
+    Only the first row of a node in a partition has its bitmap; excess is how many tokens share a bit with others.
+    """
 
     def run(batches):
+        seen: set[int] = set()
         for batch in batches:
             buf, offs = text_rows(batch.column(1))
-            n, node = [], []
+            n, node, maps, excess = [], [], [], []
             for *_, b, o in slices(buf, offs):
                 for own in _sets(b, o, width):
                     n.append(len(own))
                     node.append(node_of(own) if len(own) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(node, pa.int64())], ["doc_id", "n", "node"])
+                    if len(own) and node[-1] not in seen:
+                        seen.add(node[-1])
+                        m = _bitmap(own)
+                        maps.append(m.tobytes())
+                        excess.append(len(own) - int(np.bitwise_count(m).sum()))
+                    else:
+                        maps.append(None)
+                        excess.append(None)
+            columns = [batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(maps, pa.binary()), pa.array(excess, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "node", "bitmap", "excess"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, node long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, node long, bitmap binary, excess int")
 
 
 def _prefixes(width: int, common):
@@ -199,23 +215,6 @@ def _bitmap(tokens: np.ndarray) -> np.ndarray:
     return bits
 
 
-def _bitmaps(width: int):
-    """(node, text) -> (node, n, bitmap, excess): excess is how many tokens share a bit with others."""
-
-    def run(batches):
-        for batch in batches:
-            buf, offs = text_rows(batch.column(1))
-            maps, excess = [], []
-            for *_, b, o in slices(buf, offs):
-                for own in _sets(b, o, width):
-                    m = _bitmap(own)
-                    maps.append(m.tobytes())
-                    excess.append(len(own) - int(np.bitwise_count(m).sum()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(maps, pa.binary()), pa.array(excess, pa.int32())], ["node", "bitmap", "excess"])
-
-    return run
-
-
 class SignatureTree:
     """Levels of (OR of bitmaps, least and largest size, largest excess, component if only one) over sorted rows."""
 
@@ -264,8 +263,35 @@ class SignatureTree:
         return np.stack([x[ok], y[ok]], 1)
 
 
-def _search(batches):
-    """Of (token, bi, bj, block, node, comp, n, bitmap, excess): pairs of nodes that may link, by the trees."""
+def _plausible(batches):
+    """(a, b, size, excess and bitmap of each) -> the pairs that may link by their bitmaps."""
+    for batch in batches:
+        na, nb, ea, eb = (batch.column(i).to_numpy().astype(np.int64) for i in range(2, 6))
+        x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(-1, BITS // 64) for i in (6, 7))
+        both = np.bitwise_count(x & y).sum(1, dtype=np.int64)
+        most = np.minimum(np.minimum(ea, eb) + both, np.minimum(na, nb))
+        yield batch.select(["a", "b"]).filter(pa.array(most >= -(-PERCENT * (na + nb) // (100 + PERCENT))))
+
+
+def _closest(x, y, like, comp):
+    """Of pairs of rows, for each component the one most alike with another."""
+    order = np.argsort(-like, kind="stable")
+    x, y = x[order], y[order]
+    _, i = np.unique(comp[x], return_index=True)
+    _, k = np.unique(comp[y], return_index=True)
+    keep = np.union1d(i, k)
+    return x[keep], y[keep]
+
+
+def _search(every: bool):
+    return lambda batches: _searched(batches, every)
+
+
+def _searched(batches, every):
+    """Of (token, bi, bj, block, node, comp, n, bitmap, excess): pairs of nodes that may link, by the trees.
+
+    Not every: only each component's closest pair within a group.
+    """
     batches = [b for b in batches if b.num_rows]
     if not batches:
         return
@@ -288,14 +314,18 @@ def _search(batches):
         if bi[rows[0]] == bj[rows[0]]:
             one = tree(rows)
             found = one.pairs_with(one)
-            x, y = node[rows[found[:, 0]]], node[rows[found[:, 1]]]
+            x, y = rows[found[:, 0]], rows[found[:, 1]]
         else:
             left, right = rows[block[rows] == bi[rows[0]]], rows[block[rows] == bj[rows[0]]]
             if not len(left) or not len(right):
                 continue
             found = tree(left).pairs_with(tree(right))
-            x, y = node[left[found[:, 0]]], node[right[found[:, 1]]]
+            x, y = left[found[:, 0]], right[found[:, 1]]
+        if len(x) and not every:
+            both = np.concatenate([np.bitwise_count(maps[x[i : i + 65536]] & maps[y[i : i + 65536]]).sum(1, dtype=np.int64) for i in range(0, len(x), 65536)])
+            x, y = _closest(x, y, both / (n[x].astype(np.int64) + n[y]), comp)
         if len(x):
+            x, y = node[x], node[y]
             out.append(np.stack([np.minimum(x, y), np.maximum(x, y)], 1))
             held += len(x)
         if held > 500_000:
@@ -323,9 +353,37 @@ def _linked(width: int):
     return run
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of every node of the links (a, b): alternating large-star and small-star until nothing changes."""
+def _forest(batches):
+    """(node, root) of the links (a, b) of one partition, by union-find; the root is the smallest node."""
+    batches = [b for b in batches if b.num_rows]
+    if not batches:
+        return
+    a, b = (np.concatenate([x.column(i).to_numpy() for x in batches]) for i in (0, 1))
+    nodes, index = np.unique(np.concatenate([a, b]), return_inverse=True)
+    up = list(range(len(nodes)))
+
+    def root(x):
+        while up[x] != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    for x, y in zip(index[: len(a)].tolist(), index[len(a) :].tolist(), strict=True):
+        x, y = root(x), root(y)
+        up[max(x, y)] = min(x, y)
+    roots = np.array([root(x) for x in range(len(nodes))])
+    own = np.flatnonzero(roots != np.arange(len(nodes)))
+    yield pa.RecordBatch.from_arrays([pa.array(nodes[own]), pa.array(nodes[roots[own]])], ["node", "root"])
+
+
+def components(edges: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
+    """(node, root) of every node of the links (a, b) but the roots, which are the smallest of their components.
+
+    Up to `one_task` links are one task's union-find.  More go through alternating large-star and small-star rounds
+    until nothing changes.
+    """
     edges = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "stars")
+    if edges.count() <= one_task:
+        return cut(edges.coalesce(1).mapInArrow(_forest, "node long, root long"), "forest")
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -350,26 +408,36 @@ def ngram_components(docs: DataFrame, width: int = 5) -> DataFrame:
     common = spark.sparkContext.broadcast(common_tokens(docs, width))
     rows = docs.select("text").mapInArrow(_prefixes(width, common), "token long, part int, node long, n int")
     met = cut(rows.repartition("token", "part").mapInArrow(_meet, "kind int, token long, node long, n int, other long"), "ngram-met")
-    shared, first = met.where("kind = 0").select("token", "node", "n"), met.where("kind = 1").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
+    shared, first = met.where("kind = 0").select("token", "node"), met.where("kind = 1").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
 
-    taking_part = shared.select("node").distinct().join(classes, "node")
-    own = docs.alias("d").join(taking_part.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.rep"))).select("node", "text")
-    texts = cut(own.mapInArrow(_only_own(width), "node long, text string").groupBy("node").agg(F.first("text").alias("text")), "ngram-texts")
+    maps = nodes.where("bitmap is not null").select("node", F.col("n").cast("int").alias("n"), "bitmap", "excess")
+    maps = cut(maps.join(shared.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "ngram-bitmaps")
 
     def linked(pairs: DataFrame) -> DataFrame:
-        wide = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
+        def side(x):
+            return maps.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("excess").alias(f"e{x}"), F.col("bitmap").alias(f"m{x}"))
+
+        may = cut(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ea", "eb", "ma", "mb").mapInArrow(_plausible, "a long, b long"), "ngram-pairs")
+        needed = may.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(classes, "node")
+        own = possible(docs, "doc_id", needed.select("rep")).alias("d").join(needed.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.rep"))).select("node", "text")
+        texts = cut(own.mapInArrow(_only_own(width), "node long, text string"), "ngram-texts")
+        wide = may.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
         return cut(wide.select("a", "b", "ta", "tb").mapInArrow(_linked(width), "a long, b long"), "ngram-links")
 
+    def met_in_trees(roots: DataFrame, every: bool) -> DataFrame:
+        """Candidates between components; of tokens with the same nodes, one stands for all."""
+        marked = shared.join(roots, "node", "left").select("token", "node", F.coalesce("root", "node").alias("comp"))
+        print_ = [F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("g"), F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.hash("node").cast("long")).alias("s")]
+        mixed = marked.groupBy("token").agg(*print_).where("c0 <> c1").groupBy("g", "x", "s").agg(F.min("token").alias("token")).select("token", F.ceil(F.col("g") / BLOCK).cast("int").alias("nb"))
+        dealt = marked.join(mixed, "token").withColumn("block", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+        dealt = dealt.join(maps, "node").select("token", F.least("block", "j").alias("bi"), F.greatest("block", "j").alias("bj"), "block", "node", "comp", "n", "bitmap", "excess")
+        return dealt.repartition("token", "bi", "bj").mapInArrow(_search(every), "a long, b long").distinct()
+
     links = linked(first)
     roots = components(links)
-    marked = cut(shared.join(roots, "node", "left").select("token", "node", "n", F.coalesce("root", "node").alias("comp")).distinct(), "ngram-marked")
-    mixed = marked.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("g")).where("c0 <> c1").select("token", F.ceil(F.col("g") / BLOCK).cast("int").alias("nb"))
-    dealt = marked.join(mixed, "token").withColumn("block", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    dealt = dealt.join(texts.mapInArrow(_bitmaps(width), "node long, bitmap binary, excess int"), "node")
-    dealt = dealt.select("token", F.least("block", "j").alias("bi"), F.greatest("block", "j").alias("bj"), "block", "node", "comp", "n", "bitmap", "excess")
-    rest = dealt.repartition("token", "bi", "bj").mapInArrow(_search, "a long, b long").distinct()
-    more = linked(rest)
-    roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+    for every in (False, True):
+        links = links.unionByName(linked(met_in_trees(roots, every)))
+        roots = components(links)
     named = classes.join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
     names = named.join(named.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select("node", "component_id")
     out = nodes.join(names, "node", "left")
@@ -377,13 +445,17 @@ def ngram_components(docs: DataFrame, width: int = 5) -> DataFrame:
 
 
 def _only_own(width: int):
-    """Rows whose text is the one that the node was named by: ids may repeat with other texts."""
+    """Rows whose text is the one that the node was named by, once each: ids may repeat, with other texts or the same."""
 
     def run(batches):
+        seen: set[int] = set()
         for batch in batches:
             buf, offs = text_rows(batch.column(1))
             node = [node_of(own) if len(own) else None for *_, b, o in slices(buf, offs) for own in _sets(b, o, width)]
-            mine = [x == y for x, y in zip(node, batch.column(0).to_pylist(), strict=True)]
+            mine = []
+            for x, y in zip(node, batch.column(0).to_pylist(), strict=True):
+                mine.append(x == y and x not in seen)
+                seen.add(x) if mine[-1] else None
             yield batch.filter(pa.array(mine, pa.bool_()))
 
     return run
