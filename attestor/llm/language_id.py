@@ -28,8 +28,10 @@ SAMPLE = 2400
 WIDTHS = (2, 3, 4)
 BUCKETS = 1 << 14
 DIM = 16
-#: Share of the calibration rows whose score may lie below the threshold.
-REJECTED = 0.001
+#: Steps of gradient descent at least, however few the rows are.
+STEPS = 800
+#: The threshold lies by MARGIN below the score under which a share REJECTED of the calibration rows lies.
+REJECTED, MARGIN = 0.001, 0.8
 #: Share of wrong labels that calibration allows for, so that separable data don't make every score 1.
 SMOOTH = 0.01
 UND = "und"
@@ -111,6 +113,7 @@ def fit(texts: list[str], labels: list[str], seed: int = 7, epochs: int = 12, ba
     e = rng.normal(0, 0.1, (BUCKETS * len(WIDTHS), DIM)).astype(np.float32)
     w, b = np.zeros((DIM, len(langs)), np.float32), np.zeros(len(langs), np.float32)
     packed = [np.unique(bag, return_counts=True) for bag in bags]
+    epochs = max(epochs, -(-STEPS * batch // max(1, len(train))))
     steps = epochs * -(-len(train) // batch)
     step = 0
     for _ in range(epochs):
@@ -140,7 +143,7 @@ def fit(texts: list[str], labels: list[str], seed: int = 7, epochs: int = 12, ba
         losses = {t: -(target * np.log(np.maximum(_softmax(z / t), 1e-12))).sum() for t in np.geomspace(0.1, 10, 41)}
         model.temperature = float(min(losses, key=losses.get))
         scores = np.sort(_softmax(z / model.temperature).max(1))
-        model.least = float(min(0.5, scores[int(REJECTED * len(scores))]))
+        model.least = float(min(0.5, MARGIN * scores[int(REJECTED * len(scores))]))
     return model
 
 
