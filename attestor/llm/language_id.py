@@ -8,7 +8,8 @@ on a fifth of the sample that isn't trained on.  For prediction the two linear m
 costs one small table lookup a subword.
 
 Defined cases: a null text, or one without a letter, is `und` with score 0 and rejected.  Rows without a language, or
-with a null doc_id, are not learned from; without any labelled row everything is `und`.  Other columns are ignored.
+with a null doc_id, are not learned from; without any labelled row everything is `und`, and texts with letters are not
+rejected, as nothing is known against them.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -178,7 +179,7 @@ def scores(model: Model, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray,
 def predict(docs: DataFrame, model: Model | None, out: str) -> DataFrame:
     """docs with a struct of lang, score and rejected."""
     if model is None:
-        return docs.withColumn(out, F.struct(F.lit(UND).alias("lang"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected")))
+        return docs.withColumn(out, F.struct(F.lit(UND).alias("lang"), F.lit(0.0).alias("score"), (~F.rlike(F.coalesce("text", F.lit("")), F.lit(r"\p{L}"))).alias("rejected")))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("struct<lang: string, score: double, rejected: boolean>")
