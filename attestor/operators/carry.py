@@ -74,3 +74,18 @@ def suffix_repeats(df: DataFrame, group: Sequence[str], name: str, order: Sequen
 def share(df: DataFrame, group: Sequence[str], n: str, out: str) -> DataFrame:
     """n over the group's total."""
     return df.withColumn(out, F.col(n) / F.sum(n).over(Window.partitionBy(*group)))
+
+
+def locf_array(x: Column | str) -> Column:
+    """Carry-forward along an array: each NULL takes the last element before it."""
+    a = F.col(x) if isinstance(x, str) else x
+    empty = F.slice(a, 1, 0)
+    return F.aggregate(a, empty, lambda acc, v: F.concat(acc, F.array(F.coalesce(v, F.when(F.size(acc) > 0, F.element_at(acc, -1))))))
+
+
+def continued(df: DataFrame, group: Sequence[str], page: str, width: str) -> DataFrame:
+    """Numbers tables that go on: the next page of the same width continues the one before."""
+    w = _w(group, [page])
+    goes_on = (F.col(page) - F.lag(page).over(w) == 1) & (F.lag(width).over(w) == F.col(width))
+    marked = df.withColumn("_new", F.when(goes_on, 0).otherwise(1))
+    return marked.withColumn("table", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")

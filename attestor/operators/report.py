@@ -86,3 +86,26 @@ def lines(sections: Sequence[tuple[str, DataFrame, Column]]) -> DataFrame:
         part = part.select(F.lit(n).alias("section_no"), F.lit(name).alias("section"), "line")
         out = part if out is None else out.unionByName(part)
     return out.withColumn("ord", F.row_number().over(Window.partitionBy("section_no").orderBy("line")))
+
+
+def unique_or_none(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    """A group's sorted values only if all are above 0 and none repeats."""
+    g = df.groupBy(*group).agg(F.count(value).alias("_n"), F.countDistinct(value).alias("_d"), F.min(value).alias("_lo"), F.array_sort(F.collect_set(value)).alias("_a"))
+    return g.select(*group, F.when((F.col("_n") == F.col("_d")) & (F.col("_lo") > 0), F.array_join(F.transform("_a", lambda v: v.cast("string")), ";")).alias("values"), F.col("_n").alias("observed"))
+
+
+def differing_bits(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    """Bits in which a group's values differ: what some have and not all."""
+    g = df.groupBy(*group).agg(F.bit_or(value).alias("_o"), F.bit_and(value).alias("_a"))
+    return g.select(*group, F.col("_o").bitwiseXOR(F.col("_a")).alias("differ"))
+
+
+def matrix(df: DataFrame, row: str, column: str, value: str) -> DataFrame:
+    """Row and column pairs with the sorted set of values: a pivot of sets in long form, whatever the columns are."""
+    return df.groupBy(row, column).agg(joined_set(F.col(value).cast("string")).alias("values"))
+
+
+def ranked(df: DataFrame, column: str, ranks: Sequence[str]) -> DataFrame:
+    """Adds the place of the column's value in a fixed order; others come last."""
+    place = F.array_position(F.array(*[F.lit(r) for r in ranks]), F.col(column))
+    return df.withColumn("rank", F.when(place > 0, place.cast("int")).otherwise(len(ranks) + 1))

@@ -73,3 +73,20 @@ def first_match(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFram
     """The first row of each key."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+
+
+def lookup_with_fallback(df: DataFrame, key: str, fallback: str, table: DataFrame, table_key: str, value: str, out: str) -> DataFrame:
+    """The table's value for the key, else for the fallback key; the method says by which."""
+    own = table.select(F.col(table_key).alias("_k"), F.col(value).alias("_v"))
+    found = df.join(own.select(F.col("_k").alias("_k1"), F.col("_v").alias("_v1")), F.col(key) == F.col("_k1"), "left")
+    found = found.join(own.select(F.col("_k").alias("_k2"), F.col("_v").alias("_v2")), F.col(fallback) == F.col("_k2"), "left")
+    method = F.when(F.col("_v1").isNotNull(), "key").when(F.col("_v2").isNotNull(), "fallback")
+    return found.withColumn(out, F.coalesce("_v1", "_v2")).withColumn("method", method).drop("_k1", "_v1", "_k2", "_v2")
+
+
+def complete(df: DataFrame, more: DataFrame, keys: Sequence[str], items: str, most: int) -> DataFrame:
+    """A list united with another source's items, unless it would get longer than `most`; the note says what happened."""
+    other = more.select(*keys, F.col(items).alias("_m"))
+    both = df.join(other, list(keys), "left").withColumn("_u", F.array_sort(F.array_union(items, F.coalesce("_m", F.slice(items, 1, 0)))))
+    note = F.when(F.col("_m").isNull(), "alone").when(F.size("_u") > most, "too many").when(F.size("_u") == F.size(items), "same").otherwise("completed")
+    return both.withColumn("note", note).withColumn(items, F.when(F.size("_u") > most, F.array_sort(items)).otherwise(F.col("_u"))).drop("_m", "_u")
