@@ -6,8 +6,8 @@ are grouped globally, and the earliest by (doc_id, place) stays.  Of the others,
 run, and runs of at least MIN_WORDS words are removed; shorter ones are everyday phrases and stay.  Each removed span
 keeps its place in the original text, in code points, and the document that has the earliest occurrence of its start.
 
-Digests are 96 bits.  Grouping sums up within each input partition first; the join that marks rows has one row of every
-digest on one side, so that a line of which there are very many is split like any skewed join.
+Digests are 96 bits.  A document sends each of its distinct units once.  Grouping sums up within each input partition
+first; the join that marks rows has one row of every digest on one side.
 
 Defined cases: null text stays null, an empty one empty.  A null doc_id ranks last.  Repeated rows of one id and text are
 one document and all get its result; texts that share an id share its rank.  Units without words are never counted, and
@@ -60,63 +60,78 @@ def digests(buf: np.ndarray, offs: np.ndarray):
     return row[has], place[has], out[0][has], (out[1][has] >> np.uint64(32)).astype(np.uint32), starts, at, size
 
 
+def repeated(row: np.ndarray, place: np.ndarray, d1: np.ndarray, d2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which units repeat an earlier one of their row, and the place of the first such one."""
+    order = np.lexsort((place, d2, d1, row))
+    same = np.zeros(len(order), bool)
+    r, x, y = row[order], d1[order], d2[order]
+    same[1:] = (r[1:] == r[:-1]) & (x[1:] == x[:-1]) & (y[1:] == y[:-1])
+    head = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
+    again, first = np.empty(len(order), bool), np.empty(len(order), np.int64)
+    again[order], first[order] = same, place[order][head]
+    return again, first
+
+
 def _units(batches):
-    names = ["rank", "h", "place", "d1", "d2", "again"]
+    """A row for each distinct unit of a document: what it repeats itself is known without the others."""
+    names = ["rank", "h", "place", "d1", "d2"]
     for batch in batches:
         buf, offs = text_rows(batch.column(2))
         for a, b, part, o in slices(buf, offs):
             row, place, d1, d2, *_ = digests(part, o)
+            once = ~repeated(row, place, d1, d2)[0]
+            row, place, d1, d2 = row[once], place[once], d1[once], d2[once]
             rank, h = batch.column(0).slice(a, b - a).to_numpy()[row], batch.column(1).slice(a, b - a).to_numpy()[row]
-            order = np.lexsort((place, d1, row))
-            again = np.zeros(len(row), bool)
-            again[order[1:]] = (d1[order[1:]] == d1[order[:-1]]) & (row[order[1:]] == row[order[:-1]])
-            columns = [rank, h, place.astype(np.int32), d1.view(np.int64), d2.view(np.int32), again]
+            columns = [rank, h, place.astype(np.int32), d1.view(np.int64), d2.view(np.int32)]
             for i in range(0, len(row), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(c[i : i + 100_000]) for c in columns], names)
 
 
-def _cut(text: pa.Array, places: pa.Array, firsts: pa.Array, least: int):
+def _runs(first: dict[int, int], size: np.ndarray, least: int):
+    """First and last unit of every run of marked units that has enough words."""
+    k = 0
+    while k < len(size):
+        if k not in first:
+            k += 1
+            continue
+        to, n, last = k, 0, k
+        while to < len(size) and (to in first or size[to] == 0):
+            n += int(size[to])
+            if to in first:
+                last = to
+            to += 1
+        if n >= least:
+            yield k, last
+        k = to
+
+
+def _cut(text: pa.Array, ranks: pa.Array, places: pa.Array, firsts: pa.Array, least: int):
     """Text without runs of the marked units, how many spans and code points went, and the spans."""
     buf, offs = text_rows(text)
     texts, spans, chars, said = [], [], [], []
-    marks = places.to_pylist()
-    sources = firsts.to_pylist()
-    raw = buf.tobytes()
-    for i, (a, b) in enumerate(zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)):
-        if not marks[i]:
-            texts.append(text[i].as_py())
-            spans.append(0)
-            chars.append(0)
-            said.append("")
-            continue
-        own = buf[a:b]
-        *_, starts, _, size = digests(own, np.array([0, b - a]))
-        first = dict(zip(marks[i], sources[i], strict=True))
-        edge = [*starts.tolist(), b - a]
-        out, gone, k = [], [], 0
-        kept_from = 0
-        while k < len(starts):
-            if k not in first:
-                k += 1
-                continue
-            to, n, last = k, 0, k
-            while to < len(starts) and (to in first or size[to] == 0):
-                n += int(size[to])
-                if to in first:
-                    last = to
-                to += 1
-            if n >= least:
-                x, y = edge[k], edge[last + 1]
-                out.append(raw[a + kept_from : a + x])
-                begin = len(raw[a : a + x].decode())
-                gone.append((begin, len(raw[a + x : a + y].decode()), first[k]))
-                kept_from = y
-            k = to
-        out.append(raw[a + kept_from : b])
-        texts.append(b"".join(out).decode())
-        spans.append(len(gone))
-        chars.append(sum(g[1] for g in gone))
-        said.append(";".join(f"{x}+{n}<{'' if d == _LAST else d}" for x, n, d in gone))
+    for a, b, part, o in slices(buf, offs):
+        raw = part.tobytes()
+        row, place, d1, d2, starts, at, size = digests(part, o)
+        again, head = repeated(row, place, d1, d2)
+        own: dict[int, list] = {}
+        for i, p, q in zip(row[again].tolist(), place[again].tolist(), head[again].tolist(), strict=True):
+            own.setdefault(i, []).append((p, q))
+        marks, sources = places.slice(a, b - a).to_pylist(), firsts.slice(a, b - a).to_pylist()
+        for i in range(b - a):
+            gone, out, kept_from, to = [], [], int(o[i]), int(o[i + 1])
+            if marks[i] or i in own:
+                first = dict(zip(marks[i] or [], sources[i] or [], strict=True))
+                first |= {p: first.get(q, ranks[a + i].as_py()) for p, q in own.get(i, [])}
+                edge = [*starts[at[i] : at[i + 1]].tolist(), to]
+                for k, last in _runs(first, size[at[i] : at[i + 1]], least):
+                    x, y = edge[k], edge[last + 1]
+                    out.append(raw[kept_from:x])
+                    gone.append((len(raw[o[i] : x].decode()), len(raw[x:y].decode()), first[k]))
+                    kept_from = y
+            texts.append((b"".join(out) + raw[kept_from:to]).decode() if gone else text[a + i].as_py())
+            spans.append(len(gone))
+            chars.append(sum(g[1] for g in gone))
+            said.append(";".join(f"{x}+{n}<{'' if d == _LAST else d}" for x, n, d in gone))
     return pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.array(spans, pa.int64()), pa.array(chars, pa.int64()), pa.array(said, pa.string())], ["text", "n_removed", "removed_chars", "removed"])
 
 
@@ -124,18 +139,18 @@ def remove_repeats(docs: DataFrame, out: str, min_words: int = MIN_WORDS) -> Dat
     """docs with text cut, and a struct of n_removed, removed_chars, removed ('start+length<first document', by ';')."""
     rank, h, r, g, places, firsts = fresh(docs.withColumn(out, F.lit(0)), "rank", "hash", "r", "g", "places", "firsts")
     keyed = docs.withColumn(rank, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))).withColumn(h, F.hash(F.coalesce("text", F.lit(""))))
-    rows = keyed.select(rank, h, "text").mapInArrow(_units, "rank long, h int, place int, d1 long, d2 int, again boolean")
+    rows = keyed.select(rank, h, "text").mapInArrow(_units, "rank long, h int, place int, d1 long, d2 int")
     groups = rows.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min("rank").alias("first")).where("n > 1").drop("n")
-    marks = rows.join(groups, ["d1", "d2"]).where("rank <> first or again").select("rank", "h", "place", "first").distinct()
-    lists = marks.groupBy("rank", "h").agg(F.array_sort(F.collect_list(F.struct("place", "first"))).alias("marks"))
+    marks = rows.join(groups, ["d1", "d2"]).where("rank <> first").select("rank", "h", "place", "first")
+    lists = marks.groupBy("rank", "h").agg(F.array_sort(F.collect_set(F.struct("place", "first"))).alias("marks"))
     lists = lists.select(F.col("rank").alias(r), F.col("h").alias(g), F.col("marks.place").alias(places), F.col("marks.first").alias(firsts))
     both = keyed.join(lists, (F.col(rank) == F.col(r)) & (F.col(h) == F.col(g)), "left")
 
     @F.arrow_udf("struct<text: string, n_removed: long, removed_chars: long, removed: string>")
-    def cut_runs(text: pa.Array, places: pa.Array, firsts: pa.Array) -> pa.Array:
-        return _cut(text, places, firsts, min_words)
+    def cut_runs(text: pa.Array, ranks: pa.Array, places: pa.Array, firsts: pa.Array) -> pa.Array:
+        return _cut(text, ranks, places, firsts, min_words)
 
-    done = both.withColumn(out, cut_runs("text", places, firsts))
+    done = both.withColumn(out, cut_runs("text", rank, places, firsts))
     return done.select(*[F.col(out)["text"].alias("text") if c == "text" else F.col(c) for c in docs.columns], out)
 
 
