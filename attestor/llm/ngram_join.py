@@ -15,7 +15,8 @@ How it scales:
    bitmaps and size ranges, and a dual traversal drops pairs of nodes by the largest overlap they could have.  Tokens
    with the same nodes are searched once, and large groups are dealt out as pairs of blocks.  A first search takes only
    each component's closest pair, which folds families up further; the second takes every pair that is left.
-5. Candidates are sieved by their own bitmaps and verified on whole texts; components come from alternating large-star and small-star rounds.
+5. Candidates are sieved by their own bitmaps, of fixed size first and then of four bits a token, and verified on
+   whole texts; components come from alternating large-star and small-star rounds.
 
 Defined cases: null or empty text or white space only: an empty set, linked with nothing, component is the row's own
 doc_id.  Rows with a null doc_id join in by text, and a component's id is the smallest non-null one (null if none).
@@ -106,16 +107,17 @@ def common_tokens(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def documents_as_nodes(docs: DataFrame, width: int = 5) -> DataFrame:
-    """(doc_id, n, node, bitmap, excess) of each document's set; node is null for an empty one.
+    """(doc_id, n, node, bitmap, excess, wide) of each document's set; node is null for an empty one.
 
-    Only the first row of a node in a partition has its bitmap; excess is how many tokens share a bit with others.
+    Only the first row of a node in a partition has its bitmaps: one of BITS for the trees, where excess is how many
+    tokens share a bit with others, and for larger sets a wide one of four bits a token or more.
     """
 
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
             buf, offs = text_rows(batch.column(1))
-            n, node, maps, excess = [], [], [], []
+            n, node, maps, excess, wide = [], [], [], [], []
             for *_, b, o in slices(buf, offs):
                 for own in _sets(b, o, width):
                     n.append(len(own))
@@ -125,13 +127,16 @@ def documents_as_nodes(docs: DataFrame, width: int = 5) -> DataFrame:
                         m = _bitmap(own)
                         maps.append(m.tobytes())
                         excess.append(len(own) - int(np.bitwise_count(m).sum()))
+                        bits = 1 << (4 * len(own) - 1).bit_length()
+                        wide.append(_bitmap(own, bits).tobytes() if bits > BITS else None)
                     else:
                         maps.append(None)
                         excess.append(None)
-            columns = [batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(maps, pa.binary()), pa.array(excess, pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "node", "bitmap", "excess"])
+                        wide.append(None)
+            columns = [batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(maps, pa.binary()), pa.array(excess, pa.int32()), pa.array(wide, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "node", "bitmap", "excess", "wide"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, node long, bitmap binary, excess int")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, node long, bitmap binary, excess int, wide binary")
 
 
 def _prefixes(width: int, common):
@@ -208,11 +213,11 @@ def _meet(batches):
         yield pa.RecordBatch.from_arrays([pa.array(zero.astype(np.int32) + 1), pa.array(zero), pa.array(p[:, 0].copy()), pa.array(zero.astype(np.int32)), pa.array(p[:, 1].copy())], names)
 
 
-def _bitmap(tokens: np.ndarray) -> np.ndarray:
-    bits = np.zeros(BITS // 64, np.uint64)
-    k = tokens.astype(np.int64) & (BITS - 1)
-    np.bitwise_or.at(bits, k >> 6, np.uint64(1) << (k & 63).astype(np.uint64))
-    return bits
+def _bitmap(tokens: np.ndarray, size: int = BITS) -> np.ndarray:
+    """Bits of the tokens' values modulo size; OR of its halves is the bitmap of half the size."""
+    bits = np.zeros(size, bool)
+    bits[tokens.astype(np.int64) & (size - 1)] = True
+    return np.packbits(bits, bitorder="little").view(np.uint64)
 
 
 class SignatureTree:
@@ -273,6 +278,22 @@ def _plausible(batches):
         yield batch.select(["a", "b"]).filter(pa.array(most >= -(-PERCENT * (na + nb) // (100 + PERCENT))))
 
 
+def _plausible_wide(batches):
+    """(a, b, size and wide bitmap of each) -> the pairs that may link by these; the larger is folded to the smaller."""
+    for batch in batches:
+        keep = []
+        for na, nb, x, y in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True):
+            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            while len(x) > len(y):
+                x = x[: len(x) // 2] | x[len(x) // 2 :]
+            while len(y) > len(x):
+                y = y[: len(y) // 2] | y[len(y) // 2 :]
+            both = int(np.bitwise_count(x & y).sum())
+            most = min(na - int(np.bitwise_count(x).sum()), nb - int(np.bitwise_count(y).sum())) + both
+            keep.append(min(most, na, nb) >= -(-PERCENT * (na + nb) // (100 + PERCENT)))
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
 def _closest(x, y, like, comp):
     """Of pairs of rows, for each component the one most alike with another."""
     order = np.argsort(-like, kind="stable")
@@ -418,11 +439,19 @@ def ngram_components(docs: DataFrame, width: int = 5) -> DataFrame:
             return maps.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("excess").alias(f"e{x}"), F.col("bitmap").alias(f"m{x}"))
 
         may = cut(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ea", "eb", "ma", "mb").mapInArrow(_plausible, "a long, b long"), "ngram-pairs")
+        taking_part = may.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        wide = nodes.where("bitmap is not null").select("node", "n", F.coalesce("wide", "bitmap").alias("wide")).join(taking_part, "node", "left_semi").dropDuplicates(["node"])
+        wide = cut(wide, "ngram-wide")
+
+        def broad(x):
+            return wide.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("wide").alias(f"w{x}"))
+
+        may = cut(may.join(broad("a"), "a").join(broad("b"), "b").select("a", "b", "na", "nb", "wa", "wb").mapInArrow(_plausible_wide, "a long, b long"), "ngram-pairs")
         needed = may.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(classes, "node")
         own = possible(docs, "doc_id", needed.select("rep")).alias("d").join(needed.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.rep"))).select("node", "text")
         texts = cut(own.mapInArrow(_only_own(width), "node long, text string"), "ngram-texts")
-        wide = may.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
-        return cut(wide.select("a", "b", "ta", "tb").mapInArrow(_linked(width), "a long, b long"), "ngram-links")
+        sides = may.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
+        return cut(sides.select("a", "b", "ta", "tb").mapInArrow(_linked(width), "a long, b long"), "ngram-links")
 
     def met_in_trees(roots: DataFrame, every: bool) -> DataFrame:
         """Candidates between components; of tokens with the same nodes, one stands for all."""
