@@ -3,14 +3,15 @@
 A page becomes a stream of tokens: block tags with their class, and text slots with the block that they stand in (inline
 tags, comments, scripts and styles are no tokens).  The wrapper of a host starts as its first page's stream with tandem
 repeats folded into repeated groups.  Pages that it doesn't match are aligned with it: tokens on one side only become
-optional groups, tokens of both sides at one place two optional groups, and repeats are folded again, so that the
-wrapper matches every page aligned so far.  It is compiled to a regular expression over one character a token, and a
-page's tokens are read off by it: text slots carry the block that they stand in, whether that is in the main region
-(article or main, else the container of most text), and whether it is a menu, header, footer, sidebar, notice, advert,
-form or reader comment, whose text is left out.
+optional groups, tokens of both sides at one place two optional groups, and repeats are folded again.  Once all pages of
+a group are met, their tokens are read off by the wrapper; pages that it doesn't match get a further one.  A text that
+stands in the same slot of the wrapper on every page that has the slot (ALIKE different pages at least) belongs to the
+template and is left out; the other texts are the data.  Of these the main region (article or main, else the container
+of most data) is kept without menus, headers, footers, sidebars, notices, adverts, forms and reader comments.  Where
+nothing varies, as on a host of one page, all texts are data.
 
-Hosts are gathered by a shuffle on (host, salt): the first pages of a host in each input partition go together and the
-rest of a large host in portions, so that no host is one task's.
+Hosts are gathered by a shuffle on (host, salt), with a salt above 0 only for hosts of over PORTION pages, which are
+dealt into portions by page_id and url; so no host is one task's, and the result doesn't depend on input partitions.
 
 Defined cases: null or empty html gives ''.  A null url is a host of its own, ''.  Markup that is cut off ends at the
 end of the page.  Rows may repeat; other columns are ignored.
@@ -20,15 +21,15 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from difflib import SequenceMatcher
 
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pages of a host that an input partition sends to the host's common portion, and how many make a further portion.
-FIRST, PORTION = 4, 100
+#: Pages that a host has before it is dealt into portions of about as many, and different pages that show a template's text.
+PORTION, ALIKE = 200, 3
 
 #: Fixed values of HTML: elements whose content is no markup, that have no content, and that don't break a block.
 RAW = {"script", "style", "noscript", "template", "iframe", "svg", "textarea", "select", "math", "object", "canvas", "audio", "video"}
@@ -239,6 +240,45 @@ class Wrapper:
     def matches(self, labels: list[str]) -> bool:
         return self.regex is not None and self.regex.fullmatch(self.written(labels)) is not None
 
+    def meet(self, labels: list[str]) -> None:
+        """Refine until the page matches; where alignment and atomic groups disagree, stay as it was."""
+        before = self.items, self.regex
+        for _ in range(3):
+            if self.matches(labels):
+                return
+            self.refine(labels)
+        if not self.matches(labels):
+            self.items, self.regex = before
+
+    def slots(self, labels: list[str]) -> list[int]:
+        """The place in the wrapper of every token of a page that it matches; repeats of a group share their places."""
+        out = [0] * len(labels)
+
+        def walk(items, base, at):
+            for x in items:
+                if isinstance(x, str):
+                    if at == len(labels) or labels[at] != x:
+                        return -1
+                    out[at] = base
+                    at, base = at + 1, base + 1
+                    continue
+                to, times = walk(x[1], base, at), 0
+                while to >= 0:
+                    moved, at, times = to > at, to, times + 1
+                    to = walk(x[1], base, at) if x[0] == "+" and moved else -1
+                if x[0] == "+" and not times:
+                    return -1
+                base += width(x[1])
+            return at
+
+        assert walk(self.items, 0, 0) == len(labels)
+        return out
+
+
+def width(items: tuple) -> int:
+    """Tokens that a wrapper names."""
+    return sum(1 if isinstance(x, str) else width(x[1]) for x in items)
+
 
 def region(labels: list[str], texts: list[str]) -> list[str]:
     """Texts of the slots that are the main text: in article or main, else in the container with most text."""
@@ -270,51 +310,65 @@ def region(labels: list[str], texts: list[str]) -> list[str]:
     return [texts[i] for i in kept if best < i < opens.get(best, len(labels))]
 
 
-def extract(wrapper: Wrapper, page: str | None) -> str:
-    labels, texts = stream(page or "")
-    if not any(texts):
-        return ""
-    for _ in range(3):
-        if wrapper.matches(labels):
-            break
-        wrapper.refine(labels)
-    else:
-        wrapper.items = None  # alignment and atomic groups disagree: start over from this page
-        wrapper.refine(labels)
-    return "\n".join(region(labels, texts))
+def varying(wrapper: Wrapper, pages: list[tuple[list[str], list[str]]]) -> list[list[str]]:
+    """Texts of pages that the wrapper matches, with '' for those of its template."""
+    having, alike, read = Counter(), Counter(), []
+    met = set()
+    for labels, texts in pages:
+        own = wrapper.slots(labels)
+        read.append(own)
+        if tuple(texts) not in met:  # copies of a page show nothing
+            met.add(tuple(texts))
+            having.update({s for s, t in zip(own, texts, strict=True) if t})
+            alike.update({(s, t) for s, t in zip(own, texts, strict=True) if t})
+    return [["" if having[s] >= ALIKE and alike[s, t] == having[s] else t for s, t in zip(own, texts, strict=True)] for own, (_, texts) in zip(read, pages, strict=True)]
+
+
+def extract(pages: list[str | None]) -> list[str]:
+    """Main texts of a host's pages."""
+    streams = [stream(p or "") for p in pages]
+    out = [""] * len(pages)
+    rest = [i for i, (_, texts) in enumerate(streams) if any(texts)]
+    while rest:
+        wrapper = Wrapper()
+        for i in rest:
+            wrapper.meet(streams[i][0])
+        own = [i for i in rest if wrapper.matches(streams[i][0])]
+        if not own:  # refined away from all that it met
+            own = rest[:1]
+            wrapper = Wrapper()
+            wrapper.refine(streams[own[0]][0])
+        for i, texts in zip(own, varying(wrapper, [streams[i] for i in own]), strict=True):
+            out[i] = "\n".join(region(streams[i][0], texts) or region(*streams[i]))
+        done = set(own)
+        rest = [i for i in rest if i not in done]
+    return out
 
 
-def _portions(batches):
-    pid = TaskContext.get().partitionId()
-    met: dict = {}
-    for host in batches:
-        salts = []
-        for h in host.to_pylist():
-            k = met[h] = met.get(h, -1) + 1
-            salts.append(0 if k < FIRST else (pid + 1) << 32 | (k - FIRST) // PORTION)
-        yield pa.array(salts, pa.int64())
+def _pages(batches):
+    names = ["page_id", "url", "text", "n_chars"]
 
+    def done(rows):
+        texts = extract([r[4] for r in rows])
+        return pa.RecordBatch.from_arrays([pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.string()), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names)
 
-def _pages(batches):
-    wrappers: dict[str, Wrapper] = {}
+    group: list[tuple] = []
     for batch in batches:
-        texts = []
-        for host, page in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            if host not in wrappers and len(wrappers) > 20_000:
-                wrappers.clear()
-            texts.append(extract(wrappers.setdefault(host, Wrapper()), page))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
+        for row in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+            if group and group[0][:2] != row[:2]:
+                yield done(group)
+                group = []
+            group.append(row)
+    if group:
+        yield done(group)
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every row of pages (page_id, url, html)."""
-    from collections.abc import Iterator
-
-    def salted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        return _portions(batches)
-
-    salted.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    salt = F.arrow_udf(salted, "long")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1))
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host.alias("host"), "html").withColumn("salt", salt("host"))
-    return rows.repartition("host", "salt").select("page_id", "url", "host", "html").mapInArrow(_pages, "page_id long, url string, text string, n_chars long")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host.alias("host"), "html")
+    large = pages.select(host.alias("large")).groupBy("large").agg(F.count("*").alias("n")).where(F.col("n") > PORTION)
+    salt = F.coalesce(F.pmod(F.xxhash64("page_id", "url"), F.ceil(F.col("n") / PORTION)), F.lit(0))
+    rows = rows.join(F.broadcast(large), F.col("host") == F.col("large"), "left").select("host", salt.alias("salt"), "page_id", "url", "html")
+    rows = rows.repartition("host", "salt").sortWithinPartitions("host", "salt", "page_id", "url", F.xxhash64("html"))
+    return rows.mapInArrow(_pages, "page_id long, url string, text string, n_chars long")

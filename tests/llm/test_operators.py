@@ -400,3 +400,17 @@ def test_wrapper_matches_all_it_has_met():
         w.refine(p)
         assert w.matches(p)
     assert w.matches(list("abcbcbcbcd")) and not w.matches(list("dcba"))
+
+
+def test_wrapper_tells_template_from_data():
+    page = lambda n, more="": f"<article><h1>Head {n}</h1><div class=zz>Brought to you by us</div><p>Body {n}.</p><p>More {n}.</p>{more}<h6>Read on</h6></article>"
+    pages = [page(1), page(2, "<ul><li>x</ul>"), page(3), page(3), page(4, "<p>Brought to you by us</p>")]
+    assert html_wrappers.extract(pages) == ["Head 1\nBody 1.\nMore 1.", "Head 2\nBody 2.\nMore 2.\nx", *["Head 3\nBody 3.\nMore 3."] * 2, "Head 4\nBody 4.\nMore 4.\nBrought to you by us"]
+    assert html_wrappers.extract([page(1)] * 5) == ["Head 1\nBrought to you by us\nBody 1.\nMore 1.\nRead on"] * 5
+
+
+def test_wrapper_text_of_a_large_host(spark):
+    n = html_wrappers.PORTION * 3
+    df = spark.createDataFrame([(i, "http://a.org/", f"<article><p>t</p><p>Body {i}</p><div class=zz>all alike</div></article>") for i in range(n)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_wrappers.main_texts(df.repartition(7)).collect()}
+    assert {i: t.split("\n")[-1] for i, t in got.items()} == {i: f"Body {i}" for i in range(n)}
