@@ -6,9 +6,10 @@ give log P(word | class).  A document's score is the sum over all its words, or
 
 What is gathered: counts of all words of all texts, by hash into 2**18 slots, summed up within each partition first
 (the commonest slots are classes of their own, the others share classes by hash); and the network's weights, trained in
-numpy within every input partition on every MASKED-th position of every text, with all words as context, then averaged
-over partitions by their number of targets, for ROUNDS rounds that start from the last average.  Both grow with the
-number of partitions and come down to a fixed size before they reach the driver.
+numpy within every input partition, then averaged over partitions by their number of words, for ROUNDS rounds that
+start from the last average.  A round masks every ROUNDS-th position of every text, the next round the positions after
+these, with all words as context, so that every word of every text is a target once.  Both grow with the number of
+partitions and come down to a fixed size before they reach the driver.
 
 Defined cases: a text without words, or null, has 0 words, sum 0 and a null mean.  Rows may repeat and all get their own
 result; ids may be null; other columns are ignored; an empty table gives an empty result.
@@ -28,7 +29,7 @@ OWN, SHARED = 192, 64
 CLASSES = OWN + SHARED
 EDGE = CLASSES  # stands for what lies beyond a text's ends
 DIM, HIDDEN, SIDE = 12, 32, 2
-MASKED, ROUNDS, BATCH, RATE = 8, 2, 256, 0.5
+ROUNDS, BATCH, RATE = 2, 256, 0.5
 _SHAPES = [("e", (CLASSES + 1, DIM)), ("w", (2 * SIDE * DIM, HIDDEN)), ("b", (HIDDEN,)), ("u", (HIDDEN, CLASSES)), ("c", (CLASSES,))]
 WEIGHTS = sum(int(np.prod(s)) for _, s in _SHAPES)
 CHUNK = 1 << 18
@@ -126,9 +127,8 @@ def _train(shared, number: int):
                 slot, at = word_slots(b, o)
                 if len(slot):
                     cls = of[slot]
-                    pick = np.arange(seen + number * (MASKED // ROUNDS), seen + len(cls), 1)
-                    pick = np.flatnonzero((np.arange(seen, seen + len(cls)) + number * (MASKED // ROUNDS)) % MASKED == 0)
-                    pick = np.random.default_rng(seen).permutation(pick)
+                    place = np.arange(len(cls)) - np.repeat(at[:-1], np.diff(at))
+                    pick = np.random.default_rng(seen).permutation(np.flatnonzero(place % ROUNDS == number))
                     learn(weights, contexts(cls, at)[pick], cls[pick], RATE / (1 + number))
                     seen += len(cls)
         if seen:

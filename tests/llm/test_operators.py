@@ -414,3 +414,17 @@ def test_wrapper_text_of_a_large_host(spark):
     df = spark.createDataFrame([(i, "http://a.org/", f"<article><p>t</p><p>Body {i}</p><div class=zz>all alike</div></article>") for i in range(n)], "page_id long, url string, html string")
     got = {r["page_id"]: r["text"] for r in html_wrappers.main_texts(df.repartition(7)).collect()}
     assert {i: t.split("\n")[-1] for i, t in got.items()} == {i: f"Body {i}" for i in range(n)}
+
+
+def test_lm_training_masks_every_position_once(monkeypatch):
+    import pyarrow as pa
+    from types import SimpleNamespace
+
+    texts, met = [prose(i, 5 + i) for i in range(40)], []
+    monkeypatch.setattr(lm_scoring, "learn", lambda weights, around, target, rate: met.extend(target.tolist()))
+    shared = SimpleNamespace(value=(lm_scoring.start(), np.arange(lm_scoring.SLOTS, dtype=np.int32)))
+    for number in range(lm_scoring.ROUNDS):
+        list(lm_scoring._train(shared, number)([pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])]))
+    raw = [t.encode() for t in texts]
+    slot, _ = lm_scoring.word_slots(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]))
+    assert sorted(met) == sorted(slot.tolist())
