@@ -2,10 +2,13 @@
 
 Every word is predicted from both sides: a network over the classes of the two words before and the two after it, with
 embeddings, one hidden layer and a softmax over classes, gives log P(class | context), and counts of the whole corpus
-give log P(word | class).  A document's score is the sum over all its words, or its mean per word.
+give log P(word | class), n(word) / n(class).  A document's score is the sum over all its words, or its mean per word.
 
-What is gathered: counts of all words of all texts, by hash into 2**18 slots, summed up within each partition first
-(the commonest slots are classes of their own, the others share classes by hash); and the network's weights, trained in
+The class of a word is that of its slot, one of 2**18 by hash: the commonest slots are classes of their own, the others
+share classes by hash.  The count of a word is its own, by 64 bits of hash, in a table that grows with the vocabulary.
+The commonest words' counts, HEAD at most, are broadcast, which keeps them out of the join by which all others get theirs.
+
+What is gathered: counts of all slots and of the broadcast words, and the network's weights, trained in
 numpy within every input partition, then averaged over partitions by their number of words, for ROUNDS rounds that
 start from the last average.  A round masks every ROUNDS-th position of every text, the next round the positions after
 these, with all words as context, so that every word of every text is a target once.  Both grow with the number of
@@ -19,12 +22,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, slices, spans_hash, text_rows, words
 
-SLOTS = 1 << 18
+SLOTS = HEAD = 1 << 18
 OWN, SHARED = 192, 64
 CLASSES = OWN + SHARED
 EDGE = CLASSES  # stands for what lies beyond a text's ends
@@ -32,7 +36,8 @@ DIM, HIDDEN, SIDE = 12, 32, 2
 ROUNDS, BATCH, RATE = 2, 256, 0.5
 _SHAPES = [("e", (CLASSES + 1, DIM)), ("w", (2 * SIDE * DIM, HIDDEN)), ("b", (HIDDEN,)), ("u", (HIDDEN, CLASSES)), ("c", (CLASSES,))]
 WEIGHTS = sum(int(np.prod(s)) for _, s in _SHAPES)
-CHUNK = 1 << 18
+GATHERED = 1 << 20
+_LAST = (1 << 63) - 1
 
 
 def split(weights: np.ndarray) -> dict[str, np.ndarray]:
@@ -53,21 +58,59 @@ def start(seed: int = 11) -> np.ndarray:
     return out
 
 
+def word_hashes(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64 bits of hash of every word, and the n+1 offsets of rows into them."""
+    starts, ends, at = words(buf, offs)
+    return spans_hash(buf, starts, ends, lower=True), at
+
+
 def word_slots(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Slot of every word, and the n+1 offsets of rows into them."""
-    starts, ends, at = words(buf, offs)
-    return (spans_hash(buf, starts, ends, lower=True) & np.uint64(SLOTS - 1)).astype(np.int32), at
+    h, at = word_hashes(buf, offs)
+    return (h & np.uint64(SLOTS - 1)).astype(np.int32), at
 
 
 def _count(batches):
-    total = np.zeros(SLOTS, np.int64)
+    """Counts of the words of about GATHERED at a time, summed up afterwards."""
+    held, n = [], 0
+
+    def counted():
+        h, k = np.unique(np.concatenate(held), return_counts=True)
+        for i in range(0, len(h), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(h[i : i + 50_000].view(np.int64)), pa.array(k[i : i + 50_000].astype(np.int64))], ["h", "n"])
+
     for batch in batches:
         buf, offs = text_rows(batch.column(0))
-        for *_, b, o in slices(buf, offs):
-            total += np.bincount(word_slots(b, o)[0], minlength=SLOTS)
-    at = np.flatnonzero(total)
-    for i in range(0, len(at), 50_000):
-        yield pa.RecordBatch.from_arrays([pa.array(at[i : i + 50_000]), pa.array(total[at[i : i + 50_000]])], ["slot", "n"])
+        for *_, b, o in slices(buf, offs, 1 << 20):
+            held.append(word_hashes(b, o)[0])
+            n += len(held[-1])
+            if n >= GATHERED:
+                yield from counted()
+                held, n = [], 0
+    if n:
+        yield from counted()
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """h and n of every word of docs (text), written."""
+    return cut(docs.select("text").mapInArrow(_count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "lm-counts")
+
+
+def commonest(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """Sorted hashes of the words that are met most, HEAD at most, their counts, and the least of these."""
+    step = F.floor(F.log2("n") * 16)
+    total, least = 0, None
+    for r in sorted(counts.groupBy(step.alias("step")).agg(F.count("*").alias("words"), F.min("n").alias("least")).collect(), key=lambda r: -r["step"]):
+        total += r["words"]
+        if total > HEAD:
+            break
+        least = r["least"]
+    if least is None:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), _LAST
+    found = counts.where(F.col("n") >= least).toPandas()
+    h, n = found["h"].to_numpy(np.int64).view(np.uint64), found["n"].to_numpy(np.int64)
+    order = np.argsort(h)
+    return h[order], n[order], least
 
 
 def classes(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,14 +180,14 @@ def _train(shared, number: int):
     return run
 
 
-def train(docs: DataFrame):
-    """(weights, class of each slot, log P(slot | class)) of all texts."""
+def train(docs: DataFrame, table: DataFrame):
+    """(weights, class of each slot, log of each class's count) of all texts and their word_counts."""
     sc = docs.sparkSession.sparkContext
     texts = docs.select("text")
     counts = np.zeros(SLOTS, np.int64)
-    found = texts.mapInArrow(_count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    found = table.groupBy(F.col("h").bitwiseAND(SLOTS - 1).alias("slot")).agg(F.sum("n").alias("n")).toPandas()
     counts[found["slot"].to_numpy(np.int64)] = found["n"]
-    of, within = classes(counts)
+    of, _ = classes(counts)
     weights = start()
     if counts.any():
         split(weights)["c"][:] = np.log(np.maximum(np.bincount(of, counts, CLASSES), 0.5) / counts.sum())
@@ -152,42 +195,68 @@ def train(docs: DataFrame):
             mean = texts.mapInArrow(_train(sc.broadcast((weights, of)), number), "k int, v double, n long").groupBy("k").agg((F.sum("v") / F.sum("n")).alias("v")).toPandas()
             weights = np.zeros(WEIGHTS, np.float32)
             weights[mean["k"].to_numpy(np.int64)] = mean["v"]
-    return weights, of, within
+    return weights, of, np.log(np.maximum(np.bincount(of, counts, CLASSES), 0.5))
 
 
 def log_probabilities(model, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words, and the sum of their conditional log probabilities, of every row."""
+    slot, at = word_slots(buf, offs)
+    return np.diff(at), slot_sums(model, slot, at)
+
+
+def slot_sums(model, slot: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The sum of each row's log P(class | context) and what the model gives the slots within their classes."""
     weights, of, within = model
     m = split(weights)
-    slot, at = word_slots(buf, offs)
     out = np.zeros(len(slot) + 1)
     if len(slot):
         cls = of[slot]
         around = contexts(cls, at)
         own = np.empty(len(slot), np.float32)
-        for i in range(0, len(slot), 8192):
-            *_, z = forward(m, around[i : i + 8192])
-            y = cls[i : i + 8192]
+        for i in range(0, len(slot), 1024):
+            *_, z = forward(m, around[i : i + 1024])
+            y = cls[i : i + 1024]
             mine = z[np.arange(len(y)), y]
-            own[i : i + 8192] = mine - np.log(np.exp(z, out=z).sum(1))
+            own[i : i + 1024] = mine - np.log(np.exp(z, out=z).sum(1))
         np.cumsum(own.astype(np.float64) + within[slot], out=out[1:])
-    return np.diff(at), out[at[1:]] - out[at[:-1]]
+    return out[at[1:]] - out[at[:-1]]
 
 
-def lm_scores(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, log_likelihood and mean_log_likelihood of every row of docs (doc_id, text)."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs))
+def _scored(shared):
+    """A row's words, the sum of log P(class | context) and log P(word | class) but for the counts of words outside the head, and these words."""
 
     def run(batches):
+        (weights, of, size), head, n_head = shared.value
+        within, log_head = -size[of], np.log(n_head)
+        pid, seen = TaskContext.get().partitionId(), 0
         for batch in batches:
             buf, offs = text_rows(batch.column(1))
-            n, total = [np.zeros(0, np.int64)], [np.zeros(0)]
-            for *_, b, o in slices(buf, offs, 1 << 20):
-                k, s = log_probabilities(shared.value, b, o)
-                n.append(k)
-                total.append(s)
-            n, total = np.concatenate(n), np.concatenate(total)
-            mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(total), mean], ["doc_id", "n_words", "log_likelihood", "mean_log_likelihood"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_words long, log_likelihood double, mean_log_likelihood double")
+            for a, z, b, o in slices(buf, offs, 1 << 20):
+                h, at = word_hashes(b, o)
+                n, total = np.diff(at), slot_sums((weights, of, within), (h & np.uint64(SLOTS - 1)).astype(np.int32), at)
+                k = np.minimum(np.searchsorted(head, h), max(0, len(head) - 1))
+                common = head[k] == h if len(head) else np.zeros(len(h), bool)
+                logs, rare = np.zeros(len(h) + 1), np.zeros(len(h) + 1, np.int32)
+                np.cumsum(np.where(common, log_head[k] if len(head) else 0, 0), out=logs[1:])
+                np.cumsum(~common, out=rare[1:])
+                total = total + logs[at[1:]] - logs[at[:-1]]
+                lists = pa.ListArray.from_arrays(pa.array(rare[at]), pa.array(h[~common].view(np.int64)))
+                row = pa.array((pid << 33) + seen + np.arange(z - a))
+                seen += z - a
+                yield pa.RecordBatch.from_arrays([row, batch.column(0).slice(a, z - a), pa.array(n), pa.array(total), lists], ["row", "doc_id", "n_words", "total", "rare"])
+
+    return run
+
+
+def lm_scores(docs: DataFrame) -> DataFrame:
+    """doc_id, n_words, log_likelihood and mean_log_likelihood of every row of docs (doc_id, text)."""
+    table = word_counts(docs)
+    *head, least = commonest(table)
+    shared = docs.sparkSession.sparkContext.broadcast((train(docs, table), *head))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scored(shared), "row long, doc_id long, n_words long, total double, rare array<long>")
+    rows = cut(rows, "lm-rows")
+    met = rows.select("row", F.explode("rare").alias("h"))
+    logs = met.join(table.where(F.col("n") < least).select("h", F.log("n").alias("log_n")), "h").groupBy("row").agg(F.sum("log_n").alias("more"))
+    out = rows.drop("rare").join(logs, "row", "left")
+    total = F.col("total") + F.coalesce("more", F.lit(0.0))
+    return out.select("doc_id", "n_words", total.alias("log_likelihood"), F.when(F.col("n_words") > 0, total / F.col("n_words")).alias("mean_log_likelihood"))

@@ -428,3 +428,19 @@ def test_lm_training_masks_every_position_once(monkeypatch):
     raw = [t.encode() for t in texts]
     slot, _ = lm_scoring.word_slots(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]))
     assert sorted(met) == sorted(slot.tolist())
+
+
+@pytest.mark.parametrize("head", [1 << 18, 40, 0])
+def test_lm_counts_of_words_that_share_a_slot(spark, monkeypatch, head):
+    by, pair = {}, None
+    for i in range(10_000):
+        w = f"w{i}"
+        slot = lm_scoring.word_slots(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)]))[0][0]
+        pair = pair or (by[slot], w) if slot in by else pair
+        by[slot] = w
+    often, once = pair
+    texts = [f"{often} filler{i}" for i in range(40)] + [once, often, often]
+    monkeypatch.setattr(lm_scoring, "HEAD", head)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["log_likelihood"] for r in lm_scoring.lm_scores(df).collect()}
+    assert len(got) == 43 and got[41] == got[42] and abs(got[41] - got[40] - np.log(42)) < 1e-4
