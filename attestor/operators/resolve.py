@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -58,13 +60,31 @@ def admit(df: DataFrame, *conditions: tuple[DataFrame, Sequence[str]]) -> DataFr
     return df
 
 
-def ancestors(edges: DataFrame, child: str, parent: str, rounds: int) -> DataFrame:
-    """(node, ancestor, depth) over a forest of at most `rounds` levels, level by level."""
-    step = edges.select(F.col(child).alias("node"), F.col(parent).alias("ancestor"), F.lit(1).alias("depth"))
-    out = step
+def written(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read back; a temporary one only where none is set."""
+    spark = df.sparkSession
+    top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    path = f"{top or 'file://' + tempfile.mkdtemp(prefix='attestor-')}/level-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def ancestors(edges: DataFrame, child: str, parent: str, rounds: int | None = None) -> DataFrame:
+    """(node, ancestor, depth) over a forest, level by level, each written, until a level is empty, or of `rounds` levels.
+
+    A cycle has no last level: a node that is its own ancestor raises ValueError.
+    """
     links = edges.select(F.col(child).alias("ancestor"), F.col(parent).alias("_up"))
-    for depth in range(2, rounds + 1):
-        step = step.join(links, "ancestor").select("node", F.col("_up").alias("ancestor"), F.lit(depth).alias("depth"))
+    out = step = written(edges.select(F.col(child).alias("node"), F.col(parent).alias("ancestor"), F.lit(1).alias("depth")))
+    depth = 1
+    while depth != rounds:
+        cyclic, more = step.agg(F.coalesce(F.bool_or(F.col("node") == F.col("ancestor")), F.lit(False)), F.count("*")).first()
+        if cyclic:
+            raise ValueError(f"cycle of {depth} levels in {child}, {parent}")
+        if not more:
+            break
+        depth += 1
+        step = written(step.join(links, "ancestor").select("node", F.col("_up").alias("ancestor"), F.lit(depth).alias("depth")))
         out = out.unionByName(step)
     return out
 

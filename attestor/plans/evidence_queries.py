@@ -258,4 +258,4 @@ select node, cast(ancestor as bigint) as ancestor, depth from r
 """)
 def recursive_chain(t):
     e = t.part.where("p_partkey >= 3").select(F.col("p_partkey").alias("node"), F.expr("p_partkey div 3").alias("up"))
-    return rs.ancestors(e, "node", "up", 6)
+    return rs.ancestors(e, "node", "up")

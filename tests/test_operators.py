@@ -150,3 +150,23 @@ def test_stream(spark, tmp_path):
     q = snapshots.each_batch(snapshots.unseen(stream, spark.createDataFrame([("a",)], "u string"), "u"), lambda df, n: found.extend(df.collect()), f"{tmp_path}/ck2")
     q.awaitTermination(120)
     assert found[-1]["u"] == "b"
+
+
+def test_recursive_chain_has_all_levels(spark, tmp_path):
+    import pytest
+    from attestor.operators import resolve
+    from attestor.plans.catalogue import QUERIES
+
+    n = 7000
+    spark.range(1, n).withColumnRenamed("id", "p_partkey").write.parquet(f"{tmp_path}/part.parquet")
+    expected = set()
+    for node in range(3, n):
+        up, depth = node // 3, 1
+        while up:
+            expected.add((node, up, depth))
+            up, depth = up // 3, depth + 1
+    got = [tuple(r) for r in QUERIES["recursive_chain"](spark, f"file://{tmp_path}").select("node", "ancestor", "depth").collect()]
+    assert len(got) == len(set(got)) and set(got) == expected and max(d for *_, d in got) == 8
+    cycle = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (4, 1)], "a long, b long")
+    with pytest.raises(ValueError):
+        resolve.ancestors(cycle, "a", "b")
