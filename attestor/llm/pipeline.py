@@ -33,12 +33,18 @@ def distinct_texts(spark, docs, sf_dir):
 
 
 def one_of_each_group(spark, docs, sf_dir):
-    """Of linked documents, the one with the smallest doc_id."""
+    """Of linked documents, the one with the smallest doc_id, null last; rows are told apart by doc_id and text."""
     from .ngram_join import ngram_components
 
-    (other,) = fresh(docs, "gone")
-    gone = ngram_components(docs).where("component_id <> doc_id").select(F.col("doc_id").alias(other))
-    return docs.join(gone, F.col("doc_id") == F.col(other), "left_anti")
+    key, gone = fresh(docs, "key", "gone")
+    keyed = docs.withColumn(key, F.shiftrightunsigned(F.xxhash64("doc_id", F.col("doc_id").isNull(), "text"), 1))
+    groups = ngram_components(keyed.select(F.col(key).alias("doc_id"), "text")).select(F.col("doc_id").alias(gone), F.col("component_id").alias("component"))
+    shared = groups.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
+    linked = cut(groups.join(shared, "component"), "linked")
+    ranked = linked.join(keyed.select(F.col(key).alias(gone), F.col("doc_id").alias("id")), gone).withColumn("rank", F.struct(F.col("id").isNull().alias("none"), "id", F.col(gone).alias("key")))
+    first = ranked.groupBy("component").agg(F.min("rank").getField("key").alias("stays"))
+    lost = linked.join(first, "component").where(F.col(gone) != F.col("stays")).select(gone).distinct()
+    return keyed.join(lost, F.col(key) == F.col(gone), "left_anti").drop(key)
 
 
 def without_repeats(spark, docs, sf_dir):

@@ -59,3 +59,15 @@ def test_run_of_nothing(spark, tmp_path):
     one.write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
     out = corpus_pipeline.run(spark, f"file://{tmp_path}").select("doc_id", F.col("offset"))
     assert [tuple(r) for r in out.collect()] == [(7, 0)]
+
+
+def test_one_row_of_each_group_whatever_its_id(spark):
+    from attestor.llm.pipeline import one_of_each_group
+
+    base = [[f"w{i}x{k}" for k in range(200)] for i in range(4)]
+    near = lambda i, k: " ".join("changed" if n == k else w for n, w in enumerate(base[i]))
+    rows = [(1, near(0, 5)), (None, near(0, 9)), (None, near(1, 5)), (None, near(1, 9)), (2, near(2, 5)), (2, near(2, 9)), (1, near(3, 5)), (3, near(0, 70)), (4, None), (None, None), (3, "another text of the same id that is like none")]
+    df = kept(spark.createDataFrame(rows, "doc_id long, text string"), "t5")
+    got = [tuple(r) for r in one_of_each_group(spark, df, "").collect()]
+    stay = {(1, near(0, 5)), (1, near(3, 5)), (4, None), (None, None), rows[-1]}
+    assert stay <= set(got) and len(got) == 7 and len(set(got) & set(rows[2:4])) == 1 and len(set(got) & set(rows[4:6])) == 1
