@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import _BINV, _power, fresh, mix, slices, spans_hash, text_rows, words
 
-MIN_WORDS = 25
+MIN_WORDS, LINE_WORDS = 25, 8
 _LAST = (1 << 63) - 1
 
 
@@ -87,8 +87,8 @@ def _units(batches):
                 yield pa.RecordBatch.from_arrays([pa.array(c[i : i + 100_000]) for c in columns], names)
 
 
-def _runs(first: dict[int, int], size: np.ndarray, least: int):
-    """First and last unit of every run of marked units that has enough words."""
+def _runs(first: dict[int, int], size: np.ndarray, opens: np.ndarray, least: int):
+    """First and last unit of every run of marked units that has enough words, and of the whole lines in shorter runs."""
     k = 0
     while k < len(size):
         if k not in first:
@@ -102,6 +102,11 @@ def _runs(first: dict[int, int], size: np.ndarray, least: int):
             to += 1
         if n >= least:
             yield k, last
+        elif n >= LINE_WORDS:
+            edges = [*(k + np.flatnonzero(opens[k:to])).tolist(), *([to] if to == len(size) or opens[to] else [])]
+            for x, y in zip(edges, edges[1:], strict=False):
+                if size[x:y].sum() >= LINE_WORDS and x in first:
+                    yield x, max(i for i in range(x, y) if i in first)
         k = to
 
 
@@ -123,7 +128,9 @@ def _cut(text: pa.Array, ranks: pa.Array, places: pa.Array, firsts: pa.Array, le
                 first = dict(zip(marks[i] or [], sources[i] or [], strict=True))
                 first |= {p: first.get(q, ranks[a + i].as_py()) for p, q in own.get(i, [])}
                 edge = [*starts[at[i] : at[i + 1]].tolist(), to]
-                for k, last in _runs(first, size[at[i] : at[i + 1]], least):
+                begin = starts[at[i] : at[i + 1]]
+                opens = (begin == o[i]) | (part[begin - 1] == 10)
+                for k, last in _runs(first, size[at[i] : at[i + 1]], opens, least):
                     x, y = edge[k], edge[last + 1]
                     out.append(raw[kept_from:x])
                     gone.append((len(raw[o[i] : x].decode()), len(raw[x:y].decode()), first[k]))

@@ -444,3 +444,11 @@ def test_lm_counts_of_words_that_share_a_slot(spark, monkeypatch, head):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     got = {r["doc_id"]: r["log_likelihood"] for r in lm_scoring.lm_scores(df).collect()}
     assert len(got) == 43 and got[41] == got[42] and abs(got[41] - got[40] - np.log(42)) < 1e-4
+
+
+def test_short_repeated_lines_go(spark):
+    line, few = prose(1, 12), prose(2, 5)
+    texts = [f"{line}\n{few}\nend one", f"start two\n{line}\n{few}\nend two", f"In {prose(3, 4)}. {line}. {prose(4, 4)}.", f"In {prose(5, 4)}. {line}. {prose(6, 4)}.", line]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r["text"] for r in substring_dedup.substring_dedup_report(df).orderBy("doc_id").collect()]
+    assert got == [texts[0], f"start two\n{few}\nend two", texts[2], texts[3], ""]
