@@ -170,3 +170,12 @@ def test_recursive_chain_has_all_levels(spark, tmp_path):
     cycle = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (4, 1)], "a long, b long")
     with pytest.raises(ValueError):
         resolve.ancestors(cycle, "a", "b")
+
+
+def test_dont_care_overlap_has_all_pairs_of_a_brand(spark, tmp_path):
+    from attestor.plans.catalogue import QUERIES
+
+    rows = [(1, "A", 0), (500, "A", 3), (9000, "A", 2), (9001, "B", 2)]
+    spark.createDataFrame(rows, "p_partkey long, p_brand string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    got = {tuple(r) for r in QUERIES["dont_care_overlap"](spark, f"file://{tmp_path}").collect()}
+    assert got == {("A", 1, 500, "1000", "101x", False), ("A", 1, 9000, "1000", "1010", False), ("A", 500, 9000, "101x", "1010", True)}
