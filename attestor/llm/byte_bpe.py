@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding on padded numpy matrices.
 
 A slice of texts is cut into pre-tokens by run boundaries of character classes (the pattern of the rank files, without
-a regular-expression engine).  Pre-tokens are looked up by 64-bit hash among those that the worker has met; new ones
+a regular-expression engine).  Pre-tokens are looked up by hash, and compared by their bytes, among those that the worker has met; new ones
 are encoded together: bucketed by length into padded matrices in which every row merges its leftmost pair of minimum
 rank each round, pairs being looked up in an open-addressing hash table, and finished rows leave the matrix.  Pre-tokens
 of over LONG bytes, of which a matrix would need as many rounds, are merged with a heap.
@@ -22,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, slices, spans_hash, text_rows
+from .common import HashTable, Met, mix, slices, spans_hash, text_rows
 
 LONG = 128
 #: A worker forgets the pre-tokens that it has met when there are more.
-KNOWN = 1_500_000
+KNOWN = 500_000
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 4
 #: \s of the pattern beside ASCII's: fixed values of Unicode's White_Space.
 WIDE_SPACES = [0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -119,43 +119,6 @@ def pretokens(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return first, np.append(first[1:], len(buf)), np.searchsorted(first, offs)
 
 
-class HashTable:
-    """uint64 keys (not 0) to int32 values, open addressing, whole arrays at a time."""
-
-    def __init__(self, size: int):
-        self.keys, self.values = np.zeros(size, np.uint64), np.full(size, -1, np.int32)
-        self.mask = np.uint64(size - 1)
-
-    def get(self, keys: np.ndarray) -> np.ndarray:
-        """Values, -1 where there is none."""
-        out = np.full(len(keys), -1, np.int32)
-        slot = (keys & self.mask).astype(np.int64)
-        found = self.keys[slot]
-        hit = found == keys
-        out[hit] = self.values[slot[hit]]
-        left = np.flatnonzero(~hit & (found != 0))
-        while len(left):
-            slot[left] = (slot[left] + 1) & int(self.mask)
-            found = self.keys[slot[left]]
-            hit = found == keys[left]
-            out[left[hit]] = self.values[slot[left[hit]]]
-            left = left[~hit & (found != 0)]
-        return out
-
-    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
-        """Add distinct new keys."""
-        slot = (keys & self.mask).astype(np.int64)
-        left = np.arange(len(keys))
-        while len(left):
-            free = left[self.keys[slot[left]] == 0]
-            self.keys[slot[free]] = keys[free]
-            self.values[slot[free]] = values[free]
-            won = self.keys[slot[left]] == keys[left]
-            self.values[slot[left[won]]] = values[left[won]]
-            left = left[~won]
-            slot[left] = (slot[left] + 1) & int(self.mask)
-
-
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
@@ -266,24 +229,24 @@ def merge_heap(ids: np.ndarray, ranks: Ranks) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes slices of texts; remembers pre-tokens by hash."""
+    """Encodes slices of texts; remembers pre-tokens."""
 
     def __init__(self, ranks: Ranks):
         self.ranks = ranks
         self.forget()
 
     def forget(self) -> None:
-        self.known = HashTable(1 << 22)
-        self.count = 0
-        self.offsets, self.lengths = np.zeros(KNOWN * 2, np.int64), np.zeros(KNOWN * 2, np.int64)
-        self.flat, self.used = np.zeros(1 << 22, np.int32), 0
+        self.met = Met(1 << (2 * KNOWN - 1).bit_length())
+        self.offsets, self.lengths = np.zeros(KNOWN, np.int64), np.zeros(KNOWN, np.int64)
+        self.flat, self.used = np.zeros(1 << 20, np.int32), 0
 
-    def _learn(self, buf, starts, ends, keys) -> None:
+    def _merged(self, buf, starts, ends) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of pre-tokens stand in flat, and how many they are."""
         size = ends - starts
         grown = self.used + int(size.sum())
         if grown > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(max(grown - len(self.flat), len(self.flat)), np.int32)])
-        lengths, offsets = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        lengths, offsets = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
         bucket = np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64)
         for k in np.unique(bucket[size <= LONG]):
             of = np.flatnonzero((bucket == k) & (size <= LONG))
@@ -302,29 +265,31 @@ class Encoder:
             offsets[i], lengths[i] = self.used, len(ids)
             self.flat[self.used : self.used + len(ids)] = ids
             self.used += len(ids)
-        self.offsets[self.count : self.count + len(keys)], self.lengths[self.count : self.count + len(keys)] = offsets, lengths
-        self.known.put(keys, np.arange(self.count, self.count + len(keys), dtype=np.int32))
-        self.count += len(keys)
+        return offsets, lengths
 
     def encode(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All rows' ids, and the n+1 offsets of rows into them."""
         starts, ends, at = pretokens(buf, offs)
         keys = spans_hash(buf, starts, ends) | np.uint64(1)
-        which = self.known.get(keys)
-        new = np.flatnonzero(which < 0)
+        which = self.met.find(buf, starts, ends, keys)
+        new = np.flatnonzero(which == -1)
         if len(new):
             fresh, first = np.unique(keys[new], return_index=True)
-            if self.count + len(fresh) > KNOWN:
+            first, n = new[first], self.met.n
+            if n and n + len(fresh) > KNOWN:
                 self.forget()
-                new = np.arange(len(keys))
-                fresh, first = np.unique(keys, return_index=True)
-            if len(fresh) > len(self.offsets):
-                self.offsets, self.lengths, self.known = np.zeros(len(fresh), np.int64), np.zeros(len(fresh), np.int64), HashTable(1 << (2 * len(fresh)).bit_length())
-            self._learn(buf, starts[new[first]], ends[new[first]], fresh)
-            which[new] = self.known.get(keys[new])
-        size = self.lengths[which]
+                return self.encode(buf, offs)
+            if n + len(fresh) > len(self.offsets):
+                self.offsets, self.lengths = np.zeros(n + len(fresh), np.int64), np.zeros(n + len(fresh), np.int64)
+            self.offsets[n : n + len(fresh)], self.lengths[n : n + len(fresh)] = self._merged(buf, starts[first], ends[first])
+            self.met.add(buf, starts[first], ends[first], fresh)
+            which[new] = self.met.find(buf, starts[new], ends[new], keys[new])
+        place, size = self.offsets[which], self.lengths[which]
+        apart = np.flatnonzero(which < 0)
+        if len(apart):  # another pre-token has the same hash
+            place[apart], size[apart] = self._merged(buf, starts[apart], ends[apart])
         to = np.concatenate([[0], np.cumsum(size)])
-        return self.flat[np.repeat(self.offsets[which] - to[:-1], size) + np.arange(to[-1])], to[at]
+        return self.flat[np.repeat(place - to[:-1], size) + np.arange(to[-1])], to[at]
 
 
 def default_path() -> str:

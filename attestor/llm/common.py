@@ -1,11 +1,12 @@
 """Helpers shared by the text operators: shared-folder tables, Arrow slices, hashing of bytes in numpy.
 
-Text reaches numpy as the UTF-8 bytes of an Arrow batch, in slices of a few megabytes, so that memory does not
+Text reaches numpy as the UTF-8 bytes of an Arrow batch, in slices of a quarter of a megabyte, so that memory does not
 depend on how many rows a batch or a partition holds.  One document is never cut: a slice holds at least one row.
 """
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -14,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 18
 
 #: The white space of the contracts, [\x20\x09-\x0D].
 SPACES = b" \t\n\x0b\x0c\r"
@@ -25,9 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set, as in tests."""
+    """The folder that driver and executors share; a temporary one only where it is unset in local mode, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="attestor-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
@@ -38,7 +41,16 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.cut_path = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables of cut() that no later job reads."""
+    for df in tables:
+        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df.cut_path)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -64,30 +76,15 @@ def slices(buf: np.ndarray, offs: np.ndarray, most: int = SLICE_BYTES):
         at = to
 
 
-# Hashing: value of byte b at place i is T[b] * B**i modulo 2**64; a prefix sum gives every substring, and dividing
-# by B**start makes it independent of the place.
-
+#: Spans of up to so many bytes are hashed in numpy, eight bytes at a time; the few longer ones by BLAKE2b.
+SHORT = 64
 _rng = np.random.Generator(np.random.PCG64(20240229))
-_T = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_B = 0x9E3779B97F4A7C15 | 1
-_BINV = pow(_B, -1, 1 << 64)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_T_LOWER = _T[_LOWER]
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACES)] = True
-_powers: dict[str, np.ndarray] = {}
-
-
-def _power(n: int, which: str) -> np.ndarray:
-    have = _powers.get(which)
-    if have is None or len(have) < n:
-        size = max(SLICE_BYTES + 1024, 1 << max(1, (n - 1)).bit_length())
-        base = np.full(size, _B if which == "up" else _BINV, np.uint64)
-        base[0] = 1
-        with np.errstate(over="ignore"):
-            have = _powers[which] = np.multiply.accumulate(base)
-    return have[:n]
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -101,15 +98,134 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def spans_hash(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-    """64-bit hash of each buf[start:end]; ASCII letters folded if lower."""
-    n = len(buf)
+def windows(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place as a number, with zeros beyond the end."""
+    padded = np.concatenate([buf, np.zeros(8, np.uint8)])
+    return np.ndarray((len(buf) + 1,), "<u8", padded, 0, (1,))
+
+
+def spans_hash(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False, seed: int = 0) -> np.ndarray:
+    """64-bit hash of each buf[start:end], ASCII letters folded if lower; other seeds give independent hashes.
+
+    Every eight bytes go through a whole mixing round, so that no pattern of bytes cancels out.
+    """
+    if lower:
+        buf = _LOWER[buf]
+    win, size = windows(buf), ends - starts
     with np.errstate(over="ignore"):
-        total = np.empty(n + 1, np.uint64)
-        total[0] = 0
-        np.cumsum((_T_LOWER if lower else _T)[buf] * _power(n, "up"), out=total[1:])
-        own = (total[ends] - total[starts]) * _power(n + 1, "down")[starts]
-        return mix(own + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        out = mix((size.astype(np.uint64) + np.uint64(seed + 1)) * _STEP)
+        out = mix(out ^ (win[starts] & _MASKS[np.clip(size, 0, 8)]))
+        left, at = np.flatnonzero((size > 8) & (size <= SHORT)), 8
+        while len(left):
+            out[left] = mix(out[left] * _STEP ^ (win[starts[left] + at] & _MASKS[np.minimum(size[left] - at, 8)]))
+            at += 8
+            left = left[size[left] > at]
+    key = seed.to_bytes(8, "little")
+    for i in np.flatnonzero(size > SHORT).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(buf[starts[i] : ends[i]].tobytes(), digest_size=8, key=key).digest(), "little")
+    return out
+
+
+def runs_hash(h: np.ndarray, first: np.ndarray, size: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hash of each run of size hashes from its first on, one mixing round for each."""
+    with np.errstate(over="ignore"):
+        out = mix((size.astype(np.uint64) + np.uint64(seed + 1)) * _STEP)
+        left, k = np.flatnonzero((size > 0) & (size <= SHORT)), 0
+        while len(left):
+            out[left] = mix(out[left] * _STEP ^ h[first[left] + k])
+            k += 1
+            left = left[size[left] > k]
+    key = seed.to_bytes(8, "little")
+    for i in np.flatnonzero(size > SHORT).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(h[first[i] : first[i] + size[i]].tobytes(), digest_size=8, key=key).digest(), "little")
+    return out
+
+
+def same_spans(buf: np.ndarray, starts: np.ndarray, size: np.ndarray, other: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether size bytes from each start are those from the other's place; other ends in eight bytes to spare."""
+    a, b = windows(buf), np.ndarray((len(other) - 7,), "<u8", other, 0, (1,))
+    out = ((a[starts] ^ b[at]) & _MASKS[np.clip(size, 0, 8)]) == 0
+    left, k = np.flatnonzero((size > 8) & (size <= SHORT)), 8
+    while len(left):
+        out[left] &= ((a[starts[left] + k] ^ b[at[left] + k]) & _MASKS[np.minimum(size[left] - k, 8)]) == 0
+        k += 8
+        left = left[size[left] > k]
+    for i in np.flatnonzero(size > SHORT).tolist():
+        out[i] = (buf[starts[i] : starts[i] + size[i]] == other[at[i] : at[i] + size[i]]).all()
+    return out
+
+
+class HashTable:
+    """uint64 keys (not 0) to int32 values, open addressing, whole arrays at a time."""
+
+    def __init__(self, size: int):
+        self.keys, self.values = np.zeros(size, np.uint64), np.full(size, -1, np.int32)
+        self.mask = np.uint64(size - 1)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """Values, -1 where there is none."""
+        out = np.full(len(keys), -1, np.int32)
+        slot = (keys & self.mask).astype(np.int64)
+        found = self.keys[slot]
+        hit = found == keys
+        out[hit] = self.values[slot[hit]]
+        left = np.flatnonzero(~hit & (found != 0))
+        while len(left):
+            slot[left] = (slot[left] + 1) & int(self.mask)
+            found = self.keys[slot[left]]
+            hit = found == keys[left]
+            out[left[hit]] = self.values[slot[left[hit]]]
+            left = left[~hit & (found != 0)]
+        return out
+
+    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Add distinct new keys."""
+        slot = (keys & self.mask).astype(np.int64)
+        left = np.arange(len(keys))
+        while len(left):
+            free = left[self.keys[slot[left]] == 0]
+            self.keys[slot[free]] = keys[free]
+            self.values[slot[free]] = values[free]
+            won = self.keys[slot[left]] == keys[left]
+            self.values[slot[left[won]]] = values[left[won]]
+            left = left[~won]
+            slot[left] = (slot[left] + 1) & int(self.mask)
+
+
+class Met:
+    """Byte strings that have been met, numbered as they came: found by their hash, told apart by their bytes."""
+
+    def __init__(self, size: int = 1 << 20):
+        self.table, self.n, self.used = HashTable(size), 0, 0
+        self.raw, self.at, self.size = np.zeros(1 << 20, np.uint8), np.zeros(size // 2, np.int64), np.zeros(size // 2, np.int64)
+
+    def find(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """The number of each span, -1 if it is new, -2 if another string has its hash."""
+        out = self.table.get(keys)
+        known = np.flatnonzero(out >= 0)
+        number, size = out[known], (ends - starts)[known]
+        alike = size == self.size[number]
+        alike[alike] = same_spans(buf, starts[known[alike]], size[alike], self.raw, self.at[number[alike]])
+        out[known[~alike]] = -2
+        return out
+
+    def add(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray) -> None:
+        """Number distinct new strings; of those with one hash the first is kept."""
+        size = ends - starts
+        grown = self.used + int(size.sum())
+        if grown + 8 > len(self.raw):
+            self.raw = np.concatenate([self.raw, np.zeros(max(grown + 8 - len(self.raw), len(self.raw)), np.uint8)])
+        if self.n + len(keys) > len(self.at):
+            more = np.zeros(max(self.n + len(keys) - len(self.at), len(self.at)), np.int64)
+            self.at, self.size = np.concatenate([self.at, more]), np.concatenate([self.size, more])
+            old, self.table = self.table, HashTable(1 << (2 * len(self.at)).bit_length())
+            have = old.keys != 0
+            self.table.put(old.keys[have], old.values[have])
+        at = self.used + np.cumsum(size) - size
+        self.raw[self.used : grown] = buf[np.repeat(starts - (at - self.used), size) + np.arange(grown - self.used)]
+        self.at[self.n : self.n + len(keys)], self.size[self.n : self.n + len(keys)] = at, size
+        self.table.put(keys, np.arange(self.n, self.n + len(keys), dtype=np.int32))
+        self.n, self.used = self.n + len(keys), grown
 
 
 def words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -130,7 +246,7 @@ def words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return starts, ends, np.searchsorted(starts, offs)
 
 
-_W = _rng.integers(1, 1 << 63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_W = _rng.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def shingles(buf: np.ndarray, offs: np.ndarray, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -151,13 +267,10 @@ def shingles(buf: np.ndarray, offs: np.ndarray, width: int = 5) -> tuple[np.ndar
         p = place[full]
         total = h[p] * _W[0]
         for k in range(1, width):
-            total = mix(total + h[p + k] * _W[min(k, 7)])
+            total = mix(total + h[p + k] * _W[min(k, 63)])
         out[full] = total
-        for i in np.flatnonzero(~full):
-            total = np.uint64(count[row[i]]) * _W[7]
-            for x in h[place[i] : place[i] + count[row[i]]]:
-                total = total * _W[6] + x
-            out[i] = mix(np.array([total]))[0]
+    rest = np.flatnonzero(~full)
+    out[rest] = runs_hash(h, place[rest], count[row[rest]])
     return out, out_at
 
 
@@ -176,11 +289,11 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 FILTER_BITS = 1 << 24
 
 
-def possible(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """Rows of df whose key may be among the one column of wanted, by a broadcast bitmap of fixed size.
+def possible(df: DataFrame, key: str, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of df whose key may be among the one column of wanted, by a broadcast bitmap of fixed size, and those whose isn't.
 
-    A sieve before a join, which still has to follow: it keeps most of a wide table out of the join's shuffle, less so
-    the more keys there are.  Null keys pass.
+    A sieve before a join, which still has to follow for the first part: it keeps most of a wide table out of the join's
+    shuffle, less so the more keys there are.  Null keys are in the first part.
     """
     slot = F.pmod(F.xxhash64(F.col(wanted.columns[0])), F.lit(FILTER_BITS)) + 1
     parts = wanted.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect()
@@ -196,4 +309,19 @@ def possible(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
         at = slots.to_numpy(zero_copy_only=False).astype(np.int64)
         return pa.array((shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0)
 
-    return df.where(may(F.pmod(F.xxhash64(F.col(key)), F.lit(FILTER_BITS))) | F.col(key).isNull())
+    hit = may(F.pmod(F.xxhash64(F.col(key)), F.lit(FILTER_BITS))) | F.col(key).isNull()
+    return df.where(hit), df.where(~hit)
+
+
+#: Keys with over 1 / HOT of all rows are joined by broadcast: fewer than HOT of them by counting, whatever the size.
+HOT = 4096
+
+
+def spread_join(rows: DataFrame, groups: DataFrame, on: list[str], total: int, how: str = "inner") -> DataFrame:
+    """Join rows with groups, which name each key once with its number n of rows, so that no key's rows meet in one task.
+
+    groups should be written, as it is read more than once.
+    """
+    often, rare = groups.where(F.col("n") > total // HOT).drop("n"), groups.where(F.col("n") <= total // HOT).drop("n")
+    rest = rows.join(F.broadcast(often.select(*on)), on, "left_anti").join(rare, on, how)
+    return rows.join(F.broadcast(often), on).unionByName(rest)

@@ -448,7 +448,7 @@ def ngram_components(docs: DataFrame, width: int = 5) -> DataFrame:
 
         may = cut(may.join(broad("a"), "a").join(broad("b"), "b").select("a", "b", "na", "nb", "wa", "wb").mapInArrow(_plausible_wide, "a long, b long"), "ngram-pairs")
         needed = may.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(classes, "node")
-        own = possible(docs, "doc_id", needed.select("rep")).alias("d").join(needed.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.rep"))).select("node", "text")
+        own = possible(docs, "doc_id", needed.select("rep"))[0].alias("d").join(needed.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.rep"))).select("node", "text")
         texts = cut(own.mapInArrow(_only_own(width), "node long, text string"), "ngram-texts")
         sides = may.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
         return cut(sides.select("a", "b", "ta", "tb").mapInArrow(_linked(width), "a long, b long"), "ngram-links")

@@ -6,8 +6,9 @@ are grouped globally, and the earliest by (doc_id, place) stays.  Of the others,
 run, and runs of at least MIN_WORDS words are removed; shorter ones are everyday phrases and stay.  Each removed span
 keeps its place in the original text, in code points, and the document that has the earliest occurrence of its start.
 
-Digests are 96 bits.  A document sends each of its distinct units once.  Grouping sums up within each input partition
-first; the join that marks rows has one row of every digest on one side.
+Digests are 96 bits, of two independent hashes of the words.  A document sends each of its distinct units once.  Grouping
+sums up within each input partition first; the join that marks rows has one row of every digest on one side, and the
+commonest digests, which would fill one task each, are broadcast.
 
 Defined cases: null text stays null, an empty one empty.  A null doc_id ranks last.  Repeated rows of one id and text are
 one document and all get its result; texts that share an id share its rank.  Units without words are never counted, and
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _BINV, _power, fresh, mix, slices, spans_hash, text_rows, words
+from .common import cut, fresh, runs_hash, slices, spans_hash, spread_join, text_rows, words
 
 MIN_WORDS, LINE_WORDS = 25, 8
 _LAST = (1 << 63) - 1
@@ -44,20 +45,13 @@ def digests(buf: np.ndarray, offs: np.ndarray):
     """Of the units with words: row, index within the row, two digests; and all units' starts, offsets, words."""
     starts, at = units(buf, offs)
     ws, we, _ = words(buf, offs)
-    h = spans_hash(buf, ws, we, lower=True)
     first = np.searchsorted(ws, starts)
-    last = np.append(first[1:], len(ws))
-    size = last - first
-    with np.errstate(over="ignore"):
-        out = []
-        for seed in (np.uint64(0), np.uint64(0x5851F42D4C957F2D)):
-            total = np.zeros(len(ws) + 1, np.uint64)
-            np.cumsum(mix(h ^ seed) * _power(len(ws), "up"), out=total[1:])
-            out.append(mix((total[last] - total[first]) * _power(len(ws) + 1, "down")[first] + size.astype(np.uint64) * np.uint64(_BINV)))
+    size = np.append(first[1:], len(ws)) - first
     row = np.repeat(np.arange(len(offs) - 1), np.diff(at))
     place = np.arange(len(starts)) - at[:-1][row]
     has = size > 0
-    return row[has], place[has], out[0][has], (out[1][has] >> np.uint64(32)).astype(np.uint32), starts, at, size
+    one, two = (runs_hash(spans_hash(buf, ws, we, True, seed), first[has], size[has], seed) for seed in (1, 2))
+    return row[has], place[has], one, (two >> np.uint64(32)).astype(np.uint32), starts, at, size
 
 
 def repeated(row: np.ndarray, place: np.ndarray, d1: np.ndarray, d2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -145,10 +139,10 @@ def _cut(text: pa.Array, ranks: pa.Array, places: pa.Array, firsts: pa.Array, le
 def remove_repeats(docs: DataFrame, out: str, min_words: int = MIN_WORDS) -> DataFrame:
     """docs with text cut, and a struct of n_removed, removed_chars, removed ('start+length<first document', by ';')."""
     rank, h, r, g, places, firsts = fresh(docs.withColumn(out, F.lit(0)), "rank", "hash", "r", "g", "places", "firsts")
-    keyed = docs.withColumn(rank, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))).withColumn(h, F.hash(F.coalesce("text", F.lit(""))))
-    rows = keyed.select(rank, h, "text").mapInArrow(_units, "rank long, h int, place int, d1 long, d2 int")
-    groups = rows.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min("rank").alias("first")).where("n > 1").drop("n")
-    marks = rows.join(groups, ["d1", "d2"]).where("rank <> first").select("rank", "h", "place", "first")
+    keyed = docs.withColumn(rank, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))).withColumn(h, F.xxhash64(F.coalesce("text", F.lit(""))))
+    rows = cut(keyed.select(rank, h, "text").mapInArrow(_units, "rank long, h long, place int, d1 long, d2 int"), "units")
+    groups = cut(rows.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min("rank").alias("first")).where("n > 1"), "unit-groups")
+    marks = spread_join(rows, groups, ["d1", "d2"], rows.count()).where("rank <> first").select("rank", "h", "place", "first")
     lists = marks.groupBy("rank", "h").agg(F.array_sort(F.collect_set(F.struct("place", "first"))).alias("marks"))
     lists = lists.select(F.col("rank").alias(r), F.col("h").alias(g), F.col("marks.place").alias(places), F.col("marks.first").alias(firsts))
     both = keyed.join(lists, (F.col(rank) == F.col(r)) & (F.col(h) == F.col(g)), "left")

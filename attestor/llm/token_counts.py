@@ -2,7 +2,7 @@
 
 Offline, every vocabulary entry that ends a word is spelt out and encoded by the library; those that come back as one
 token are proven to be whole tokens.  Texts are normalised (NFC, lower case character by character) and cut into
-pre-tokens by runs of character classes; a pre-token of the proven list counts one, by hash, without any merge.  Only
+pre-tokens by runs of character classes; a pre-token of the proven list, found by hash and compared by its bytes, counts one without any merge.  Only
 the rest is merged, each distinct pre-token once a worker, by the library's own merge table.  Special strings inside a
 text count one each, and cut the text, before normalisation, as the library does by default.
 
@@ -20,11 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .byte_bpe import NUMBER, SPACE, HashTable, contracted, runs
-from .common import SLICE_BYTES, spans_hash, text_rows
+from .byte_bpe import NUMBER, SPACE, contracted, runs
+from .common import SLICE_BYTES, Met, spans_hash, text_rows
 
 LIMIT = 2048
-KNOWN = 1_500_000
+#: A worker forgets the pre-tokens that it has merged when there are more.
+KNOWN = 500_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -40,8 +41,8 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def whole_tokens(spec: str) -> np.ndarray:
-    """Hashes of the strings proven to encode alone as one token."""
+def whole_tokens(spec: str) -> list[bytes]:
+    """The strings proven to encode alone as one token."""
     from tokenizers import Tokenizer
 
     of = {c: b for b, c in byte_letters().items()}
@@ -54,10 +55,7 @@ def whole_tokens(spec: str) -> np.ndarray:
             except UnicodeDecodeError:
                 continue
     found = Tokenizer.from_str(spec).encode_batch(words, add_special_tokens=False)
-    proven = [w.encode() for w, e in zip(words, found, strict=True) if len(e.ids) == 1 and w == lowered(w)]
-    ends = np.cumsum([len(w) for w in proven])
-    starts = ends - [len(w) for w in proven]
-    return spans_hash(np.frombuffer(b"".join(proven), np.uint8), starts, ends) | np.uint64(1)
+    return [w.encode() for w, e in zip(words, found, strict=True) if len(e.ids) == 1 and w == lowered(w)]
 
 
 def lowered(text: str) -> str:
@@ -93,17 +91,20 @@ def pretokens(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class Counter:
-    def __init__(self, spec: str, whole: np.ndarray):
+    def __init__(self, spec: str, whole: list[bytes]):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.whole, self.letters = Tokenizer.from_str(spec), whole, {}
-        self.letters = byte_letters()
+        self.tokenizer, self.letters = Tokenizer.from_str(spec), byte_letters()
         self.special = [t["content"] for t in json.loads(spec)["added_tokens"]]
+        ends = np.cumsum([len(w) for w in whole])
+        self.whole = np.frombuffer(b"".join(whole), np.uint8), ends - [len(w) for w in whole], ends
         self.forget()
 
     def forget(self) -> None:
-        self.table, self.count = HashTable(1 << 22), len(self.whole)
-        self.table.put(self.whole, np.ones(len(self.whole), np.int32))
+        self.met = Met(1 << (2 * KNOWN - 1).bit_length())
+        keys, first = np.unique(spans_hash(*self.whole) | np.uint64(1), return_index=True)
+        self.met.add(self.whole[0], self.whole[1][first], self.whole[2][first], keys)
+        self.n = np.ones(len(self.met.at), np.int32)
 
     def _merged(self, piece: bytes) -> int:
         return len(self.tokenizer.model.tokenize("".join(map(self.letters.__getitem__, piece))))
@@ -128,19 +129,22 @@ class Counter:
         offs = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
         starts, ends, at = pretokens(buf, offs)
         keys = spans_hash(buf, starts, ends) | np.uint64(1)
-        n = self.table.get(keys)
-        new = np.flatnonzero(n < 0)
+        which = self.met.find(buf, starts, ends, keys)
+        new = np.flatnonzero(which == -1)
         if len(new):
             fresh, first = np.unique(keys[new], return_index=True)
-            found = np.array([self._merged(bytes(buf[starts[i] : ends[i]])) for i in new[first]], np.int32)
-            n[new] = found[np.searchsorted(fresh, keys[new])]
-            if self.count + len(fresh) > KNOWN:
+            first, met = new[first], self.met.n
+            if met > len(self.whole[1]) and met + len(fresh) > KNOWN:
                 self.forget()
-                absent = self.table.get(fresh) < 0
-                fresh, found = fresh[absent], found[absent]
-            if len(fresh) < KNOWN:
-                self.table.put(fresh, found)
-                self.count += len(fresh)
+                return self.counts(texts)
+            if met + len(fresh) > len(self.n):
+                self.n = np.concatenate([self.n, np.zeros(met + len(fresh) - len(self.n), np.int32)])
+            self.n[met : met + len(fresh)] = [self._merged(bytes(buf[starts[i] : ends[i]])) for i in first]
+            self.met.add(buf, starts[first], ends[first], fresh)
+            which[new] = self.met.find(buf, starts[new], ends[new], keys[new])
+        n = self.n[which]
+        for i in np.flatnonzero(which < 0).tolist():  # another pre-token has the same hash
+            n[i] = self._merged(bytes(buf[starts[i] : ends[i]]))
         total = np.concatenate([[0], np.cumsum(n)])
         np.add.at(special, np.array(owner, np.int64), total[at[1:]] - total[at[:-1]])
         return special
