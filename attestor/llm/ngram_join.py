@@ -7,13 +7,14 @@ How it scales:
 
 1. Equal sets are one node; each input partition sends a node once, so copies cost nothing further on.
 2. Shingles have one global order, the commonest last.  Linked sets share a token among the first
-   ``n - ceil(0.8 n) + 1`` of each, so nodes meet by these prefix tokens only.  The order decides speed, never results:
+   ``n - ceil(0.8 n) + 1`` of each, so nodes meet by these prefix tokens only, and only if their sizes and what is left of
+   them from that token on allow enough in common.  The order decides speed, never results:
    counts of common shingles come from all rows, and the bounded list of the commonest ones is what is broadcast.
 3. Within a token's nodes sorted by size, neighbours are compared first and give many of the links.  Nodes of the same
    component need no comparison, so families of near copies, however large, fold up.
 4. What is left, nodes of one token in different components, goes through signature trees: nodes hold OR-combined
-   bitmaps and size ranges, and a dual traversal drops pairs of nodes by the largest overlap they could have.  Tokens
-   with the same nodes are searched once, and large groups are dealt out as pairs of blocks.  A first search takes only
+   bitmaps and size ranges, and a dual traversal drops pairs of nodes by the largest overlap they could have.  Of tokens
+   with the same nodes the first is searched, and large groups are dealt out as pairs of blocks.  A first search takes only
    each component's closest pair, which folds families up further; the second takes every pair that is left.
 5. Candidates are sieved by their own bitmaps, of fixed size first and then of four bits a token, and verified on
    whole texts; components come from alternating large-star and small-star rounds.
@@ -59,8 +60,10 @@ def _sets(buf: np.ndarray, offs: np.ndarray, width: int, common: np.ndarray | No
         yield own[np.concatenate([[True], own[1:] != own[:-1]])] if len(own) > 1 else own
 
 
-def node_of(tokens: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
+def node_of(tokens: np.ndarray, clashes: frozenset = frozenset()) -> tuple[int, int]:
+    """A set's node and check number, 64 bits of digest each; where sets clash in the node, it is told apart by the check."""
+    node, check = np.frombuffer(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest(), "<i8").tolist()
+    return (node ^ check if node in clashes else node), check
 
 
 def _repeated(width: int):
@@ -107,23 +110,25 @@ def common_tokens(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def documents_as_nodes(docs: DataFrame, width: int = 5) -> DataFrame:
-    """(doc_id, n, node, bitmap, excess, wide) of each document's set; node is null for an empty one.
+    """(doc_id, n, node, check, bitmap, excess, wide) of each document's set; node is null for an empty one.
 
     Only the first row of a node in a partition has its bitmaps: one of BITS for the trees, where excess is how many
     tokens share a bit with others, and for larger sets a wide one of four bits a token or more.
     """
 
     def run(batches):
-        seen: set[int] = set()
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
             buf, offs = text_rows(batch.column(1))
-            n, node, maps, excess, wide = [], [], [], [], []
+            n, node, check, maps, excess, wide = [], [], [], [], [], []
             for *_, b, o in slices(buf, offs):
                 for own in _sets(b, o, width):
                     n.append(len(own))
-                    node.append(node_of(own) if len(own) else None)
-                    if len(own) and node[-1] not in seen:
-                        seen.add(node[-1])
+                    both = node_of(own) if len(own) else (None, None)
+                    node.append(both[0])
+                    check.append(both[1])
+                    if len(own) and both not in seen:
+                        seen.add(both)
                         m = _bitmap(own)
                         maps.append(m.tobytes())
                         excess.append(len(own) - int(np.bitwise_count(m).sum()))
@@ -133,13 +138,13 @@ def documents_as_nodes(docs: DataFrame, width: int = 5) -> DataFrame:
                         maps.append(None)
                         excess.append(None)
                         wide.append(None)
-            columns = [batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(maps, pa.binary()), pa.array(excess, pa.int32()), pa.array(wide, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "node", "bitmap", "excess", "wide"])
+            columns = [batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(check, pa.int64()), pa.array(maps, pa.binary()), pa.array(excess, pa.int32()), pa.array(wide, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "node", "check", "bitmap", "excess", "wide"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, node long, bitmap binary, excess int, wide binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, node long, check long, bitmap binary, excess int, wide binary")
 
 
-def _prefixes(width: int, common):
+def _prefixes(width: int, common, clashes: frozenset):
     def run(batches):
         seen: set[int] = set()
         table = common.value
@@ -148,7 +153,7 @@ def _prefixes(width: int, common):
         for batch in batches:
             buf, offs = text_rows(batch.column(0))
             for *_, b, o in slices(buf, offs, 1 << 20):
-                tokens, nodes, sizes = [], [], []
+                tokens, nodes, sizes, rests = [], [], [], []
                 for own in _sets(b, o, width, table):
                     n = len(own)
                     if not n:
@@ -160,7 +165,7 @@ def _prefixes(width: int, common):
                         high = own >= _TOP
                         plain[high] = by_rank(table)[(own[high] ^ _TOP).astype(np.int64)]
                         plain.sort()
-                    node = node_of(plain)
+                    node, _ = node_of(plain, clashes)
                     if node in seen:
                         continue
                     seen.add(node)
@@ -168,13 +173,14 @@ def _prefixes(width: int, common):
                     tokens.append(own[:p])
                     nodes.append(np.full(p, node, np.int64))
                     sizes.append(np.full(p, n, np.int32))
+                    rests.append(np.arange(n, n - p, -1, np.int32))
                 if tokens:
                     token, node = np.concatenate(tokens), np.concatenate(nodes)
                     part = np.zeros(len(token), np.int32)
                     high = token >= _TOP
                     if high.any():
                         part[high] = np.mod(node[high], parts[(token[high] ^ _TOP).astype(np.int64)])
-                    yield pa.RecordBatch.from_arrays([pa.array(token.astype(np.int64)), pa.array(part), pa.array(node), pa.array(np.concatenate(sizes))], ["token", "part", "node", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(token.astype(np.int64)), pa.array(part), pa.array(node), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(rests))], ["token", "part", "node", "n", "rest"])
 
     def by_rank(table):
         if "h" not in cache:
@@ -186,27 +192,40 @@ def _prefixes(width: int, common):
     return run
 
 
+def needed(na, nb):
+    """The least number of common tokens that sets of these sizes link by."""
+    return -(-PERCENT * (na + nb) // (100 + PERCENT))
+
+
 def _meet(batches):
-    """Of the (token, part, node, n) of a partition: rows whose token has several nodes, and pairs of neighbours by size."""
+    """Of the (token, part, node, n, rest) of a partition: rows whose token may link them, and pairs of neighbours by size.
+
+    Sets link at the first token of the order that they share only if no more than their rests can be common, so a row is
+    kept if another of its token is of a size that its own rest suffices for; a token dealt to parts keeps all.
+    """
     batches = [b for b in batches if b.num_rows]
     if not batches:
         return
-    token, part, node, n = (np.concatenate([b.column(i).to_numpy() for b in batches]) for i in range(4))
+    token, part, node, n, rest = (np.concatenate([b.column(i).to_numpy() for b in batches]) for i in range(5))
     del batches
     order = np.lexsort((node, n, part, token))
-    token, part, node, n = token[order], part[order], node[order], n[order]
+    token, part, node, n, rest = (x[order] for x in (token, part, node, n, rest))
     same = (token[1:] == token[:-1]) & (part[1:] == part[:-1])
     new = np.concatenate([[True], ~(same & (node[1:] == node[:-1]))])
-    token, part, node, n = token[new], part[new], node[new], n[new]
+    token, part, node, n, rest = (x[new] for x in (token, part, node, n, rest))
+    n, rest = n.astype(np.int64), rest.astype(np.int64)
     same = (token[1:] == token[:-1]) & (part[1:] == part[:-1])
-    several = np.concatenate([same, [False]]) | np.concatenate([[False], same]) | (token >= int(_TOP))
-    near = np.flatnonzero(same & (100 * n[:-1].astype(np.int64) >= PERCENT * n[1:]))
+    group = np.concatenate([[0], np.cumsum(~same)]) << 32
+    most = np.minimum(100 * n // PERCENT, (100 + PERCENT) * rest // PERCENT - n)
+    met = np.searchsorted(group + n, group + most, "right") - np.searchsorted(group + n, group + -(-PERCENT * n // 100))
+    kept = (met > (most >= n)) | (token >= int(_TOP))
+    near = np.flatnonzero(same & kept[:-1] & kept[1:] & (100 * n[:-1] >= PERCENT * n[1:]) & (np.minimum(rest[:-1], rest[1:]) >= needed(n[:-1], n[1:])))
     pairs = np.unique(np.stack([np.minimum(node[near], node[near + 1]), np.maximum(node[near], node[near + 1])], 1), axis=0)
-    names = ["kind", "token", "node", "n", "other"]
-    at = np.flatnonzero(several)
+    names = ["kind", "token", "node", "rest", "other"]
+    at = np.flatnonzero(kept)
     for i in range(0, len(at), 200_000):
         k = at[i : i + 200_000]
-        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(k), np.int32)), pa.array(token[k]), pa.array(node[k]), pa.array(n[k].astype(np.int32)), pa.array(np.zeros(len(k), np.int64))], names)
+        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(k), np.int32)), pa.array(token[k]), pa.array(node[k]), pa.array(rest[k].astype(np.int32)), pa.array(np.zeros(len(k), np.int64))], names)
     for i in range(0, len(pairs), 200_000):
         p = pairs[i : i + 200_000]
         zero = np.zeros(len(p), np.int64)
@@ -221,16 +240,16 @@ def _bitmap(tokens: np.ndarray, size: int = BITS) -> np.ndarray:
 
 
 class SignatureTree:
-    """Levels of (OR of bitmaps, least and largest size, largest excess, component if only one) over sorted rows."""
+    """Levels of (OR of bitmaps, least and largest size, largest excess, component if only one, largest rest) over sorted rows."""
 
     FAN = 8
 
-    def __init__(self, maps, n, excess, comp):
-        self.levels = [(maps, n, n, excess, comp, comp)]
+    def __init__(self, maps, n, excess, comp, rest=None):
+        self.levels = [(maps, n, n, excess, comp, comp, n if rest is None else rest)]
         while len(self.levels[-1][1]) > 1:
-            m, lo, hi, ex, c0, c1 = self.levels[-1]
+            m, lo, hi, ex, c0, c1, rest = self.levels[-1]
             at = np.arange(0, len(lo), self.FAN)
-            self.levels.append((np.bitwise_or.reduceat(m, at), np.minimum.reduceat(lo, at), np.maximum.reduceat(hi, at), np.maximum.reduceat(ex, at), np.minimum.reduceat(c0, at), np.maximum.reduceat(c1, at)))
+            self.levels.append((np.bitwise_or.reduceat(m, at), np.minimum.reduceat(lo, at), np.maximum.reduceat(hi, at), np.maximum.reduceat(ex, at), np.minimum.reduceat(c0, at), np.maximum.reduceat(c1, at), np.maximum.reduceat(rest, at)))
 
     def pairs_with(self, other: SignatureTree) -> np.ndarray:
         """Leaf pairs that may link and lie in different components, by descending both trees at once."""
@@ -246,10 +265,11 @@ class SignatureTree:
                 apart = ~((a[4][x] == a[5][x]) & (b[4][y] == b[5][y]) & (a[4][x] == b[4][y]))
                 apart &= (100 * a[2][x] >= PERCENT * b[1][y]) & (100 * b[2][y] >= PERCENT * a[1][x])
                 x, y = x[apart], y[apart]
+                wanted, shared = needed(a[1][x], b[1][y]), np.minimum(a[6][x], b[6][y])
+                x, y, wanted, shared = x[shared >= wanted], y[shared >= wanted], wanted[shared >= wanted], shared[shared >= wanted]
                 both = np.bitwise_count(a[0][x] & b[0][y]).sum(1, dtype=np.int64)
-                most = np.minimum(np.minimum(a[3][x], b[3][y]) + both, np.minimum(a[2][x], b[2][y]))
-                needed = -(-PERCENT * (a[1][x] + b[1][y]) // (100 + PERCENT))
-                kept.append(np.stack([x[most >= needed], y[most >= needed]], 1))
+                most = np.minimum(np.minimum(a[3][x], b[3][y]) + both, np.minimum(np.minimum(a[2][x], b[2][y]), shared))
+                kept.append(np.stack([x[most >= wanted], y[most >= wanted]], 1))
             pairs = np.concatenate(kept) if kept else pairs[:0]
             if self is other:
                 pairs = pairs[pairs[:, 0] <= pairs[:, 1]]
@@ -275,7 +295,7 @@ def _plausible(batches):
         x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(-1, BITS // 64) for i in (6, 7))
         both = np.bitwise_count(x & y).sum(1, dtype=np.int64)
         most = np.minimum(np.minimum(ea, eb) + both, np.minimum(na, nb))
-        yield batch.select(["a", "b"]).filter(pa.array(most >= -(-PERCENT * (na + nb) // (100 + PERCENT))))
+        yield batch.select(["a", "b"]).filter(pa.array(most >= needed(na, nb)))
 
 
 def _plausible_wide(batches):
@@ -290,7 +310,7 @@ def _plausible_wide(batches):
                 y = y[: len(y) // 2] | y[len(y) // 2 :]
             both = int(np.bitwise_count(x & y).sum())
             most = min(na - int(np.bitwise_count(x).sum()), nb - int(np.bitwise_count(y).sum())) + both
-            keep.append(min(most, na, nb) >= -(-PERCENT * (na + nb) // (100 + PERCENT)))
+            keep.append(min(most, na, nb) >= needed(na, nb))
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -309,7 +329,7 @@ def _search(every: bool):
 
 
 def _searched(batches, every):
-    """Of (token, bi, bj, block, node, comp, n, bitmap, excess): pairs of nodes that may link, by the trees.
+    """Of (token, bi, bj, block, node, comp, rest, n, bitmap, excess): pairs of nodes that may link, by the trees.
 
     Not every: only each component's closest pair within a group.
     """
@@ -317,7 +337,7 @@ def _searched(batches, every):
     if not batches:
         return
     t = pa.Table.from_batches(batches).combine_chunks()
-    token, bi, bj, block, node, comp, n, excess = (t.column(c).to_numpy() for c in ("token", "bi", "bj", "block", "node", "comp", "n", "excess"))
+    token, bi, bj, block, node, comp, rest, n, excess = (t.column(c).to_numpy() for c in ("token", "bi", "bj", "block", "node", "comp", "rest", "n", "excess"))
     maps = np.frombuffer(b"".join(t.column("bitmap").to_pylist()), np.uint64).reshape(-1, BITS // 64)
     order = np.lexsort((n, comp, block, bj, bi, token))
     edge = np.flatnonzero(np.concatenate([[True], (token[order][1:] != token[order][:-1]) | (bi[order][1:] != bi[order][:-1]) | (bj[order][1:] != bj[order][:-1])]))
@@ -328,7 +348,7 @@ def _searched(batches, every):
         return pa.RecordBatch.from_arrays([pa.array(p[:, 0].copy()), pa.array(p[:, 1].copy())], ["a", "b"])
 
     def tree(rows):
-        return SignatureTree(maps[rows], n[rows].astype(np.int64), excess[rows].astype(np.int64), comp[rows])
+        return SignatureTree(maps[rows], n[rows].astype(np.int64), excess[rows].astype(np.int64), comp[rows], rest[rows].astype(np.int64))
 
     for a, b in zip(edge, [*edge[1:], len(order)], strict=True):
         rows = order[a:b]
@@ -425,14 +445,19 @@ def ngram_components(docs: DataFrame, width: int = 5) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     nodes = cut(documents_as_nodes(docs, width), "ngram-nodes")
+    # sets whose nodes clash are a few of 10 ** 10; they are renamed everywhere
+    clashes = frozenset(r["node"] for r in nodes.groupBy("node").agg((F.min("check") != F.max("check")).alias("two")).where("two").select("node").collect())
+    if clashes:
+        nodes = nodes.withColumn("node", F.when(F.col("node").isin(*clashes), F.col("node").bitwiseXOR(F.col("check"))).otherwise(F.col("node")))
     classes = nodes.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"))
     common = spark.sparkContext.broadcast(common_tokens(docs, width))
-    rows = docs.select("text").mapInArrow(_prefixes(width, common), "token long, part int, node long, n int")
-    met = cut(rows.repartition("token", "part").mapInArrow(_meet, "kind int, token long, node long, n int, other long"), "ngram-met")
-    shared, first = met.where("kind = 0").select("token", "node"), met.where("kind = 1").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
+    rows = docs.select("text").mapInArrow(_prefixes(width, common, clashes), "token long, part int, node long, n int, rest int")
+    met = cut(rows.repartition("token", "part").mapInArrow(_meet, "kind int, token long, node long, rest int, other long"), "ngram-met")
+    shared, first = met.where("kind = 0").select("token", "node", "rest"), met.where("kind = 1").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
 
     maps = nodes.where("bitmap is not null").select("node", F.col("n").cast("int").alias("n"), "bitmap", "excess")
-    maps = cut(maps.join(shared.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "ngram-bitmaps")
+    drawn = cut(shared.select("node").distinct(), "ngram-shared")
+    maps = cut(possible(maps, "node", drawn)[0].join(drawn, "node", "left_semi").dropDuplicates(["node"]), "ngram-bitmaps")
 
     def linked(pairs: DataFrame) -> DataFrame:
         def side(x):
@@ -440,26 +465,27 @@ def ngram_components(docs: DataFrame, width: int = 5) -> DataFrame:
 
         may = cut(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ea", "eb", "ma", "mb").mapInArrow(_plausible, "a long, b long"), "ngram-pairs")
         taking_part = may.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wide = nodes.where("bitmap is not null").select("node", "n", F.coalesce("wide", "bitmap").alias("wide")).join(taking_part, "node", "left_semi").dropDuplicates(["node"])
-        wide = cut(wide, "ngram-wide")
+        taking_part = cut(taking_part, "ngram-part")
+        wide = nodes.where("bitmap is not null").select("node", "n", F.coalesce("wide", "bitmap").alias("wide"))
+        wide = cut(possible(wide, "node", taking_part)[0].join(taking_part, "node", "left_semi").dropDuplicates(["node"]), "ngram-wide")
 
         def broad(x):
             return wide.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("wide").alias(f"w{x}"))
 
         may = cut(may.join(broad("a"), "a").join(broad("b"), "b").select("a", "b", "na", "nb", "wa", "wb").mapInArrow(_plausible_wide, "a long, b long"), "ngram-pairs")
-        needed = may.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(classes, "node")
-        own = possible(docs, "doc_id", needed.select("rep"))[0].alias("d").join(needed.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.rep"))).select("node", "text")
-        texts = cut(own.mapInArrow(_only_own(width), "node long, text string"), "ngram-texts")
+        read = cut(may.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(classes, "node"), "ngram-read")
+        own = possible(docs, "doc_id", read.select("rep"))[0].alias("d").join(read.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.rep"))).select("node", "text")
+        texts = cut(own.mapInArrow(_only_own(width, clashes), "node long, text string"), "ngram-texts")
         sides = may.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
         return cut(sides.select("a", "b", "ta", "tb").mapInArrow(_linked(width), "a long, b long"), "ngram-links")
 
     def met_in_trees(roots: DataFrame, every: bool) -> DataFrame:
         """Candidates between components; of tokens with the same nodes, one stands for all."""
-        marked = shared.join(roots, "node", "left").select("token", "node", F.coalesce("root", "node").alias("comp"))
+        marked = shared.join(roots, "node", "left").select("token", "node", "rest", F.coalesce("root", "node").alias("comp"))
         print_ = [F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("g"), F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.hash("node").cast("long")).alias("s")]
         mixed = marked.groupBy("token").agg(*print_).where("c0 <> c1").groupBy("g", "x", "s").agg(F.min("token").alias("token")).select("token", F.ceil(F.col("g") / BLOCK).cast("int").alias("nb"))
         dealt = marked.join(mixed, "token").withColumn("block", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-        dealt = dealt.join(maps, "node").select("token", F.least("block", "j").alias("bi"), F.greatest("block", "j").alias("bj"), "block", "node", "comp", "n", "bitmap", "excess")
+        dealt = dealt.join(maps, "node").select("token", F.least("block", "j").alias("bi"), F.greatest("block", "j").alias("bj"), "block", "node", "comp", "rest", "n", "bitmap", "excess")
         return dealt.repartition("token", "bi", "bj").mapInArrow(_search(every), "a long, b long").distinct()
 
     links = linked(first)
@@ -473,14 +499,14 @@ def ngram_components(docs: DataFrame, width: int = 5) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def _only_own(width: int):
+def _only_own(width: int, clashes: frozenset):
     """Rows whose text is the one that the node was named by, once each: ids may repeat, with other texts or the same."""
 
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
             buf, offs = text_rows(batch.column(1))
-            node = [node_of(own) if len(own) else None for *_, b, o in slices(buf, offs) for own in _sets(b, o, width)]
+            node = [node_of(own, clashes)[0] if len(own) else None for *_, b, o in slices(buf, offs) for own in _sets(b, o, width)]
             mine = []
             for x, y in zip(node, batch.column(0).to_pylist(), strict=True):
                 mine.append(x == y and x not in seen)
