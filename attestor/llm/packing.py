@@ -2,10 +2,10 @@
 
 Documents are encoded in the engine of byte_bpe (the same vocabulary as the tokenizer file; a test holds it against the
 library) and end in an end-of-text id.  Only documents longer than a sequence are cut, into full sequences behind a
-first piece with the remainder; full pieces are sequences of their own.  The other pieces are items.  A round deals the
+first piece with the remainder; full pieces are sequences of their own, with negative numbers.  The other pieces are items.  A round deals the
 items to groups of at most GROUP, packs each group best-fit with decreasing sizes and emits the bins that are nearly
-full; the underfull ones are items of the next round, of fewer groups, until one group holds all that is left or a round
-no longer merges bins.  Items carry only ids and sizes; places follow from the rounds' tables at the end.
+full; of the underfull ones, those with room for the least of them are items of the next round, of fewer groups, until
+one group holds all that is left or a round merges nothing.  Items carry only ids and sizes; places follow from the rounds' tables at the end.
 
 Defined cases: a null or empty text is the end id alone.  Ids may be null or repeat: every row is packed once.  Other
 columns are ignored; an empty table gives an empty result.
@@ -140,13 +140,17 @@ def pack(items: DataFrame, length: int = LENGTH, group: int = GROUP, slack: int
         groups = max(1, -(-n // group))
         least = length - slack if groups > 1 else 0
         dealt = left.withColumn("group", F.pmod(F.xxhash64("item", F.lit(len(rounds))), F.lit(groups)).cast("int"))
-        done = cut(dealt.select("group", "item", "size").repartition(min(groups, 4096), "group").mapInArrow(_round(len(rounds) + 1, length, least), "item long, bin long, place long, total long, full boolean"), "pack")
+        done = cut(dealt.select("group", "item", "size").repartition(min(groups, 16384), "group").mapInArrow(_round(len(rounds) + 1, length, least), "item long, bin long, place long, total long, full boolean"), "pack")
         rounds.append(done)
         if groups == 1:
             break
-        left = done.where("not full").select(F.col("bin").alias("item"), F.col("total").alias("size")).distinct()
-        before, n = n, left.count()
-        if not n or n > 0.98 * before:
+        bins = done.where("not full").select(F.col("bin").alias("item"), F.col("total").alias("size")).distinct()
+        before, n, least = n, *bins.agg(F.count("*"), F.min("size")).first()
+        if len(rounds) > 1 and n + done.where("full").select("bin").distinct().count() == before:
+            break
+        left = cut(bins.where(F.col("size") <= length - (least or 0)), "pack-left")  # the others have room for none
+        n = left.count()
+        if n < 2:
             break
     out = rounds[0].select("item", "bin", "place")
     for k, done in enumerate(rounds[1:]):
@@ -158,7 +162,7 @@ def pack(items: DataFrame, length: int = LENGTH, group: int = GROUP, slack: int
 def packed_pieces(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id and offset of every piece of docs (doc_id, text)."""
     every = cut(pieces(docs, path), "pieces")
-    full = every.where(F.col("length") == LENGTH).withColumn("sequence_id", F.col("item")).withColumn("offset", F.lit(0).cast("long"))
+    full = every.where(F.col("length") == LENGTH).withColumn("sequence_id", F.bitwise_not("item")).withColumn("offset", F.lit(0).cast("long"))
     rest = every.where(F.col("length") < LENGTH)
     placed = rest.join(pack(rest.select("item", F.col("length").alias("size"))), "item")
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
