@@ -3,13 +3,18 @@
 A text's subwords are the byte n-grams of 2 to 4 bytes within its words (letters folded, all else white space), hashed
 to buckets of their length.  A document is the mean of its subwords' embeddings, and a linear softmax over it gives the
 language; both are trained together by stochastic gradient descent in numpy on a bounded sample of labelled rows (about
-SAMPLE rows in equal shares of the languages, drawn by a hash).  A temperature and a rejection threshold are calibrated
-on a fifth of the sample that isn't trained on.  For prediction the two linear maps are multiplied out, so that a text
-costs one small table lookup a subword.
+SAMPLE distinct texts in equal shares of the MOST_LANGS commonest languages, drawn by a hash of the text).  Of a sampled
+text only its buckets' counts reach the driver, so its length doesn't matter there.  For prediction the two linear maps
+are multiplied out, so that a text costs one small table lookup a subword.
+
+Rejection is calibrated on another bounded sample, CALIBRATION distinct texts that aren't trained on: a temperature by
+their likelihood, then as threshold the score under which a share REJECTED of them lies, by the conformal rank of n + 1.
+Where there are too few rows for that share, it lies by MARGIN below their least score.
 
 Defined cases: a null text, or one without a letter, is `und` with score 0 and rejected.  Rows without a language, or
 with a null doc_id, are not learned from; without any labelled row everything is `und`, and texts with letters are not
-rejected, as nothing is known against them.  Other columns are ignored.
+rejected, as nothing is known against them.  Repeated texts of a language are learned from once.  Other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -24,14 +29,14 @@ from pyspark.sql import functions as F
 from .byte_bpe import LETTER, byte_classes
 from .common import SLICE_BYTES, slices, text_rows
 
-#: Labelled rows that the classifier is fitted on, about.
-SAMPLE = 2400
+#: Labelled texts that the classifier is fitted on, that it is calibrated on, and languages that it tells apart, at most.
+SAMPLE, CALIBRATION, MOST_LANGS = 2400, 6000, 500
 WIDTHS = (2, 3, 4)
 BUCKETS = 1 << 14
 DIM = 16
 #: Steps of gradient descent at least, however few the rows are.
 STEPS = 800
-#: The threshold lies by MARGIN below the score under which a share REJECTED of the calibration rows lies.
+#: Share of texts in a known language that may be rejected, and the margin below the least score where that share is no text.
 REJECTED, MARGIN = 0.001, 0.8
 #: Share of wrong labels that calibration allows for, so that separable data don't make every score 1.
 SMOOTH = 0.01
@@ -88,13 +93,10 @@ def subwords(buf: np.ndarray, offs: np.ndarray):
     return found, last[offs[1:]] - last[offs[:-1]]
 
 
-def _bags(texts: list[str]) -> list[np.ndarray]:
-    out = []
-    for text in texts:
-        raw = np.frombuffer(text.encode(), np.uint8)
-        found, _ = subwords(raw, np.array([0, len(raw)]))
-        out.append(np.concatenate([f for f, _ in found]))
-    return out
+def bags(buf: np.ndarray, offs: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The distinct buckets of each row and their counts."""
+    found, _ = subwords(buf, offs)
+    return [np.unique(np.concatenate([h[at[i] : at[i + 1]] for h, at in found]), return_counts=True) for i in range(len(offs) - 1)]
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -102,19 +104,17 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def fit(texts: list[str], labels: list[str], seed: int = 7, epochs: int = 12, batch: int = 24, rate: float = 2.0) -> Model:
-    """Embeddings and softmax by SGD, then the temperature and the threshold on every fifth row."""
+def fit(packed: list[tuple[np.ndarray, np.ndarray]], labels: list[str], seed: int = 7, epochs: int = 12, batch: int = 24, rate: float = 2.0) -> Model | None:
+    """Embeddings and softmax by SGD over bags of buckets; None if none of them has any."""
     langs = sorted(set(labels))
     y = np.array([langs.index(x) for x in labels], np.int64)
     rng = np.random.default_rng(seed)
-    bags = [b for b in _bags(texts)]
-    order = rng.permutation(len(bags))
-    order = np.array([i for i in order if len(bags[i])], np.int64)
-    held, train = order[::5], np.array([i for k, i in enumerate(order) if k % 5] or order.tolist(), np.int64)
+    train = np.array([i for i in rng.permutation(len(packed)) if len(packed[i][0])], np.int64)
+    if not len(train):
+        return None
     e = rng.normal(0, 0.1, (BUCKETS * len(WIDTHS), DIM)).astype(np.float32)
     w, b = np.zeros((DIM, len(langs)), np.float32), np.zeros(len(langs), np.float32)
-    packed = [np.unique(bag, return_counts=True) for bag in bags]
-    epochs = max(epochs, -(-STEPS * batch // max(1, len(train))))
+    epochs = max(epochs, -(-STEPS * batch // len(train)))
     steps = epochs * -(-len(train) // batch)
     step = 0
     for _ in range(epochs):
@@ -135,36 +135,65 @@ def fit(texts: list[str], labels: list[str], seed: int = 7, epochs: int = 12, ba
             b -= lr * 0.1 * d.sum(0)
             np.add.at(e, index, -lr * 20 * share[:, None] * np.repeat(back, size, axis=0))
             step += 1
-    table = (e @ w).astype(np.float32)
-    model = Model(langs, table, b, 1.0, 0.0)
-    if len(held):
-        z = np.stack([table[bags[i]].mean(0) + b for i in held])
-        target = np.full(z.shape, SMOOTH / len(langs))
-        target[np.arange(len(held)), y[held]] += 1 - SMOOTH
-        losses = {t: -(target * np.log(np.maximum(_softmax(z / t), 1e-12))).sum() for t in np.geomspace(0.1, 10, 41)}
-        model.temperature = float(min(losses, key=losses.get))
-        scores = np.sort(_softmax(z / model.temperature).max(1))
-        model.least = float(min(0.5, MARGIN * scores[int(REJECTED * len(scores))]))
-    return model
+    return Model(langs, (e @ w).astype(np.float32), b, 1.0, 0.0)
+
+
+def calibrate(model: Model, z: np.ndarray, labels: list[str], rejected: float = REJECTED) -> None:
+    """Set the temperature and the threshold by the logits of rows that weren't trained on."""
+    if not len(z):
+        return
+    place = {x: i for i, x in enumerate(model.langs)}
+    known = np.array([place.get(x, -1) for x in labels])
+    target = np.full((int((known >= 0).sum()), len(model.langs)), SMOOTH / len(model.langs))
+    target[np.arange(len(target)), known[known >= 0]] += 1 - SMOOTH
+    losses = {t: -(target * np.log(np.maximum(_softmax(z[known >= 0] / t), 1e-12))).sum() for t in np.geomspace(0.1, 10, 41)}
+    model.temperature = float(min(losses, key=losses.get))
+    score = np.sort(_softmax(z / model.temperature).max(1))
+    k = int(rejected * (len(score) + 1))
+    model.least = float(score[k - 1] if k else MARGIN * score[0])
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
-    """A model of the labelled rows that aren't held out; None if there are none."""
-    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").where("lang is not null and text is not null and crc32(cast(doc_id as string)) % 4 <> 2")
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    """A calibrated model of the labelled rows that aren't held out; None if there are none with subwords."""
+    spark = docs.sparkSession
+    text = F.col("text")
+    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", text, F.xxhash64(text, F.lit("sample")).alias("h")).where("lang is not null and text is not null and crc32(cast(doc_id as string)) % 4 <> 2").drop("doc_id")
+    counts = known.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGS).collect()
     if not counts:
         return None
-    wanted = F.lit(0)
-    for lang, n in counts.items():
-        share = min(1.0, sample / len(counts) / n)
-        wanted = F.when(F.col("lang") == lang, F.lit(int(share * (1 << 30)))).otherwise(wanted)
-    rows = known.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) < wanted).select("doc_id", "lang", "text").collect()
-    rows = sorted(((r["doc_id"], r["lang"], r["text"]) for r in rows), key=lambda r: (r[0], r[1], r[2]))
-    return fit([t for *_, t in rows], [lang for _, lang, _ in rows])
+    size = 1 << 30
+    share = lambda most, n: min(1.0, most / len(counts) / max(1, n))
+    shares = [(r["lang"], int(share(sample, r["n"]) * size * 0.8), int((share(sample, r["n"]) * 0.8 + share(CALIBRATION, r["n"])) * size)) for r in counts]
+    drawn = F.broadcast(spark.createDataFrame(shares, "lang string, fitted int, upto long"))
+    rows = known.withColumn("draw", F.pmod("h", F.lit(size))).join(drawn, "lang").where("draw < upto").withColumn("fits", F.expr("draw < fitted")).dropDuplicates(["lang", "h"])
+
+    def packed(batches):
+        for batch in batches:
+            found = bags(*text_rows(batch.column(2)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([b for b, _ in found], pa.list_(pa.int64())), pa.array([n for _, n in found], pa.list_(pa.int64()))], ["lang", "h", "bucket", "n"])
+
+    rows = rows.select("lang", "h", "text", "fits")
+    fitted = rows.where("fits").drop("fits").mapInArrow(packed, "lang string, h long, bucket array<long>, n array<long>").orderBy("h").limit(2 * sample).toArrow().to_pydict()
+    found = sorted(zip(fitted["lang"], fitted["bucket"], fitted["n"], strict=True))
+    model = fit([(np.array(b, np.int64), np.array(n, np.int64)) for _, b, n in found], [x for x, *_ in found])
+    if model is None:
+        return None
+    shared = spark.sparkContext.broadcast(model)
 
+    def scored(batches):
+        for batch in batches:
+            z, letters = logits(shared.value, *text_rows(batch.column(2)))
+            keep = pa.array(letters > 0)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep), pa.array(list(z[letters > 0]), pa.list_(pa.float64()))], ["lang", "h", "z"])
 
-def scores(model: Model, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Index of the language, score, and letters of each row."""
+    most = max(1, min(2 * CALIBRATION, 4_000_000 // len(model.langs)))
+    left = rows.where("not fits").drop("fits").mapInArrow(scored, "lang string, h long, z array<double>").orderBy("h").limit(most).toArrow().to_pydict()
+    calibrate(model, np.array(left["z"], np.float64).reshape(-1, len(model.langs)), left["lang"])
+    return model
+
+
+def logits(model: Model, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The languages' logits before the temperature, and the letters of each row."""
     found, letters = subwords(buf, offs)
     total, n = np.zeros((len(offs) - 1, len(model.langs))), np.zeros(len(offs) - 1)
     for bucket, at in found:
@@ -172,7 +201,13 @@ def scores(model: Model, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray,
         if len(rows):
             total[rows] += np.add.reduceat(model.table[bucket], at[rows])
             n += np.diff(at)
-    p = _softmax((total / np.maximum(n, 1)[:, None] + model.bias) / model.temperature)
+    return total / np.maximum(n, 1)[:, None] + model.bias, letters
+
+
+def scores(model: Model, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Index of the language, score, and letters of each row."""
+    z, letters = logits(model, buf, offs)
+    p = _softmax(z / model.temperature)
     return p.argmax(1), p.max(1), letters
 
 
