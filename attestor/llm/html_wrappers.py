@@ -24,6 +24,7 @@ import re
 from collections import Counter
 from difflib import SequenceMatcher
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,18 +33,22 @@ from pyspark.sql import functions as F
 PORTION, ALIKE = 200, 3
 
 #: Fixed values of HTML: elements whose content is no markup, that have no content, and that don't break a block.
-RAW = {"script", "style", "noscript", "template", "iframe", "svg", "textarea", "select", "math", "object", "canvas", "audio", "video"}
+RAW = {"script", "style", "noscript", "template", "iframe", "svg", "textarea", "select", "object", "canvas", "audio", "video", "annotation", "annotation-xml"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "ruby", "rp", "rt", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "br", "wbr", "img"}
+INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "ruby", "rp", "rt", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "br", "wbr", "img", "math", "semantics", "mi", "mn", "mo", "ms", "mtext", "mrow", "mfrac", "msqrt", "mroot", "msub", "msup", "msubsup", "munder", "mover", "munderover", "mspace", "mstyle"}
 CHROME_TAGS = {"nav", "header", "footer", "aside", "form", "head", "title", "button", "dialog", "menu", "fieldset"}
-CHROME_WORDS = {
-    *("ad ads advert adverts advertisement advertising adbox adslot sponsor sponsored promo promotion banner".split()),
-    *("comment comments reply replies disqus respond discussion".split()),
-    *("sidebar aside rail widget related recommended more".split()),
-    *("menu nav navbar navigation breadcrumb breadcrumbs pagination pager toc skip".split()),
-    *("cookie cookies consent notice notices gdpr popup modal overlay alert newsletter subscribe signup login".split()),
-    *("footer foot header masthead topbar toolbar share sharing social tags copyright legal".split()),
+#: Class names and ids that name a block as chrome, alone or with words for a container on either side.  An ambiguous word
+#: ("related-work", "more-about", "tags-explained") names nothing, and paragraphs and headings are never chrome by their class.
+CHROME_NAMES = {
+    *("ad ads advert adverts advertisement advertising adbox adslot sponsor sponsored promo banner".split()),
+    *("comment comments replies disqus".split()),
+    *("sidebar aside widget widgets".split()),
+    *("menu nav navbar navigation breadcrumb breadcrumbs pagination pager toc".split()),
+    *("cookie cookies consent notice notices gdpr popup modal overlay newsletter subscribe signup login".split()),
+    *("footer masthead topbar toolbar share sharing social".split()),
 }
+CONTAINER_WORDS = set("area bar block bottom box buttons container content form header inner left links list main message module page panel primary right secondary section site slot thread title top unit user wrap wrapper".split())
+TEXT_BLOCKS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "blockquote", "figcaption", "dd", "dt", "td", "th"}
 CHROME_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu"}
 MAIN_TAGS, MAIN_ROLES = {"article", "main"}, {"main", "article"}
 #: A start tag of the key closes an open element of the value.
@@ -60,7 +65,15 @@ def chrome(tag: str, names: tuple[str, ...], role: str, within_main: bool) -> bo
         return True
     if tag in ("html", "body", *MAIN_TAGS):
         return False
-    return role in CHROME_ROLES or any(w in CHROME_WORDS for n in names for w in re.split(r"[^a-z]+", n))
+    if role in CHROME_ROLES:
+        return True
+    if tag in TEXT_BLOCKS:
+        return False
+    for n in names:
+        parts = [w for w in re.split(r"[^a-z]+", n) if w]
+        if any(w in CHROME_NAMES for w in parts) and all(w in CHROME_NAMES or w in CONTAINER_WORDS for w in parts):
+            return True
+    return False
 
 
 def stream(page: str) -> tuple[list[str], list[str]]:
@@ -137,26 +150,44 @@ def stream(page: str) -> tuple[list[str], list[str]]:
     return labels, texts
 
 
+#: Code points that stand for labels in a wrapper's regular expression; pages with more kinds of tokens get another wrapper.
+FIRST_SYMBOL, SYMBOLS = 0x10000, 0x100000
+
+
 # A wrapper is a tuple of items: a label, ("?", items) or ("+", items).
 
 
 def fold(items: tuple) -> tuple:
-    """Replace tandem repeats by repeated groups, shorter periods first."""
-    for period in range(1, min(40, len(items) // 2) + 1):
+    """Replace tandem repeats by repeated groups, shorter periods first.
+
+    The periods tried are the distances at which some item comes again, so no length of a repeated part is left out.
+    """
+    names: dict = {}
+    codes = np.array([names.setdefault(x, len(names)) for x in items], np.int64)
+    period = 0
+    while True:
+        order = np.argsort(codes, kind="stable")
+        gaps = np.diff(order)[codes[order][1:] == codes[order][:-1]]
+        more = gaps[gaps > period]
+        if not len(more) or 2 * more.min() > len(codes):
+            return items
+        period = int(more.min())
+        same = codes[period:] == codes[:-period]
+        edge = np.flatnonzero(np.diff(np.concatenate([[0], same.astype(np.int8), [0]])))
+        if not (edge[1::2] - edge[::2] >= period).any():
+            continue
         out, i = [], 0
-        while i < len(items):
-            body = items[i : i + period]
-            k = 1
-            while len(body) == period and items[i + k * period : i + (k + 1) * period] == body:
-                k += 1
-            if k > 1:
-                out.append(body[0] if period == 1 and isinstance(body[0], tuple) and body[0][0] == "+" else ("+", body))
-                i += k * period
-            else:
-                out.append(items[i])
-                i += 1
-        items = tuple(out)
-    return items
+        for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
+            a = max(a, i)
+            k = (b - a) // period + 1
+            if k < 2:
+                continue
+            body = items[a : a + period]
+            out += items[i:a]
+            out.append(body[0] if period == 1 and isinstance(body[0], tuple) and body[0][0] == "+" else ("+", body))
+            i = a + k * period
+        items = (*out, *items[i:])
+        codes = np.array([names.setdefault(x, len(names)) for x in items], np.int64)
 
 
 def bodies(items: tuple) -> set[tuple]:
@@ -220,7 +251,7 @@ class Wrapper:
         self.symbols: dict[str, str] = {}
 
     def written(self, labels: list[str]) -> str:
-        return "".join([self.symbols.setdefault(x, chr(0xF0000 + len(self.symbols))) for x in labels])
+        return "".join([self.symbols.setdefault(x, chr(FIRST_SYMBOL + len(self.symbols))) for x in labels])
 
     def _pattern(self, items: tuple) -> str:
         out = []
@@ -233,15 +264,25 @@ class Wrapper:
         return "".join(out)
 
     def refine(self, labels: list[str]) -> None:
-        page = fold(tuple(labels))
-        self.items = page if self.items is None else align(self.items, page)
+        page, first = fold(tuple(labels)), self.items is None
+        page = fold_known(page, bodies(page))
+        self.items = page if first else align(self.items, page)
         self.regex = re.compile(self._pattern(self.items))
+        if first and not self.matches(labels):  # a group takes what stands behind it: the page itself, then
+            self.items = tuple(labels)
+            self.regex = re.compile(self._pattern(self.items))
+
+    def room(self, labels: list[str]) -> bool:
+        """Whether the labels can all be named."""
+        return len(self.symbols) + len(set(labels).difference(self.symbols)) <= SYMBOLS
 
     def matches(self, labels: list[str]) -> bool:
-        return self.regex is not None and self.regex.fullmatch(self.written(labels)) is not None
+        return self.regex is not None and self.room(labels) and self.regex.fullmatch(self.written(labels)) is not None and self.slots(labels) is not None
 
     def meet(self, labels: list[str]) -> None:
         """Refine until the page matches; where alignment and atomic groups disagree, stay as it was."""
+        if not self.room(labels):
+            return
         before = self.items, self.regex
         for _ in range(3):
             if self.matches(labels):
@@ -250,8 +291,8 @@ class Wrapper:
         if not self.matches(labels):
             self.items, self.regex = before
 
-    def slots(self, labels: list[str]) -> list[int]:
-        """The place in the wrapper of every token of a page that it matches; repeats of a group share their places."""
+    def slots(self, labels: list[str]) -> list[int] | None:
+        """The place in the wrapper of every token of a page, if each group takes what it can; repeats share their places."""
         out = [0] * len(labels)
 
         def walk(items, base, at):
@@ -271,8 +312,7 @@ class Wrapper:
                 base += width(x[1])
             return at
 
-        assert walk(self.items, 0, 0) == len(labels)
-        return out
+        return out if walk(self.items, 0, 0) == len(labels) else None
 
 
 def width(items: tuple) -> int:
@@ -329,6 +369,9 @@ def extract(pages: list[str | None]) -> list[str]:
     streams = [stream(p or "") for p in pages]
     out = [""] * len(pages)
     rest = [i for i, (_, texts) in enumerate(streams) if any(texts)]
+    for i in [i for i in rest if len(set(streams[i][0])) > SYMBOLS]:  # more kinds of tokens than a regular expression can name
+        out[i] = "\n".join(region(*streams[i]))
+        rest.remove(i)
     while rest:
         wrapper = Wrapper()
         for i in rest:
