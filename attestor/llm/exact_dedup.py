@@ -1,10 +1,11 @@
 """Exact deduplication by an exchange of Golomb-coded fingerprints.
 
 Texts are equal when identical after deleting white space.  Every input partition sorts the fingerprints of its texts,
-codes the gaps with a Rice code and sends one short list to each owner of a range of fingerprints.  An owner tells every
-source, by a bitmap over the list that it sent, which fingerprints other sources sent too.  Only rows so marked, and
-those repeated within their partition, are suspects: their texts are shuffled and compared byte for byte by grouping on
-the text itself, with copies folded up before the shuffle.  Of equal texts the one with the most code points in the
+GATHERED at a time, codes the gaps with a Rice code and sends one short list to each owner of a range of fingerprints.
+An owner tells every source, by a bitmap over the list that it sent, which fingerprints other sources sent too.  Only
+rows so marked, and those repeated within their source, are suspects: their texts are shuffled and compared byte for byte
+by grouping on the text itself, with copies folded up before the shuffle.  Groups with much of the table are joined back
+by broadcast, so that no text's copies meet in one task.  Of equal texts the one with the most code points in the
 original text stays, then the smallest doc_id (a null one last), then the row that came first.
 
 Defined cases: a null text counts as empty.  Rows that repeat, ids and all, are copies like others: one of them stays.
@@ -21,10 +22,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, cut, fresh, text_rows
+from .common import SPACES, cut, fresh, possible, slices, spread_join, text_rows
 
 OWNERS = 64
-_FOUND = "kind int, doc_id long, row long, h long, text_sha256 string, n_chars long, src int, owner int, slot int, twice boolean, payload binary"
+#: Fingerprints that a task holds before it sends them; what follows in its partition counts as another source.
+GATHERED = 1 << 20
+_KINDS = {pa.int32(): "int", pa.int64(): "long", pa.string(): "string", pa.binary(): "binary"}
+_FOUND = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("row", pa.int64()), ("h", pa.int64()), ("text_sha256", pa.string()), ("n_chars", pa.int64()), ("src", pa.int64()), ("print", pa.int64()), ("owner", pa.int32()), ("payload", pa.binary()), ("again", pa.binary())])
 
 
 def golomb(values: np.ndarray) -> bytes:
@@ -49,15 +53,14 @@ def ungolomb(payload: bytes) -> np.ndarray:
     if not n:
         return np.zeros(0, np.uint64)
     bits = np.unpackbits(np.frombuffer(payload, np.uint8, offset=24))
-    ones = np.flatnonzero(bits).tolist()
-    ends, start, i = np.empty(n, np.int64), 0, 0
-    high = np.empty(n, np.uint64)
-    for x in range(n):
-        while ones[i] < start:
-            i += 1
-        ends[x] = ones[i]
-        high[x] = ones[i] - start
-        start = ones[i] + 1 + k
+    ones = np.flatnonzero(bits)
+    after = np.searchsorted(ones, ones + 1 + k).tolist()  # the unary one that follows, if this is one
+    which, i = [], 0
+    for _ in range(n):
+        which.append(i)
+        i = after[i]
+    ends = ones[which]
+    high = np.diff(ends, prepend=-1 - k).astype(np.uint64) - np.uint64(1 + k)
     low = np.zeros(n, np.uint64)
     for j in range(k):
         low = low << np.uint64(1) | bits[ends + 1 + j].astype(np.uint64)
@@ -65,44 +68,59 @@ def ungolomb(payload: bytes) -> np.ndarray:
 
 
 def _send(owners: int):
-    """Rows (kind 0) with the place of their fingerprint in the partition's lists, and the lists (kind 1)."""
+    """Rows (kind 0) with their fingerprint as they come, and behind every GATHERED of them the lists (kind 1).
+
+    A list's source is the partition and how many it has sent before; again marks what the source has more than once.
+    """
 
     def run(batches):
-        src = TaskContext.get().partitionId()
-        ids, hs, shas, sizes, prints = [], [], [], [], []
+        src, seen, held = TaskContext.get().partitionId() << 24, 0, []
+        first = np.int64(src) << np.int64(12)
+
+        def lists():
+            distinct, counts = np.unique(np.concatenate(held), return_counts=True)
+            owner = ((distinct >> np.uint64(32)) * np.uint64(owners) >> np.uint64(32)).astype(np.int32)
+            at = np.searchsorted(owner, np.arange(owners + 1))
+            for k in np.flatnonzero(at[1:] > at[:-1]).tolist():
+                own = slice(at[k], at[k + 1])
+                yield _batch(1, src=[src], owner=[k], payload=[golomb(distinct[own])], again=[np.packbits(counts[own] > 1).tobytes()])
+
         for batch in batches:
             buf, offs = text_rows(batch.column(1))
-            mem = memoryview(np.ascontiguousarray(buf))
-            lead = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
-            sizes.append(lead[offs[1:]] - lead[offs[:-1]])
-            for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True):
-                digest = hashlib.sha256(bytes(mem[a:b]).translate(None, SPACES)).digest()
-                shas.append(digest.hex())
-                prints.append(digest[:8])
-            ids.append(batch.column(0))
-            hs.append(batch.column(2))
-        if not shas:
-            return
-        prints = np.frombuffer(b"".join(prints), ">u8").astype(np.uint64)
-        distinct, inverse, counts = np.unique(prints, return_inverse=True, return_counts=True)
-        owner = ((distinct >> np.uint64(32)) * np.uint64(owners) >> np.uint64(32)).astype(np.int32)
-        first = np.searchsorted(owner, np.arange(owners + 1))
-        n = len(shas)
-        slot = np.arange(len(distinct)) - first[owner]
-        row = (np.int64(src) << np.int64(36)) + np.arange(n)
-        full = lambda x, kind: pa.array(np.full(n, x), kind)
-        columns = [full(0, pa.int32()), pa.chunked_array(ids).combine_chunks(), pa.array(row), pa.chunked_array(hs).combine_chunks(), pa.array(shas), pa.array(np.concatenate(sizes)), full(src, pa.int32()), pa.array(owner[inverse]), pa.array(slot[inverse].astype(np.int32)), pa.array((counts > 1)[inverse]), pa.nulls(n, pa.binary())]
-        names = [x.split()[0] for x in _FOUND.split(", ")]
-        out = pa.Table.from_arrays(columns, names)
-        yield from out.to_batches(10_000)
-        for k in range(owners):
-            if first[k] < first[k + 1]:
-                values = [1, None, None, None, None, None, src, k, None, None, golomb(distinct[first[k] : first[k + 1]])]
-                yield pa.RecordBatch.from_arrays([pa.array([v], c.type) for v, c in zip(values, columns, strict=True)], names)
+            shas, prints, sizes = [], [], []
+            for *_, b, o in slices(buf, offs):
+                raw = b.tobytes()
+                lead = np.concatenate([[0], np.cumsum((b & 0xC0) != 0x80, dtype=np.int32)])
+                sizes.append(lead[o[1:]] - lead[o[:-1]])
+                for x, y in zip(o[:-1].tolist(), o[1:].tolist(), strict=True):
+                    digest = hashlib.sha256(raw[x:y].translate(None, SPACES)).digest()
+                    shas.append(digest.hex())
+                    prints.append(digest[:8])
+            if not shas:
+                continue
+            n = len(shas)
+            held.append(np.frombuffer(b"".join(prints), ">u8").astype(np.uint64))
+            row = first + seen + np.arange(n)
+            seen += n
+            yield _batch(0, n, doc_id=batch.column(0), row=row, h=batch.column(2), text_sha256=shas, n_chars=np.concatenate(sizes), src=np.full(n, src), print=held[-1].view(np.int64))
+            if sum(map(len, held)) >= GATHERED:
+                yield from lists()
+                src, held = src + 1, []
+        if held:
+            yield from lists()
 
     return run
 
 
+def _batch(kind: int, n: int = 1, **columns) -> pa.RecordBatch:
+    """Rows of _FOUND, null where nothing is given."""
+    return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind), pa.int32()) if f.name == "kind" else _column(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in _FOUND], schema=_FOUND)
+
+
+def _column(values, kind) -> pa.Array:
+    return values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, kind)
+
+
 def _own(batches):
     """For each list of an owner, the slots whose fingerprint another source sent too, as a bitmap."""
     batches = [b for b in batches if b.num_rows]
@@ -114,38 +132,39 @@ def _own(batches):
             lists.setdefault(owner, []).append((src, payload))
     for owner, sent in lists.items():
         values = [ungolomb(p) for _, p in sent]
-        every = np.concatenate(values)
-        distinct, counts = np.unique(every, return_counts=True)
+        distinct, counts = np.unique(np.concatenate(values), return_counts=True)
         shared = distinct[counts > 1]
         maps = [np.packbits(np.isin(v, shared)).tobytes() for v in values]
-        yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in sent], pa.int32()), pa.array([owner] * len(sent), pa.int32()), pa.array(maps, pa.binary())], ["src", "owner", "bitmap"])
+        yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in sent], pa.int64()), pa.array([owner] * len(sent), pa.int32()), pa.array(maps, pa.binary())], ["src", "owner", "bitmap"])
 
 
-def _slots(batches):
-    """The slots that a bitmap marks."""
+def _marked(batches):
+    """(src, payload, again, bitmap) -> the fingerprints of a source that are met twice, in it or elsewhere."""
     for b in batches:
-        for src, owner, bitmap in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
-            at = np.flatnonzero(np.unpackbits(np.frombuffer(bitmap, np.uint8))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), src, np.int32)), pa.array(np.full(len(at), owner, np.int32)), pa.array(at)], ["src", "owner", "slot"])
+        for src, payload, again, bitmap in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+            values = ungolomb(payload)
+            both = np.frombuffer(again, np.uint8) | np.frombuffer(bitmap, np.uint8)
+            values = values[np.unpackbits(both, count=len(values)) > 0].view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), src)), pa.array(values)], ["src", "print"])
 
 
 def exact_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, keep_id, group_size, kept and text_sha256 of every row of docs (doc_id, text); row and h tell rows apart."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
     owners = max(OWNERS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    found = cut(docs.mapInArrow(_send(owners), _FOUND), "exact-prints")
-    rows = found.where("kind = 0").drop("kind", "payload")
-    lists = found.where("kind = 1").select("src", "owner", "payload")
-    bitmaps = lists.repartition(owners, "owner").mapInArrow(_own, "src int, owner int, bitmap binary")
-    marked = bitmaps.mapInArrow(_slots, "src int, owner int, slot int")
-    suspects = rows.where("not twice").join(marked, ["src", "owner", "slot"], "left_semi").unionByName(rows.where("twice"))
-    suspects = suspects.groupBy("doc_id", "h").agg(F.min("row").alias("row"), F.min("n_chars").alias("n_chars"))
-    texts = docs.alias("d").join(suspects.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.h") == F.col("s.h")))
+    found = cut(docs.mapInArrow(_send(owners), ", ".join(f"{f.name} {_KINDS[f.type]}" for f in _FOUND)), "exact-prints")
+    rows = found.where("kind = 0").select("doc_id", "row", "h", "text_sha256", "n_chars", "src", "print")
+    lists = found.where("kind = 1").select("src", "owner", "payload", "again")
+    bitmaps = lists.select("src", "owner", "payload").repartition(owners, "owner").mapInArrow(_own, "src long, owner int, bitmap binary")
+    marked = lists.join(bitmaps, ["src", "owner"]).select("src", "payload", "again", "bitmap").mapInArrow(_marked, "src long, print long")
+    suspects = rows.select("src", "print", "doc_id", "h", "row", "n_chars").join(marked, ["src", "print"], "left_semi")
+    suspects = cut(suspects.groupBy("doc_id", "h").agg(F.min("row").alias("row"), F.min("n_chars").alias("n_chars")), "exact-suspects")
+    texts = possible(docs, "h", suspects.select("h"))[0].alias("d").join(suspects.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.h") == F.col("s.h")))
     bare = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", "")
     best = F.max(F.struct("n_chars", F.bitwise_not("id").alias("minus_id"), F.bitwise_not("row").alias("minus_row")))
-    groups = texts.select(bare.alias("bare"), "n_chars", F.col("d.doc_id").alias("id"), "row").groupBy("bare").agg(F.count("*").alias("group_size"), best.alias("best"))
-    groups = groups.where("group_size > 1").select(F.sha2("bare", 256).alias("text_sha256"), "group_size", F.bitwise_not("best.minus_id").alias("best_id"), F.bitwise_not("best.minus_row").alias("best_row"))
-    out = rows.join(groups, "text_sha256", "left")
+    groups = texts.select(bare.alias("bare"), "n_chars", F.col("d.doc_id").alias("id"), "row").groupBy("bare").agg(F.count("*").alias("n"), best.alias("best")).where("n > 1")
+    groups = cut(groups.select(F.sha2("bare", 256).alias("text_sha256"), "n", F.col("n").alias("group_size"), F.bitwise_not("best.minus_id").alias("best_id"), F.bitwise_not("best.minus_row").alias("best_row")), "exact-groups")
+    out = spread_join(rows, groups, ["text_sha256"], rows.count(), "left")
     alone = F.col("best_row").isNull()
     return out.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("best_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), (alone | (F.col("row") == F.col("best_row"))).alias("kept"), "text_sha256", "row", "h")
 
@@ -158,12 +177,12 @@ def distinct_documents(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, with all columns."""
     key, i, h, kept, n = fresh(docs, "key", "id", "hash", "kept", "copies")
     stays = exact_duplicates(docs).groupBy(F.col("doc_id").alias(i), F.col("h").alias(h)).agg(F.max("kept").alias(kept), F.count("*").alias(n))
-    gone = stays.where(~F.col(kept) | (F.col(n) > 1))
+    gone = cut(stays.where(~F.col(kept) | (F.col(n) > 1)), "exact-gone")
     marked = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit(""))))
     same = F.col("doc_id").eqNullSafe(F.col(i)) & (F.col(key) == F.col(h))
-    away = marked.join(gone, same, "left_anti")
-    again = marked.join(gone.where(kept), same, "left_semi").dropDuplicates(["doc_id", key])
-    return away.unionByName(again).drop(key)
+    some, others = possible(marked, key, gone.select(h))
+    again = some.join(gone.where(kept), same, "left_semi").dropDuplicates(["doc_id", key])
+    return others.unionByName(some.join(gone, same, "left_anti")).unionByName(again).drop(key)
 
 
 SQL = """
