@@ -35,8 +35,8 @@ def fold_width(x: Column | str) -> Column:
 
 
 def strip_notes(x: Column | str) -> Column:
-    """Text without footnote marks such as (1) or [2] at its end."""
-    return F.regexp_replace(fold_width(x), r"\s*[\(\[][0-9]+[\)\]]\s*$", "")
+    """Text without footnote marks such as (1), full-width ones too, wherever they stand."""
+    return F.regexp_replace(_c(x), r"\s*[\(（][0-9]+[\)）]", "")
 
 
 def canonical(x: Column | str) -> Column:
@@ -44,23 +44,34 @@ def canonical(x: Column | str) -> Column:
     return blank_to_null(F.lower(F.regexp_replace(fold_width(x), r"\s+", " ")))
 
 
+_SIZE = r"^([0-9]+)\s*([KMG]?)B?$"
+
+
 def parse_size(x: Column | str) -> Column:
-    """'64K', '2 MB' or '512' in bytes; NULL if it isn't a size."""
-    t = F.upper(F.trim(_c(x)))
-    n, unit = F.regexp_extract(t, r"^([0-9]+)\s*([KMG]?)B?$", 1), F.regexp_extract(t, r"^([0-9]+)\s*([KMG]?)B?$", 2)
+    """'64K', '2 MB', '512' or '20K(1)' in bytes; NULL if it isn't a size."""
+    t = F.upper(F.regexp_replace(F.trim(_c(x)), r"\s*[\(（][0-9]+[\)）]\s*$", ""))
+    n, unit = F.regexp_extract(t, _SIZE, 1), F.regexp_extract(t, _SIZE, 2)
     factor = F.when(unit == "K", 1 << 10).when(unit == "M", 1 << 20).when(unit == "G", 1 << 30).otherwise(1)
     return F.when(n != "", n.try_cast("long") * factor.cast("long"))
 
 
+def size_text(x: Column | str) -> Column:
+    """A size in bytes as text; what is no size stays as it is, trimmed."""
+    return F.coalesce(parse_size(x).cast("string"), F.trim(_c(x)))
+
+
 def human_size(x: Column | str) -> Column:
-    """Bytes as text, in the largest unit that divides them."""
-    v = _c(x).cast("long")
-    return (
-        F.when(v.isNull(), None)
-        .when((v >= 1 << 20) & (v % (1 << 20) == 0), F.concat((v / (1 << 20)).cast("long").cast("string"), F.lit("M")))
-        .when((v >= 1 << 10) & (v % (1 << 10) == 0), F.concat((v / (1 << 10)).cast("long").cast("string"), F.lit("K")))
-        .otherwise(v.cast("string"))
-    )
+    """Bytes as text: whole kilobytes with a K, other numbers as they are, '-' for nothing."""
+    v = _c(x).try_cast("long") if isinstance(x, Column) else F.col(x).try_cast("long")
+    other = F.coalesce(F.nullif(_c(x).cast("string"), F.lit("")), F.lit("-"))
+    return F.when(v.isNull(), other).when(v % 1024 == 0, F.concat((F.floor(v / 1024)).cast("long").cast("string"), F.lit("K"))).otherwise(v.cast("string"))
+
+
+def dimension(x: Column | str) -> Column:
+    """'3.0*3.0mm' and '3x3' alike: units and spellings of 'times' folded, numbers without idle zeros."""
+    parts = F.split(F.regexp_replace(F.regexp_replace(F.upper(_c(x)), "MM", ""), "X", "*"), r"\*")
+    plain = F.transform(parts, lambda p: F.when(p.try_cast("double").isNotNull(), F.regexp_replace(F.regexp_replace(F.trim(p), r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")).otherwise(F.trim(p)))
+    return canonical(F.array_join(plain, "*"))
 
 
 def parse_range(x: Column | str) -> Column:
@@ -100,6 +111,13 @@ def contiguous(mask: Column | str) -> Column:
     return (m != 0) & (((m.bitwiseAND(-m)) + m).bitwiseAND(m) == 0)
 
 
+def width_differs(comment: Column | str, value: Column | str) -> Column:
+    """The '[hi:lo]' of a comment if it isn't as wide as the value has bits set; NULL if it is, or there is none."""
+    c, v = _c(comment), _c(value).cast("long")
+    hi, lo = F.regexp_extract(c, r"\[([0-9]+):([0-9]+)\]", 1), F.regexp_extract(c, r"\[([0-9]+):([0-9]+)\]", 2)
+    return F.when((hi != "") & (v != 0) & (hi.try_cast("int") - lo.try_cast("int") + 1 != F.bit_count(v)), F.regexp_extract(c, r"\[[0-9]+:[0-9]+\]", 0))
+
+
 def expand_dont_care(pattern: Column | str) -> Column:
     """All values of a binary pattern in which x is either bit, ascending."""
     return F.aggregate(
@@ -161,28 +179,99 @@ def classify(x: Column | str, rules: Sequence[tuple[str, str]], default: str | N
     return out.otherwise(default)
 
 
-#: Fixed values of the signal grammar: pattern, peripheral (groups by number), role.
-SIGNAL_RULES = [
-    (r"^(USART|UART|LPUART)([0-9]*)_([A-Z]+)$", "U", "3"),
-    (r"^T([0-9]+)C([0-9])(N?)$", "T", "C"),
-    (r"^TIM([0-9]+)_(CH[0-9]N?|ETR|BKIN)$", "TIM", "2"),
-    (r"^([A-Z]+[0-9]*)_([A-Z0-9_]+)$", "1", "2"),
-]
+# Text.
+
+#: A pad beside anything but ASCII letters, digits and underscores; Chinese text has no word boundary there.
+PAD_IN_PROSE = r"(?<![0-9A-Za-z_])P[A-H][0-9]{1,2}(?![0-9A-Za-z_])"
 
 
-def parse_signal(x: Column | str) -> Column:
-    """struct(peripheral, role) of a signal name by the first rule that fits; NULL if none does."""
+def pads_in(x: Column | str) -> Column:
+    """All pads that a text names, in order, once each."""
+    return F.array_distinct(F.regexp_extract_all(_c(x), F.lit(PAD_IN_PROSE), 0))
+
+
+def upright(x: Column | str, accepted: str) -> Column:
+    """A heading that may be printed backwards: the reversed text if that is accepted, else the text if it is, else NULL."""
+    t = F.trim(strip_notes(F.regexp_replace(_c(x), "\n", "")))
+    back = F.trim(F.reverse(t))
+    return F.when(back.rlike(accepted), back).when(t.rlike(accepted), t)
+
+
+def templated(template: str, **values: Column | str) -> Column:
+    """A text with {name} places filled in; NULL if any value is."""
+    out, parts = [], template.split("{")
+    out.append(F.lit(parts[0]))
+    for p in parts[1:]:
+        name, _, rest = p.partition("}")
+        out += [_c(values[name]).cast("string"), F.lit(rest)]
+    return F.concat(*out)
+
+
+def translated(x: Column | str, table: Column) -> Column:
+    """The map's entry for the text without spaces, else its words translated one by one, else the text."""
     c = _c(x)
+    flat = F.regexp_replace(c, "[ 　]", "")
+    words = F.filter(F.split(c, r"\s+"), lambda w: w != "")
+    each = F.transform(words, lambda w: F.coalesce(F.try_element_at(table, w), w))
+    by_words = F.when((F.size(words) > 1) & (each != words), F.array_join(each, " "))
+    return F.coalesce(F.try_element_at(table, flat), by_words, c)
 
-    def g(pattern, k):
-        return F.regexp_extract(c, pattern, k)
-
-    (uart, *_), (short, *_), (timer, *_), (plain, *_) = SIGNAL_RULES
-    kind = "struct<peripheral: string, role: string>"
-    return (
-        F.when(c.rlike(uart), F.struct(F.concat(g(uart, 1), g(uart, 2)).alias("peripheral"), g(uart, 3).alias("role")))
-        .when(c.rlike(short), F.struct(F.concat(F.lit("TIM"), g(short, 1)).alias("peripheral"), F.concat(F.lit("CH"), g(short, 2), g(short, 3)).alias("role")))
-        .when(c.rlike(timer), F.struct(F.concat(F.lit("TIM"), g(timer, 1)).alias("peripheral"), g(timer, 2).alias("role")))
-        .when(c.rlike(plain), F.struct(g(plain, 1).alias("peripheral"), g(plain, 2).alias("role")))
-        .otherwise(F.lit(None).cast(kind))
-    )
+
+def parse_map(x: Column | str) -> Column:
+    """Map of 'k=v;k=v'; NULL for a blank."""
+    return F.str_to_map(F.nullif(_c(x), F.lit("")), F.lit(";"), F.lit("="))
+
+
+def render_map(x: Column | str) -> Column:
+    """'k=v;k=v' of a map, by key."""
+    entries = F.array_sort(F.map_entries(_c(x)))
+    return F.array_join(F.transform(entries, lambda e: F.concat_ws("=", e["key"], e["value"])), ";")
+
+
+ALTERNATE = r"^(.+?)[\(（](?:AF|af)([0-9]+)[\)）]$"
+ROUTED = r"^(.+?)_([0-9]+)$"
+
+
+def route(x: Column | str, column: str) -> Column:
+    """struct(signal, kind, value) of a name in a table's 'main', 'default' or 'remap' column.
+
+    Kinds: main, default, af-n, remap-n; NULL where a name of the remap column says no route.
+    """
+    c = _c(x)
+
+    def named(signal, kind, value):
+        return F.struct(signal.alias("signal"), kind.alias("kind"), value.cast("int").alias("value"))
+
+    none = F.lit(None).cast("string")
+    alternate = named(F.regexp_extract(c, ALTERNATE, 1), F.concat(F.lit("af-"), F.regexp_extract(c, ALTERNATE, 2)), F.regexp_extract(c, ALTERNATE, 2))
+    routed = named(F.regexp_extract(c, ROUTED, 1), F.concat(F.lit("remap-"), F.regexp_extract(c, ROUTED, 2)), F.regexp_extract(c, ROUTED, 2))
+    if column == "main":
+        return named(c, F.lit("main"), none)
+    if column == "default":
+        return F.when(c.rlike(ALTERNATE), alternate).otherwise(named(c, F.lit("default"), none))
+    return F.when(c.rlike(ALTERNATE), alternate).when(c.rlike(ROUTED), routed).otherwise(named(c, none, none))
+
+
+def megahertz(x: Column | str) -> Column:
+    """'312_5' megahertz in hertz: the underscore is the decimal point."""
+    return F.round(F.replace(_c(x), F.lit("_"), F.lit(".")).try_cast("double") * 1_000_000).cast("long")
+
+
+def symmetric_difference(a: Column | str, b: Column | str) -> Column:
+    """What only one of two arrays has, sorted."""
+    return F.array_sort(F.array_union(F.array_except(_c(a), _c(b)), F.array_except(_c(b), _c(a))))
+
+
+def subset(a: Column | str, b: Column | str) -> Column:
+    """Whether all of one array is in another."""
+    return F.size(F.array_except(_c(a), _c(b))) == 0
+
+
+#: Hiragana to the unified ideographs: fixed bounds of the scripts.
+CJK = "[\u3040-\u30ff\u4e00-\u9fff]"
+PROSE = "[a-z]{3,}"
+
+
+def leaks_cjk(columns: Sequence[str]) -> Column:
+    """Whether any of the columns has Japanese or Chinese characters."""
+    return F.exists(F.array(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in columns]), lambda v: v.rlike(CJK))

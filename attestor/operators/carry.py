@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from attestor.operators.resolve import written
+
 
 def _w(group: Sequence[str], order: Sequence) -> Window:
     return Window.partitionBy(*group).orderBy(*order)
@@ -26,11 +28,26 @@ def locf_within(df: DataFrame, group: Sequence[str], order: Sequence, level: Col
 
 
 def running_offset(df: DataFrame, group: Sequence[str], order: Sequence, size: str, out: str) -> DataFrame:
-    """Exclusive running sum."""
+    """Exclusive running sum, for groups that one task can run through."""
     w = _w(group, order).rowsBetween(Window.unboundedPreceding, -1)
     return df.withColumn(out, F.coalesce(F.sum(size).over(w), F.lit(0)))
 
 
+def spread_offset(df: DataFrame, group: Sequence[str], order: Sequence[str], size: Column, out: str) -> DataFrame:
+    """Exclusive running sum over groups of any size: rows are dealt by ranges of group and order, summed up within each.
+
+    A range adds what the group has in the ranges before it, of which there is one row for each range and group.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = written(df.withColumn("_size", size).repartitionByRange(n, *group, *order).withColumn("_range", F.spark_partition_id()))
+    sums = dealt.groupBy(*group, "_range").agg(F.sum("_size").alias("_s"))
+    before = sums.withColumn("_before", F.coalesce(F.sum("_s").over(_w(group, ["_range"]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_s")
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"b.{c}")) for c in [*group, "_range"]]
+    joined = dealt.alias("d").join(before.alias("b"), same).select("d.*", "b._before")
+    inner = F.sum("_size").over(_w([*group, "_range"], order).rowsBetween(Window.unboundedPreceding, -1))
+    return joined.withColumn(out, F.col("_before") + F.coalesce(inner, F.lit(0))).drop("_size", "_range", "_before")
+
+
 def islands(df: DataFrame, group: Sequence[str], order: Sequence, column: str, out: str = "island") -> DataFrame:
     """Numbers the runs of equal values from 1."""
     w = _w(group, order)
@@ -47,11 +64,11 @@ def gap_sessions(df: DataFrame, group: Sequence[str], order: Sequence, start: Co
 
 
 def next_different(df: DataFrame, group: Sequence[str], order: Sequence, column: str, out: str) -> DataFrame:
-    """The value of the next run."""
-    marked = islands(df, group, order, column, "_run")
-    runs = marked.groupBy(*group, "_run").agg(F.first(column).alias("_v"))
-    runs = runs.withColumn(out, F.lead("_v").over(Window.partitionBy(*group).orderBy("_run"))).drop("_v")
-    return marked.join(runs, [*group, "_run"]).drop("_run")
+    """The value of the next run, by windows of one sort."""
+    w = _w(group, order)
+    after = F.lead(F.struct(F.col(column).alias("v"))).over(w)
+    marked = df.withColumn("_after", F.when(after.isNotNull() & ~after["v"].eqNullSafe(F.col(column)), after))
+    return marked.withColumn(out, F.first("_after", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))["v"]).drop("_after")
 
 
 def dense(df: DataFrame, group: Sequence[str], step: str) -> DataFrame:
@@ -83,9 +100,11 @@ def locf_array(x: Column | str) -> Column:
     return F.aggregate(a, empty, lambda acc, v: F.concat(acc, F.array(F.coalesce(v, F.when(F.size(acc) > 0, F.element_at(acc, -1))))))
 
 
-def continued(df: DataFrame, group: Sequence[str], page: str, width: str) -> DataFrame:
-    """Numbers tables that go on: the next page of the same width continues the one before."""
+def continued(df: DataFrame, group: Sequence[str], page: str, width: str, header: Column | None = None) -> DataFrame:
+    """Numbers tables that go on: the next page of the same width continues the one before, unless it begins with a header."""
     w = _w(group, [page])
     goes_on = (F.col(page) - F.lag(page).over(w) == 1) & (F.lag(width).over(w) == F.col(width))
+    if header is not None:
+        goes_on = goes_on & ~header
     marked = df.withColumn("_new", F.when(goes_on, 0).otherwise(1))
     return marked.withColumn("table", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")

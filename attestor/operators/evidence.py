@@ -36,16 +36,24 @@ def dedup_evidence(df: DataFrame, keys: Sequence[str], canon: Callable = canonic
 
 
 def judge(df: DataFrame, keys: Sequence[str], canon: Callable = canonical) -> DataFrame:
-    """keys, value, confidence, basis: one row a fact, by one grouped aggregation without Python."""
-    row = F.struct("ord", "source", "kind", "value", canon("value").alias("canon"), "agreed", "soft")
-    g = df.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("e"))
-    g = g.withColumn("r", F.expr("filter(e, x -> x.kind = 'reading')"))
-    support = F.size("r") + F.size(F.expr("filter(e, x -> x.kind = 'check' and x.agreed)"))
-    differ = F.size(F.expr("array_distinct(transform(r, x -> x.canon))")) > 1
-    broken = F.expr("exists(e, x -> x.kind = 'check' and not x.agreed and not x.soft)")
-    confidence = F.when(F.size("r") == 0, "missing").when(differ | broken, "conflict").when(support >= 2, "confirmed").otherwise("reference")
-    said = F.expr("transform(e, x -> case when x.kind = 'reading' or x.agreed then x.source when x.soft then concat('?', x.source) else concat('!', x.source) end)")
-    return g.select(*keys, F.expr("get(r, 0).value").alias("value"), confidence.alias("confidence"), F.array_join(said, "+").alias("basis"))
+    """keys, value, confidence, basis: one row a fact, by one grouped aggregation without Python.
+
+    Value and confidence come from sums that are folded before the shuffle; only the basis, which names all evidence,
+    is gathered a fact.
+    """
+    reading, check = F.col("kind") == "reading", F.col("kind") == "check"
+    said = F.when(reading | F.col("agreed"), F.col("source")).when(F.col("soft"), F.concat(F.lit("?"), "source")).otherwise(F.concat(F.lit("!"), "source"))
+    spelt = F.coalesce(canon("value"), F.lit("\0"))
+    g = df.groupBy(*keys).agg(
+        F.count_if(reading).alias("_r"),
+        F.count_if(check & F.col("agreed")).alias("_agreed"),
+        (F.min(F.when(reading, spelt)) != F.max(F.when(reading, spelt))).alias("_differ"),
+        F.coalesce(F.bool_or(check & ~F.col("agreed") & ~F.col("soft")), F.lit(False)).alias("_broken"),
+        F.min(F.when(reading, F.struct("ord", "source", "value"))).alias("_first"),
+        F.array_sort(F.collect_list(F.struct("ord", "source", "kind", "agreed", "soft", said.alias("said")))).alias("_e"),
+    )
+    confidence = F.when(F.col("_r") == 0, "missing").when(F.col("_differ") | F.col("_broken"), "conflict").when(F.col("_r") + F.col("_agreed") >= 2, "confirmed").otherwise("reference")
+    return g.select(*keys, F.col("_first.value").alias("value"), confidence.alias("confidence"), F.array_join(F.col("_e.said"), "+").alias("basis"))
 
 
 def tally(df: DataFrame, column: str = "confidence") -> DataFrame:
@@ -54,15 +62,24 @@ def tally(df: DataFrame, column: str = "confidence") -> DataFrame:
 
 
 def rollup(df: DataFrame, group: Sequence[str], value: str, confidence: str) -> DataFrame:
-    """Members' values to one: the single value, 'varies' or missing; confirmed only if every member's is."""
+    """Members' values to one: the single value, or none where they vary or none is stated.
+
+    Confidence: confirmed only if every member that states it is, else partial; varies; missing.
+    """
     stated = F.when(F.coalesce(F.trim(F.col(value).cast("string")), F.lit("")) != "", F.col(value).cast("string"))
     g = df.groupBy(*group).agg(
-        F.countDistinct(stated).alias("_d"), F.min(stated).alias("_v"), F.bool_and(F.when(stated.isNotNull(), F.col(confidence) == "confirmed")).alias("_all"), F.count(stated).alias("members_stated"), F.count("*").alias("members")
+        F.countDistinct(stated).alias("_d"), F.min(stated).alias("_v"), F.bool_and(F.when(stated.isNotNull(), F.coalesce(F.col(confidence) == "confirmed", F.lit(False)))).alias("_all"), F.count(stated).alias("members_stated"), F.count("*").alias("members")
     )
     return g.select(
         *group,
-        F.when(F.col("_d") == 1, F.col("_v")).when(F.col("_d") > 1, "varies").alias("value"),
+        F.when(F.col("_d") == 1, F.col("_v")).alias("value"),
         F.when(F.col("_d") == 0, "missing").when(F.col("_d") > 1, "varies").when(F.col("_all"), "confirmed").otherwise("partial").alias("confidence"),
         "members_stated",
         "members",
     )
+
+
+def pooled(members: DataFrame, evidence: DataFrame, member: str, group: Sequence[str], canon: Callable = canonical) -> DataFrame:
+    """Judges each group once on all of its members' evidence together; a source that says the same thing again counts once."""
+    rows = members.select(member, *group).distinct().join(evidence, member)
+    return judge(dedup_evidence(rows, group, canon), group, canon)

@@ -9,7 +9,10 @@ import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from attestor.functions.canon import CJK, strip_notes
 
 
 def _documents(df: DataFrame, key: str, text: str, schema: str, rows: Callable[[str], Iterator[tuple]]) -> DataFrame:
@@ -128,3 +131,41 @@ def resplit(df: DataFrame, key: str, text: str, vocabulary: list[str]) -> DataFr
         yield (" ".join(x.strip() for x in out if x.strip()),)
 
     return _documents(df, key, text, "pieces string", rows)
+
+
+def scan_yaml(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, value) of every leaf of YAML documents, with dotted keys; items of lists by their number."""
+
+    def rows(t: str):
+        import yaml
+
+        stack = [("", yaml.safe_load(t))]
+        while stack:
+            name, x = stack.pop()
+            if isinstance(x, (dict, list)):
+                pairs = x.items() if isinstance(x, dict) else enumerate(x)
+                stack += [(f"{name}.{k}" if name else str(k), v) for k, v in pairs][::-1]
+            elif name:
+                yield name, None if x is None else str(x)
+
+    return _documents(df, key, text, "key string, value string", rows)
+
+
+def lines_of_words(df: DataFrame, group: list[str], x: str, y: str, word: str, apart: float) -> DataFrame:
+    """(group, y, line) of words with coordinates: those less than `apart` below the one before stand on its line."""
+    down = Window.partitionBy(*group).orderBy(y, x)
+    new = F.when(F.col(y) - F.lag(y).over(down) < apart, 0).otherwise(1)
+    marked = df.withColumn("_new", new).withColumn("_line", F.sum("_new").over(down.rowsBetween(Window.unboundedPreceding, 0)))
+    words = F.transform(F.array_sort(F.collect_list(F.struct(F.col(x).alias("x"), F.col(word).alias("w")))), lambda s: s["w"])
+    return marked.groupBy(*group, "_line").agg(F.min(y).alias("y"), F.array_join(words, " ").alias("line")).drop("_line")
+
+
+def vocabulary(df: DataFrame, cell: str, stem: str) -> DataFrame:
+    """(kind, word, n): what cells spell out where the ends are certain, in parts between '/' without a line break.
+
+    `stem` words are what a part begins with, by the pattern's group; `name` words whole parts without notes or spaces.
+    """
+    parts = df.select(F.explode(F.split(cell, "/")).alias("_p")).where(~F.contains("_p", F.lit("\n"))).select(F.trim("_p").alias("_p"))
+    name = strip_notes("_p")
+    both = parts.select(F.explode(F.array(F.struct(F.lit("stem").alias("kind"), F.regexp_extract("_p", stem, 1).alias("word")), F.struct(F.lit("name").alias("kind"), F.when(~F.contains(name, F.lit(" ")) & ~name.rlike(CJK), name).alias("word")))).alias("w")).select("w.*")
+    return both.where("word <> ''").groupBy("kind", "word").agg(F.count("*").alias("n"))

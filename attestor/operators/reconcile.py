@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from attestor.functions.canon import canonical
+
 
 def edition_merge(a: DataFrame, b: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Full outer merge on keys: equal in both is confirmed, different a conflict (a's value stays), one-sided reference.
@@ -22,6 +24,20 @@ def edition_merge(a: DataFrame, b: DataFrame, keys: Sequence[str], value: str) -
     return g.select(*keys, F.when(F.col("_in") == 2, F.col("value_b")).otherwise(F.col("value_a")).alias("value"), confidence.alias("confidence"), F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("a+b")), F.col("_in")).alias("basis"))
 
 
+def pad_merge(a: DataFrame, b: DataFrame, keys: Sequence[str], pin: str, pad: str) -> DataFrame:
+    """Merge of two editions of (keys, pin, pad): in both `confirmed`; one-sided `reference`.
+
+    Where both have the pin with no pad in common, a's rows are a `conflict` that tells b's pads, and b's rows go.
+    """
+    k = [*keys, pin]
+    merged = set_merge(a, b, [*k, pad])
+    mine = a.groupBy(*k).agg(F.collect_set(pad).alias("_a"))
+    theirs = b.groupBy(*k).agg(F.array_sort(F.collect_set(pad)).alias("_b"))
+    apart = mine.join(theirs, k).where(~F.arrays_overlap("_a", "_b")).select(*k, F.array_join("_b", ",").alias("other"))
+    rows = merged.join(apart, k, "left").where("other is null or in_a")
+    return rows.select(*k, pad, F.when(F.col("other").isNotNull(), "conflict").otherwise(F.col("confidence")).alias("confidence"), F.when(F.col("other").isNotNull(), F.concat(F.lit("a+!b("), F.col("other"), F.lit(")"))).when(F.col("in_a") & F.col("in_b"), "a+b").when(F.col("in_a"), "a").otherwise("b").alias("basis"))
+
+
 def set_merge(a: DataFrame, b: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Union of two sets of rows with the sides that have each."""
     both = a.select(*columns).distinct().withColumn("_in", F.lit(1)).unionByName(b.select(*columns).distinct().withColumn("_in", F.lit(2)))
@@ -38,40 +54,83 @@ def residual_pairs(a: DataFrame, b: DataFrame, group: Sequence[str], item: str)
     return x.join(y, list(group)).where("na = 1 and nb = 1").select(*group, "item_a", "item_b")
 
 
-def align(df: DataFrame, group: Sequence[str], side: str, pos: str, value: str) -> DataFrame:
-    """Order-preserving alignment of the two sides of each group by contiguous matching blocks.
+def align(df: DataFrame, group: Sequence[str], side: str, pos: str | Sequence[str], value: str, canon: Callable = canonical) -> DataFrame:
+    """Order-preserving alignment of the two sides of each group, on canonical values, by contiguous matching blocks.
 
-    Equal values are `confirmed`; a gap of one value on either side is a `conflict`; other gaps are one-sided
-    `reference`.  Sequences are one group's, so a task holds one group; groups must fit in memory.
+    Values that are alike are `confirmed`, each in its own spelling; a gap of one value on either side is a `conflict`;
+    what else stands between blocks is one-sided `reference`.  Blanks aren't aligned.  Sequences are one group's, so a
+    task holds one group; groups must fit in memory.
     """
+    order = [pos] if isinstance(pos, str) else list(pos)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         key = pdf.iloc[0][list(group)].tolist()
-        sides = [pdf[pdf[side] == s].sort_values(pos)[value].tolist() for s in (0, 1)]
-        rows, i, k = [], 0, 0
-        for m in SequenceMatcher(None, *sides, autojunk=False).get_matching_blocks():
-            left, right = sides[0][i : m.a], sides[1][k : m.b]
-            if len(left) == len(right) == 1:
-                rows.append((left[0], right[0], "conflict"))
+        spelt, alike = zip(*(((s := pdf[pdf[side] == n].sort_values(order))[value].tolist(), s["_canon"].tolist()) for n in (0, 1)), strict=True)
+        rows = []
+        for kind, a, b, c, d in SequenceMatcher(None, *alike, autojunk=False).get_opcodes():
+            if kind == "equal" or (kind == "replace" and b - a == d - c == 1):
+                rows += [(x, y, "confirmed" if kind == "equal" else "conflict") for x, y in zip(spelt[0][a:b], spelt[1][c:d], strict=True)]
             else:
-                rows += [(x, None, "reference") for x in left] + [(None, y, "reference") for y in right]
-            rows += [(x, x, "confirmed") for x in sides[0][m.a : m.a + m.size]]
-            i, k = m.a + m.size, m.b + m.size
+                rows += [(x, None, "reference") for x in spelt[0][a:b]] + [(None, y, "reference") for y in spelt[1][c:d]]
         return pd.DataFrame([(*key, n, *r) for n, r in enumerate(rows)], columns=[*group, "n", "left", "right", "confidence"])
 
     schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in group)
     kind = df.schema[value].dataType.simpleString()
-    return df.groupBy(*group).applyInPandas(run, f"{schema}, n int, left {kind}, right {kind}, confidence string")
+    stated = df.withColumn("_canon", canon(value)).where("_canon is not null")
+    return stated.groupBy(*group).applyInPandas(run, f"{schema}, n int, left {kind}, right {kind}, confidence string")
+
 
+def rank_match(left: DataFrame, right: DataFrame, keys: Sequence[str], order_left: Sequence[str], order_right: Sequence[str], id_left: str, id_right: str) -> DataFrame:
+    """One-to-one matches of rows with equal keys in order: the n-th of one side takes the n-th of the other, in one shuffle."""
+    rank = lambda df, order: df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    both = rank(left, order_left).select(*keys, "_n", F.col(id_left).alias("left_id"), F.lit(None).cast(right.schema[id_right].dataType).alias("right_id"))
+    both = both.unionByName(rank(right, order_right).select(*keys, "_n", F.lit(None).cast(left.schema[id_left].dataType).alias("left_id"), F.col(id_right).alias("right_id")))
+    return both.groupBy(*keys, "_n").agg(F.max("left_id").alias("left_id"), F.max("right_id").alias("right_id")).drop("_n")
 
-def greedy_match(left: DataFrame, right: DataFrame, keys: Sequence[str], order_left: Sequence[str], order_right: Sequence[str], id_left: str, id_right: str) -> DataFrame:
-    """Greedy one-to-one matches of rows with equal keys in order: the n-th of one side takes the n-th of the other.
 
-    With equality of all keys as the condition, consuming candidates in order is the same as equal ranks, so no loop.
+def greedy_match(left: DataFrame, right: DataFrame, keys: Sequence[str], order: Sequence[str], equal: Sequence[str], if_both: Sequence[str]) -> DataFrame:
+    """One-to-one matches of a key's rows in order, each left row taking the first right row that is still free and agrees.
+
+    Rows agree if all `equal` columns are the same and those of `if_both` wherever both sides state them: `confirmed`, and
+    the left row's blanks are filled from the right.  A left row without such a partner takes the first free row: a
+    `conflict`, with the columns that differ.  Else it is `reference`; right rows left over are not returned.
+
+    What a row takes depends on what earlier ones took, so a task runs through one key; both sides meet in one shuffle.
     """
-    a = left.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order_left)))
-    b = right.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order_right)))
-    return a.select(*keys, "_n", F.col(id_left).alias("left_id")).join(b.select(*keys, "_n", F.col(id_right).alias("right_id")), [*keys, "_n"], "full").drop("_n")
+    shown = [*equal, *if_both]
+    names = [*keys, *order, *shown]
+    kinds = {c: left.schema[c].dataType.simpleString() for c in names}
+    both = left.select(*names).withColumn("_side", F.lit(0)).unionByName(right.select(*names).withColumn("_side", F.lit(1)))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["_side", *order]).astype(object)
+        rows = pdf.where(pdf.notna(), None).to_dict("records")
+        free = dict(enumerate(r for r in rows if r["_side"]))
+        index: dict = {}
+        for n, r in free.items():
+            index.setdefault(tuple(r[c] for c in equal), []).append(n)
+        out, first = [], 0
+        for row in (r for r in rows if not r["_side"]):
+            same = index.get(tuple(row[c] for c in equal), [])
+            n = next((n for n in same if all(None in (row[c], free[n][c]) or row[c] == free[n][c] for c in if_both)), None)
+            confidence, differ = "confirmed", ""
+            if n is None and free:
+                while first not in free:
+                    first += 1
+                n, confidence = first, "conflict"
+                differ = ",".join(f"{c}={'' if free[n][c] is None else free[n][c]}" for c in shown if free[n][c] != row[c])
+            if n is None:
+                confidence = "reference"
+            else:
+                taken = free.pop(n)
+                index[tuple(taken[c] for c in equal)].remove(n)
+                if confidence == "confirmed":
+                    row |= {c: taken[c] for c in if_both if row[c] is None}
+            out.append((*(row[c] for c in names), None if n is None else n, confidence, differ))
+        return pd.DataFrame(out, columns=[*names, "taken", "confidence", "differ"])
+
+    schema = ", ".join(f"`{c}` {k}" for c, k in kinds.items()) + ", taken int, confidence string, differ string"
+    return both.groupBy(*keys).applyInPandas(run, schema)
 
 
 def consensus(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:

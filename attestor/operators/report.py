@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attestor.functions.canon import capped
+from attestor.operators.carry import spread_offset
 
 
 def pivot_first(df: DataFrame, rows: str, columns: str, values: Sequence, value: Column, missing: str = "-") -> DataFrame:
@@ -63,9 +64,10 @@ def content_groups(df: DataFrame, member: str, *columns: str) -> DataFrame:
 
 
 def partition_sum(df: DataFrame, group: Sequence[str], part: str, value: str) -> DataFrame:
-    """A sum only where a group has two members or more, of one part."""
-    g = df.groupBy(*group).agg(F.count("*").alias("members"), F.countDistinct(part).alias("parts"), F.sum(value).alias("_s"))
-    return g.select(*group, "members", "parts", F.when((F.col("members") >= 2) & (F.col("parts") == 1), F.col("_s")).alias("total"))
+    """A sum only where a group has two members or more, of one part, whose values are all numbers."""
+    number = F.col(value).cast("string").try_cast("double")
+    g = df.groupBy(*group).agg(F.count("*").alias("members"), F.countDistinct(part).alias("parts"), F.bool_and(number.isNotNull()).alias("_all"), F.sum(F.col(value).try_cast("long")).alias("_s"))
+    return g.select(*group, "members", "parts", F.when((F.col("members") >= 2) & (F.col("parts") == 1) & F.col("_all"), F.col("_s")).alias("total"))
 
 
 def top(df: DataFrame, order: Sequence, n: int) -> DataFrame:
@@ -79,13 +81,14 @@ def first_items(df: DataFrame, group: Sequence[str], value: str, most: int) -> D
 
 
 def lines(sections: Sequence[tuple[str, DataFrame, Column]]) -> DataFrame:
-    """Sections as ordered lines: (section, ord, line)."""
+    """Sections as ordered lines: (section, ord, line), numbered across tasks, as a section may be of any size."""
     out = None
     for n, (name, df, line) in enumerate(sections):
         part = df.select(line.alias("line"))
         part = part.select(F.lit(n).alias("section_no"), F.lit(name).alias("section"), "line")
         out = part if out is None else out.unionByName(part)
-    return out.withColumn("ord", F.row_number().over(Window.partitionBy("section_no").orderBy("line")))
+    numbered = spread_offset(out, ["section_no"], ["line"], F.lit(1), "ord")
+    return numbered.withColumn("ord", (F.col("ord") + 1).cast("int"))
 
 
 def unique_or_none(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
@@ -109,3 +112,51 @@ def ranked(df: DataFrame, column: str, ranks: Sequence[str]) -> DataFrame:
     """Adds the place of the column's value in a fixed order; others come last."""
     place = F.array_position(F.array(*[F.lit(r) for r in ranks]), F.col(column))
     return df.withColumn("rank", F.when(place > 0, place.cast("int")).otherwise(len(ranks) + 1))
+
+
+def distinct_in_order(df: DataFrame, group: Sequence[str], value: str, order: Sequence[str], out: str, separator: str = ";") -> DataFrame:
+    """Each group's distinct values in order of their first appearance: repeats are folded before the shuffle."""
+    first = df.groupBy(*group, value).agg(F.min(F.struct(*order)).alias("_o"))
+    return first.groupBy(*group).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_o", F.col(value).alias("_v")))), lambda s: s["_v"]), separator).alias(out))
+
+
+def vote(df: DataFrame, group: Sequence[str], distance: Column, above: str, below: str, out: str) -> DataFrame:
+    """Which side the distances of a group add up to more on; `below` if they are even."""
+    d = df.withColumn("_d", distance).groupBy(*group).agg(F.sum(F.greatest("_d", F.lit(0))).alias("_a"), F.sum(F.greatest(-F.col("_d"), F.lit(0))).alias("_b"))
+    return d.select(*group, F.when(F.col("_a") > F.col("_b"), above).otherwise(below).alias(out))
+
+
+def as_text(*columns: str) -> list[Column]:
+    """Sort columns in the order of their texts, numbers too: '10' before '9'."""
+    return [F.col(c).cast("string").asc_nulls_first() for c in columns]
+
+
+def by_frequency(df: DataFrame, column: str) -> DataFrame:
+    """Values by how often they occur, ties by value."""
+    g = df.groupBy(column).agg(F.count("*").alias("n"))
+    return g.withColumn("place", F.row_number().over(Window.orderBy(F.desc("n"), column)))
+
+
+def first_rows(df: DataFrame, group: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+    """The first n rows of each group; Spark keeps n a group before the shuffle, too."""
+    return df.withColumn("_n", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("_n") <= n).drop("_n")
+
+
+def index_of(df: DataFrame, group: str, member: str, owner: str, most: int) -> DataFrame:
+    """An index by group: where it is kept, how many members it has, and the first few of them."""
+    g = df.groupBy(group).agg(F.count("*").alias("parts"), F.min(owner).alias("maker"), F.array_sort(F.collect_set(member)).alias("_m"))
+    return g.select(group, "parts", "maker", capped(F.col("_m").cast("array<string>"), most).alias("shown"))
+
+
+def searched(df: DataFrame, sets: dict[str, Sequence], shown: Sequence[str], text: str) -> DataFrame:
+    """Rows that have one of the values of every set, and whose shown columns contain the text, whatever its case."""
+    for column, values in sets.items():
+        df = df.where(F.col(column).isin(*values)) if values else df
+    return df.where(F.contains(F.lower(F.concat_ws(" ", *[F.col(c).cast("string") for c in shown])), F.lit(text.lower())))
+
+
+def chained_hits(df: DataFrame, group: Sequence[str], order: Sequence[str], at: str, window: int) -> DataFrame:
+    """Marks the hits that open a window: those with no hit of their group up to `window` before them."""
+    w = Window.partitionBy(*group).orderBy(*order)
+    before = F.lag(at).over(w)
+    return df.withColumn("opens", before.isNull() | (F.col(at) - before > window))

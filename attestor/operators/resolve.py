@@ -60,13 +60,21 @@ def admit(df: DataFrame, *conditions: tuple[DataFrame, Sequence[str]]) -> DataFr
     return df
 
 
-def written(df: DataFrame) -> DataFrame:
-    """df written to the shared folder and read back; a temporary one only where none is set."""
-    spark = df.sparkSession
+def shared_path(spark, name: str) -> str:
+    """A new path in the folder that driver and executors share; a temporary one only in local mode, where it is unset."""
     top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    path = f"{top or 'file://' + tempfile.mkdtemp(prefix='attestor-')}/level-{uuid.uuid4().hex}"
+    if not top:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        top = "file://" + tempfile.mkdtemp(prefix="attestor-")
+    return f"{top}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read back."""
+    path = shared_path(df.sparkSession, "level")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ancestors(edges: DataFrame, child: str, parent: str, rounds: int | None = None) -> DataFrame:
@@ -110,3 +118,52 @@ def complete(df: DataFrame, more: DataFrame, keys: Sequence[str], items: str, mo
     both = df.join(other, list(keys), "left").withColumn("_u", F.array_sort(F.array_union(items, F.coalesce("_m", F.slice(items, 1, 0)))))
     note = F.when(F.col("_m").isNull(), "alone").when(F.size("_u") > most, "too many").when(F.size("_u") == F.size(items), "same").otherwise("completed")
     return both.withColumn("note", note).withColumn(items, F.when(F.size("_u") > most, F.array_sort(items)).otherwise(F.col("_u"))).drop("_m", "_u")
+
+
+def abbreviations(names: DataFrame, name: str, patterns: DataFrame, pattern: str, longer: int, stem: int) -> DataFrame:
+    """(pattern, name) of every name that a short form stands for: begun by it and at most `longer` characters more.
+
+    An x in a pattern is any one capital or digit.  Joined on the first `stem` characters, which hold no x; a name that
+    is a pattern itself needs no expansion.
+    """
+    a = names.select(F.col(name).alias("name")).distinct().withColumn("_k", F.substring("name", 1, stem))
+    b = patterns.select(F.col(pattern).alias("pattern")).distinct().withColumn("_k", F.substring("pattern", 1, stem))
+    begun = F.rlike("name", F.concat(F.lit("^"), F.replace(F.col("pattern"), F.lit("x"), F.lit("[A-Z0-9]")), F.lit("[A-Z0-9]*$")))
+    near = F.length("name") <= F.length("pattern") + longer
+    return b.join(a, "_k").where(begun & near & (F.col("name") != F.col("pattern"))).select("pattern", "name")
+
+
+def exists_folded(df: DataFrame, column: str, other: DataFrame, other_column: str) -> DataFrame:
+    """Rows whose value the other table has, whatever its case."""
+    known = other.select(F.lower(other_column).alias("_k")).distinct()
+    return df.withColumn("_k", F.lower(column)).join(known, "_k", "left_semi").drop("_k")
+
+
+def included(df: DataFrame, key: str, content: str, includes: str, files: DataFrame, file_key: str, file_content: str) -> DataFrame:
+    """(key, included, content): each document's own content and that of the files that it includes, one level deep.
+
+    What isn't there is skipped.
+    """
+    more = df.select(key, F.explode(includes).alias("included")).join(files.select(F.col(file_key).alias("included"), F.col(file_content).alias("content")), "included")
+    return df.select(key, F.col(key).alias("included"), F.col(content).alias("content")).unionByName(more.select(key, "included", "content"))
+
+
+def nearest(left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, id_left: str, id_right: str, most: float, digits: int) -> DataFrame:
+    """Each left row's nearest right row of the same keys, not further off than `most`; ties go to the smaller id.
+
+    Places are cut into strips as wide as `most`, and a row meets only its own strip and the next on either side.
+    """
+    strip = F.floor(F.col(at) / most)
+    a = left.select(*keys, F.col(id_left), F.col(at).alias("_a"), F.explode(F.array(strip - 1, strip, strip + 1)).alias("_s"))
+    b = right.select(*keys, F.col(id_right), F.col(at).alias("_b"), strip.alias("_s"))
+    met = a.join(b, [*keys, "_s"]).withColumn("_d", F.abs(F.col("_a") - F.col("_b"))).where(F.col("_d") <= most).withColumn("distance", F.round("_d", digits))
+    best = F.min(F.struct("distance", F.col(id_right).alias("_id"))).alias("_m")
+    return met.groupBy(id_left).agg(best).select(id_left, F.col("_m._id").alias(id_right), "_m.distance")
+
+
+def required(df: DataFrame, key: str, table: DataFrame, table_key: str, value: str) -> DataFrame:
+    """df with the first value that the table has for the key; a key that it lacks is an error when the row is read."""
+    one = table.groupBy(F.col(table_key).alias("_k")).agg(F.min(value).alias("_v"))
+    out = df.join(one, F.col(key) == F.col("_k"), "left")
+    missing = F.raise_error(F.concat(F.lit(f"{value} of "), F.col(key).cast("string"), F.lit(" is missing"))).cast("string")
+    return out.withColumn(value, F.when(F.col("_k").isNull(), missing).otherwise(F.col("_v"))).drop("_k", "_v")

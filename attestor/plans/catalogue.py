@@ -34,4 +34,4 @@ def query(sql: str | None = None):
     return register
 
 
-from attestor.plans import evidence_queries, more_queries, order_queries, report_queries, rule_queries, scalar_queries  # noqa: E402, F401
+from attestor.plans import evidence_queries, more_queries, order_queries, record_queries, report_queries, resolution_queries, rule_queries, scalar_queries  # noqa: E402, F401

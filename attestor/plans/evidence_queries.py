@@ -9,6 +9,8 @@ from attestor.operators import reconcile as rc
 from attestor.operators import resolve as rs
 from attestor.plans.catalogue import query
 
+ORDERED_SEGMENTS = {s: ord(s[0]) for s in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")}
+
 _ORDER_EVIDENCE = """
 with ev as (
   select o_orderkey k, 1 ord, 'orders' src, o_orderstatus v from orders
@@ -84,7 +86,7 @@ def _by_user():
 
 @query("""
 with m as (select p_brand, p_type, case when count(distinct p_size) = 1 then cast(min(p_size) as varchar) end as v, count(*) as n from part group by 1, 2)
-select p_brand, case when count(distinct v) = 1 then min(v) when count(distinct v) > 1 then 'varies' end as value,
+select p_brand, case when count(distinct v) = 1 then min(v) end as value,
        case when count(distinct v) = 0 then 'missing' when count(distinct v) > 1 then 'varies' when bool_and(case when v is not null then n >= 2 end) then 'confirmed' else 'partial' end as confidence,
        count(v) as members_stated, count(*) as members
 from m group by p_brand
@@ -113,17 +115,19 @@ def rollup_hierarchy(t):
 
 @query("""
 with e as (
-  select s_nationkey as nation, 1 as ord, 'supplier' as src, case when sum(cast(round(s_acctbal * 100) as bigint)) >= 0 then 'credit' else 'debit' end as v from supplier group by 1
-  union all select c_nationkey, 2, 'customer', case when sum(cast(round(c_acctbal * 100) as bigint)) >= 0 then 'credit' else 'debit' end from customer group by 1)
-select nation, min_by(v, ord) as value, case when count(distinct v) > 1 then 'conflict' when count(*) >= 2 then 'confirmed' else 'reference' end as confidence, string_agg(src, '+' order by ord) as basis
+  select distinct c_nationkey as nation, c_mktsegment as src, ascii(c_mktsegment) as ord, case when c_acctbal >= 0 then 'credit' else 'debit' end as v
+  from customer where abs(c_acctbal) > 900 and c_acctbal % 3 < 0.5)
+select nation, min_by(v, ord * 10 + case v when 'credit' then 0 else 1 end) as value, case when count(distinct v) > 1 then 'conflict' when count(*) >= 2 then 'confirmed' else 'reference' end as confidence,
+  string_agg(src, '+' order by ord, v) as basis
 from e group by nation
 """)
 def judge_pooled(t):
-    def side(df, nation, balance, ord, source):
-        g = df.groupBy(F.col(nation).alias("nation")).agg(F.sum(F.round(F.col(balance) * 100).cast("long")).alias("s"))
-        return ev.readings(g, ["nation"], ord, source, F.when(F.col("s") >= 0, "credit").otherwise("debit"))
-
-    return ev.judge(side(t.supplier, "s_nationkey", "s_acctbal", 1, "supplier").unionByName(side(t.customer, "c_nationkey", "c_acctbal", 2, "customer")), ["nation"])
+    c = t.customer.where("abs(c_acctbal) > 900 and c_acctbal % 3 < 0.5").withColumnRenamed("c_nationkey", "nation").withColumn("v", F.when(F.col("c_acctbal") >= 0, "credit").otherwise("debit"))
+    said = None
+    for segment in sorted(ORDERED_SEGMENTS):
+        rows = ev.readings(c.where(F.col("c_mktsegment") == segment), ["c_custkey"], ORDERED_SEGMENTS[segment], segment, F.col("v"))
+        said = rows if said is None else said.unionByName(rows)
+    return ev.pooled(c, said, "c_custkey", ["nation"])
 
 
 @query("""
@@ -188,16 +192,23 @@ select coalesce(a.l_partkey, b.l_partkey) as l_partkey, a.id as left_id, b.id as
 
 
 @query(_GREEDY)
-def greedy_match(t):
+def rank_match(t):
     rows = t.lineitem.withColumn("id", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
     order = ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"]
-    return rc.greedy_match(rows.where("l_returnflag = 'R'"), rows.where("l_returnflag = 'A'"), ["l_partkey"], order, order, "id", "id")
+    return rc.rank_match(rows.where("l_returnflag = 'R'"), rows.where("l_returnflag = 'A'"), ["l_partkey"], order, order, "id", "id")
+
+
+@query()
+def greedy_match(t):
+    rows = t.lineitem.withColumn("mode", F.when(F.col("l_tax") > 0.02, F.col("l_linestatus"))).withColumn("size", F.col("l_linenumber") % 3)
+    order = ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"]
+    return rc.greedy_match(rows.where("l_returnflag = 'R'"), rows.where("l_returnflag = 'A'"), ["l_partkey"], order, ["size"], ["mode"])
 
 
 @query()
 def align_turns(t):
-    c = t.conversations.where("role in ('user', 'assistant')").select("conv_id", F.when(F.col("role") == "user", 0).otherwise(1).alias("side"), "turn", F.posexplode(F.split(F.lower("text"), r"\s+")).alias("at", "word"))
-    return rc.align(c.withColumn("pos", F.col("turn") * 1_000_000 + F.col("at")), ["conv_id"], "side", "pos", "word")
+    c = t.conversations.where("role in ('user', 'assistant')").select("conv_id", F.when(F.col("role") == "user", 0).otherwise(1).alias("side"), "turn", F.posexplode(F.split("text", r"\s+")).alias("at", "word"))
+    return rc.align(c, ["conv_id"], "side", ["turn", "at"], "word")
 
 
 @query("""
@@ -253,7 +264,7 @@ def admit_and_refute(t):
 
 @query("""
 with recursive e as (select p_partkey as node, p_partkey // 3 as up from part where p_partkey >= 3),
-r as (select node, up as ancestor, 1 as depth from e union all select r.node, e.up, r.depth + 1 from r join e on e.node = r.ancestor where r.depth < 6)
+r as (select node, up as ancestor, 1 as depth from e union all select r.node, e.up, r.depth + 1 from r join e on e.node = r.ancestor)
 select node, cast(ancestor as bigint) as ancestor, depth from r
 """)
 def recursive_chain(t):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from attestor.operators import diff, report
+from attestor.operators import diff, parse, report
 from attestor.plans.catalogue import query
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
@@ -111,13 +111,13 @@ def collapse_guard(t):
 
 
 @query("""
-with l as (select doc_id, unnest(string_split(text, chr(10))) as line from documents), k as (select distinct text as line from benchmark)
-select doc_id, count(*) as lines, count(*) filter (where k.line is not null) as known from l left join k on k.line = l.line group by 1
+select doc_id, count(b.item_id) as known, string_agg(cast(b.item_id as varchar), ';' order by cast(b.item_id as varchar)) as items
+from documents left join benchmark b on contains(documents.text, b.text) group by doc_id
 """)
 def novelty_scan(t):
-    lines = t.documents.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
-    marked = diff.novelty(lines, t.benchmark.select(F.col("text").alias("line")), "line")
-    return marked.groupBy("doc_id").agg(F.count("*").alias("lines"), F.count_if("known").alias("known"))
+    met = diff.contained_passages(t.documents.select("doc_id", "text"), "doc_id", "text", t.benchmark, "item_id", "text")
+    found = met.groupBy("doc_id").agg(F.count("*").alias("known"), report.joined_set(F.col("item_id").cast("string")).alias("items"))
+    return t.documents.select("doc_id").join(found, "doc_id", "left").select("doc_id", F.coalesce("known", F.lit(0)).alias("known"), "items")
 
 
 @query("""
@@ -162,10 +162,20 @@ def capped_report(t):
 @query("""
 select page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) as title, regexp_extract(html, '<html lang="([a-z]+)"', 1) as lang, len(regexp_extract_all(html, '<a href=')) as links from pages
 """)
-def html_cells(t):
+def html_fields(t):
     return t.pages.select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.regexp_extract("html", '<html lang="([a-z]+)"', 1).alias("lang"), F.size(F.regexp_extract_all("html", F.lit("<a href="), 0)).cast("long").alias("links"))
 
 
+@query("""
+with c as (select o_orderkey, 0 as "row", 0 as "column", o_orderstatus as cell from orders union all select o_orderkey, 0, 1, o_orderpriority from orders
+  union all select o_orderkey, 1, 0, cast(o_custkey as varchar) from orders)
+select o_orderkey, 0 as "table", * exclude (o_orderkey) from c
+""")
+def html_cells(t):
+    page = F.concat(F.lit("<p>x<table><tr><th>"), "o_orderstatus", F.lit("</th><td class=b><b>"), "o_orderpriority", F.lit("</b> </td></tr>\n<tr><td>"), F.col("o_custkey").cast("string"), F.lit("</table>"))
+    return parse.scan_cells(t.orders.select("o_orderkey", page.alias("html")), "o_orderkey", "html")
+
+
 @query("""
 select o_custkey, string_agg(o_orderpriority, '/' order by o_orderdate, o_orderkey) as history from orders group by 1
 """)

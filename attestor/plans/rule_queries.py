@@ -20,9 +20,22 @@ _FK = {
 }
 
 
-@query(" union all ".join(f"select '{n}' as rule, count(*) as violations from (select distinct {c} as v from {a} where {c} is not null) where v not in (select {d} from {b})" for n, (a, c, b, d) in _FK.items()))
+#: Rows that no parent has, added to three of the children.
+_ORPHANS = {"orders.customer": [-1, -2, -2], "lineitem.part": [-7], "labels.documents": [-3, -4]}
+
+
+def _fk_sql(n, a, c, b, d):
+    more = "".join(f" union all select {v}" for v in _ORPHANS.get(n, []))
+    return f"select '{n}' as rule, count(*) as violations from (select distinct v from (select {c} as v from {a}{more}) where v is not null) where v not in (select {d} from {b})"
+
+
+@query(" union all ".join(_fk_sql(n, *x) for n, x in _FK.items()))
 def fk_violations(t):
-    return rules.counts(list(_FK), [rules.foreign_key(n, getattr(t, a), c, getattr(t, b), d) for n, (a, c, b, d) in _FK.items()])
+    def child(n, a, c):
+        rows = getattr(t, a).select(c)
+        return rows.unionByName(t.spark.createDataFrame([(v,) for v in _ORPHANS[n]], f"{c} long")) if n in _ORPHANS else rows
+
+    return rules.counts(list(_FK), [rules.foreign_key(n, child(n, a, c), c, getattr(t, b), d) for n, (a, c, b, d) in _FK.items()])
 
 
 @query("select 'lineitem.key' as rule, l_orderkey || '|' || l_linenumber as key, cast(count(*) as varchar) as detail from lineitem group by l_orderkey, l_linenumber having count(*) > 1")

@@ -124,3 +124,22 @@ def with_overrides(df: DataFrame, curated: DataFrame, keys: Sequence[str], colum
     for c in columns:
         out = out.withColumn(c, F.coalesce(f"_o_{c}", c)).drop(f"_o_{c}")
     return out
+
+
+def pruned(df: DataFrame, column: str, values: Sequence) -> DataFrame:
+    """Rows of some partitions of a partitioned table: folders of the others are never listed or opened."""
+    return df.where(F.col(column).isin(*values))
+
+
+def required_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """df, or an error if a column is missing: an answer of another shape is no empty table."""
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"columns {missing} are missing; there are {df.columns}")
+    return df
+
+
+def register_views(spark: SparkSession, folder: str, names: Sequence[str]) -> None:
+    """Tables of a folder as views by their names, for SQL over them."""
+    for n in names:
+        parquet(spark, folder, n).createOrReplaceTempView(n)

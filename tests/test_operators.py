@@ -52,7 +52,7 @@ def test_dedup_evidence_makes_a_repeat_no_confirmation(spark):
 def test_rollup(spark):
     df = spark.createDataFrame([("a", "1", "confirmed"), ("a", "1", "confirmed"), ("b", "1", "confirmed"), ("b", "1", "reference"), ("c", "1", "confirmed"), ("c", "2", "confirmed"), ("d", "", "missing")], "g string, v string, c string")
     got = {r["g"]: (r["value"], r["confidence"]) for r in evidence.rollup(df, ["g"], "v", "c").collect()}
-    assert got == {"a": ("1", "confirmed"), "b": ("1", "partial"), "c": ("varies", "varies"), "d": (None, "missing")}
+    assert got == {"a": ("1", "confirmed"), "b": ("1", "partial"), "c": (None, "varies"), "d": (None, "missing")}
 
 
 def test_align(spark):
@@ -179,3 +179,138 @@ def test_dont_care_overlap_has_all_pairs_of_a_brand(spark, tmp_path):
     spark.createDataFrame(rows, "p_partkey long, p_brand string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
     got = {tuple(r) for r in QUERIES["dont_care_overlap"](spark, f"file://{tmp_path}").collect()}
     assert got == {("A", 1, 500, "1000", "101x", False), ("A", 1, 9000, "1000", "1010", False), ("A", 500, 9000, "101x", "1010", True)}
+
+
+def test_spread_offset_equals_the_running_sum(spark):
+    rows = [(g, o, (g or 7) * o % 11) for g in (1, 2, None) for o in range(60)]
+    df = spark.createDataFrame(rows, "g int, o int, n int").repartition(5)
+    got = {(r["g"], r["o"]): r["at"] for r in carry.spread_offset(df, ["g"], ["o"], F.col("n"), "at").collect()}
+    assert got == {(g, o): sum(n for a, b, n in rows if a == g and b < o) for g, o, _ in rows}
+
+
+def test_next_different(spark):
+    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "a"), (1, 3, None), (1, 4, "b"), (1, 5, "b"), (2, 1, "c")], "g int, o int, v string")
+    got = [tuple(r) for r in carry.next_different(df, ["g"], ["o"], "v", "n").select("g", "o", "n").orderBy("g", "o").collect()]
+    assert got == [(1, 1, None), (1, 2, None), (1, 3, "b"), (1, 4, None), (1, 5, None), (2, 1, None)]
+
+
+def test_align_compares_canonical_values_and_keeps_both_spellings(spark):
+    rows = [("g", 0, 0, "A"), ("g", 0, 1, "Ｂ  c"), ("g", 0, 2, "-"), ("g", 0, 3, "x"), ("g", 1, 0, "a"), ("g", 1, 1, "b c"), ("g", 1, 2, "y"), ("one", 0, 5, "p")]
+    got = reconcile.align(spark.createDataFrame(rows, "g string, side int, pos int, v string"), ["g"], "side", "pos", "v").orderBy("g", "n").collect()
+    assert [(r["left"], r["right"], r["confidence"]) for r in got] == [("A", "a", "confirmed"), ("Ｂ  c", "b c", "confirmed"), ("x", "y", "conflict"), ("p", None, "reference")]
+
+
+def brute_greedy(left, right):
+    """left and right: (key, order, min, max, unit, typ) in order."""
+    out, free = [], list(right)
+    for row in left:
+        own = [r for r in free if r[0] == row[0]]
+        agrees = lambda r, row=row: r[2:4] == row[2:4] and all(a is None or b is None or a == b for a, b in zip(r[4:], row[4:], strict=True))
+        met = next((r for r in own if agrees(r)), None)
+        if met:
+            free.remove(met)
+            out.append((row[0], row[1], *[a if a is not None else b for a, b in zip(row[2:], met[2:], strict=True)], "confirmed", ""))
+        elif own:
+            free.remove(own[0])
+            out.append((*row, "conflict", ",".join(f"{c}={'' if x is None else x}" for c, x, y in zip(("lo", "hi", "unit", "typ"), own[0][2:], row[2:], strict=True) if x != y)))
+        else:
+            out.append((*row, "reference", ""))
+    return out
+
+
+def test_greedy_match_by_brute_force(spark):
+    import random
+
+    rnd = random.Random(8)
+    side = lambda n: [(f"k{rnd.randrange(6)}", i, rnd.randrange(3), rnd.randrange(2), rnd.choice([None, "V", "mA"]), rnd.choice([None, "1", "2"])) for i in range(n)]
+    left, right = side(90), side(70)
+    schema = "k string, o int, lo int, hi int, unit string, typ string"
+    got = reconcile.greedy_match(spark.createDataFrame(left, schema).repartition(3), spark.createDataFrame(right, schema).repartition(3), ["k"], ["o"], ["lo", "hi"], ["unit", "typ"]).drop("taken")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(brute_greedy(left, right), key=str)
+    kinds = {r["confidence"] for r in got.collect()}
+    assert kinds == {"confirmed", "conflict", "reference"}
+
+
+def test_selector_resolution_on_literal_rows(spark):
+    from attestor.operators import selectors
+
+    fields = spark.createDataFrame([("a", k) for k in ("TIM1", "TIM4", "ADC1_ETRGINJ", "ADC1_ETRGREG", "ISINK1_ADJ", "SPI3", "UHSIF_CLK", "UHSIF_PORT", "USART1")], "series string, key string")
+    rows = [
+        (1, "T1C1", 3, "PA0"), (2, "TIM4_CH1", 1, "PD12"), (3, "USART4_TX", 1, "PB0"), (4, "I2S3_WS", 1, "PA4"), (5, "ADC_ETR", 1, "PA2"),
+        (6, "ISINK1", 1, "PA6"), (7, "UHSIF_PORT33", 1, "PC1"), (8, "DVP_D5", 1, "PB6"), (9, "MCO", 1, "PA8"), (10, "I2S3_CK", 0, "PC7"),
+    ]
+    f = spark.createDataFrame([(i, "a", s, v, p) for i, s, v, p in rows], "id int, series string, signal string, value int, pad string")
+    stated = spark.createDataFrame([("a", "TIM4_CH1", 1, "PD12", "TIM1"), ("a", "USART4_TX", 1, "PB0", "USART1"), ("a", "I2S3_WS", 1, "PA4", "SPI3"), ("a", "DVP_D5", 1, "PB6", "ETH")], "series string, signal string, value int, pad string, key string")
+    grid = spark.createDataFrame([("a", "PA2", 1, "TIM1"), ("a", "PA2", 1, "ADC1_ETRGREG"), ("a", "PA6", 1, "TIM1"), ("a", "PA8", 1, "TIM1"), ("a", "PC7", 0, "TIM4")], "series string, pad string, value int, key string")
+    got = {r["id"]: (r["key"], r["method"]) for r in selectors.resolve(f, fields, stated, [("grid", grid)]).collect()}
+    # the name refutes what is stated of TIM4 and USART4; I2S3 shares a field; ADC goes by the pad; ISINK1 by its name; MCO by an unchecked pad
+    assert got == {1: ("TIM1", "peripheral"), 2: ("TIM4", "peripheral"), 4: ("SPI3", "signal"), 5: ("ADC1_ETRGREG", "grid"), 6: ("ISINK1_ADJ", "prefix"), 7: ("UHSIF_PORT", "prefix"), 9: ("TIM1", "grid")}
+
+
+BAD_RECORD = {
+    "id": "x1", "file": "x2.json", "identity": {"part_number": "X9"}, "sources": [{"id": "s"}, {"id": "s"}], "named": ["s", "t"],
+    "coverage": {"package_pins": "complete", "pin_functions": "complete"}, "package": {"pin_count": 2, "exposed_pad_count": 1, "gpio_count": 2, "special_io_counts": [{"kind": "a"}, {"kind": "a"}]},
+    "memory": {"regions": [{"id": "m", "subset_of": None}, {"id": "m", "subset_of": "q"}]}, "integrated_components": [{"id": "c"}, {"id": "c"}],
+    "route_selectors": [
+        {"id": "a", "controller": "k", "register": "R", "field": "A", "bits": [{"register": "R", "bit": 0}, {"register": "R", "bit": 1}], "valid_values": [0, 1], "reset_value": 2},
+        {"id": "a", "controller": "k", "register": "R", "field": "A", "bits": [{"register": "R", "bit": 1}], "valid_values": [0, 2], "reset_value": 0},
+        {"id": "b", "controller": "k", "register": "R", "field": "B", "bits": [{"register": "R", "bit": 32}], "valid_values": [0], "reset_value": 0},
+        {"id": "c", "controller": "k", "register": "Q", "field": "C", "bits": [{"register": "R", "bit": 5}, {"register": "R", "bit": 5}], "valid_values": [0], "reset_value": 0},
+        {"id": "d", "controller": "k", "register": "Q", "field": "D", "bits": [{"register": "R", "bit": 6}], "valid_values": [0], "reset_value": 0},
+    ],
+    "pins": [
+        {"number": "1", "kind": "gpio", "functions": [{"signal": "s", "peripheral": None, "route": None, "conditions": None, "selection": {"selector": "d", "values": [1, 1]}}, {"signal": "s", "peripheral": None, "route": None, "conditions": None, "selection": None}]},
+        {"number": "1", "kind": "power", "functions": [{"signal": "t", "peripheral": None, "route": None, "conditions": None, "selection": {"selector": "z", "values": [0]}}, {"signal": "u", "peripheral": None, "route": None, "conditions": None, "selection": {"selector": "d", "values": []}}, {"signal": "w", "peripheral": None, "route": None, "conditions": None, "selection": {"selector": "d", "values": [2]}}]},
+        {"number": "EP1", "kind": "power", "functions": []},
+    ],
+}
+RECORD = """id string, file string, identity struct<part_number: string>, sources array<struct<id: string>>, named array<string>, coverage struct<package_pins: string, pin_functions: string>,
+package struct<pin_count: int, exposed_pad_count: int, gpio_count: int, special_io_counts: array<struct<kind: string>>>, memory struct<regions: array<struct<id: string, subset_of: string>>>, integrated_components array<struct<id: string>>,
+route_selectors array<struct<id: string, controller: string, register: string, field: string, bits: array<struct<register: string, bit: int>>, valid_values: array<int>, reset_value: int>>,
+pins array<struct<number: string, kind: string, functions: array<struct<signal: string, peripheral: string, route: string, conditions: string, selection: struct<selector: string, values: array<int>>>>>>"""
+
+
+def test_record_rules_on_bad_and_good_records(spark):
+    from attestor.operators import records
+
+    rules_ = records.identity("file") | records.sources("named") | records.completeness() | records.selector_rules() | records.pin_rules() | records.part_rules()
+    good = {
+        "id": "x2", "file": "x2.json", "identity": {"part_number": "X2"}, "sources": [{"id": "s"}], "named": ["s"], "coverage": {"package_pins": "complete", "pin_functions": None},
+        "package": {"pin_count": 1, "exposed_pad_count": 1, "gpio_count": 1, "special_io_counts": []}, "memory": {"regions": [{"id": "m", "subset_of": None}, {"id": "n", "subset_of": "m"}]}, "integrated_components": [],
+        "route_selectors": [BAD_RECORD["route_selectors"][0] | {"reset_value": 1}], "pins": [{"number": "1", "kind": "gpio", "functions": [{"signal": "s", "peripheral": None, "route": None, "conditions": None, "selection": {"selector": "a", "values": [1]}}]}, {"number": "EP1", "kind": "power", "functions": []}],
+    }
+    partial = {"id": "x3", "file": "x3.json"}
+    df = spark.createDataFrame([json.dumps(r) for r in (BAD_RECORD, good, partial)], "string").select(F.from_json("value", RECORD).alias("r")).select("r.*")
+    got = {}
+    for r in records.violations(df, "id", rules_).collect():
+        got.setdefault(r["key"], {}).setdefault(r["rule"], set()).add(r["detail"])
+    assert "x2" not in got and got["x3"] == {"selectors is an array": {"missing"}}
+    assert got["x1"] == {
+        "id is the file's name": {"x1 <> x2"}, "part number is the id": {"X9 <> x2"}, "source ids are unique": {"repeated"}, "evidence has a known source": {"t"},
+        "complete pins": {"numbers not 1 to pin_count", "gpio count"}, "selector ids are unique": {"missing or repeated"}, "selector fields are unique": {"k|R|A"}, "selector bits are valid": {"b"},
+        "selector bits don't repeat": {"c"}, "register is the bits' registers": {"d"}, "selector values are valid": {"a"}, "reset value is valid": {"a"}, "selectors don't overlap": {"a"},
+        "pin numbers are unique": {"repeated"}, "functions of a pin are unique": {"1"}, "selection has a known selector": {"1:z"}, "selected values are stated": {"1:d"}, "selected values are unique": {"1:d"},
+        "selected values fit the width": {"1:d"}, "selected values are not reserved": {"1:d"}, "memory regions are unique": {"repeated"}, "parent region is known": {"q"}, "special I/O kinds are unique": {"repeated"}, "components are unique": {"repeated"},
+    }
+
+
+def test_contained_passages(spark):
+    df = spark.createDataFrame([(1, "xone two three four five six seven eight nine ten eleven-y"), (2, "one two three"), (3, "a b"), (4, None), (5, ""), (6, "zz a b")], "k int, t string")
+    known = spark.createDataFrame([(1, "one two three four five six seven eight nine ten eleven"), (2, "one two three"), (3, "a b"), (4, ""), (5, None), (6, "two three four five six seven eight nine ten twelve")], "i int, p string")
+    got = {tuple(r) for r in diff.contained_passages(df, "k", "t", known, "i", "p").collect()}
+    assert got == {(1, 1), (1, 2), (2, 2), (3, 3), (6, 3)}
+    assert diff.contained_passages(df, "k", "t", known.limit(0), "i", "p").count() == 0
+
+
+def test_guards(spark, tmp_path):
+    import pytest
+
+    df = spark.createDataFrame([(1, "a"), (9, "b")], "k int, v string")
+    with pytest.raises(ValueError):
+        tables.required_columns(df, ["k", "data"])
+    with pytest.raises(Exception, match="missing"):
+        resolve.required(df, "k", spark.createDataFrame([(1, "x")], "t int, n string"), "t", "n").collect()
+    df.write.parquet(f"{tmp_path}/one.parquet")
+    tables.register_views(spark, f"file://{tmp_path}", ["one"])
+    assert spark.sql("select sum(k) as s from one").first()["s"] == 10
+    assert carry.continued(spark.createDataFrame([(1, 1, 3, False), (1, 2, 3, True), (1, 3, 3, False)], "g int, p int, w int, h boolean"), ["g"], "p", "w", F.col("h")).agg(F.max("table")).first()[0] == 2
