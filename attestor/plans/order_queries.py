@@ -36,7 +36,7 @@ def locf_hierarchical(t):
 select doc_id, cast(coalesce(sum(n_chars) over (partition by source, lang order by doc_id rows between unbounded preceding and 1 preceding), 0) as bigint) as at from documents
 """)
 def running_offset(t):
-    return carry.running_offset(t.documents.select("doc_id", "source", "lang", "n_chars"), ["source", "lang"], ["doc_id"], "n_chars", "at").select("doc_id", F.col("at").cast("long").alias("at"))
+    return carry.spread_offset(t.documents.select("doc_id", "source", "lang", "n_chars"), ["source", "lang"], ["doc_id"], F.col("n_chars"), "at").select("doc_id", F.col("at").cast("long").alias("at"))
 
 
 @query("""
