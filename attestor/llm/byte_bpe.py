@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HashTable, Met, mix, slices, spans_hash, text_rows
+from .common import HashTable, Met, mix, slices, small_batches, spans_hash, text_rows
 
 LONG = 128
 #: A worker forgets the pre-tokens that it has met when there are more.
@@ -280,7 +280,8 @@ class Encoder:
                 self.forget()
                 return self.encode(buf, offs)
             if n + len(fresh) > len(self.offsets):
-                self.offsets, self.lengths = np.zeros(n + len(fresh), np.int64), np.zeros(n + len(fresh), np.int64)
+                more = np.zeros(n + len(fresh) - len(self.offsets), np.int64)
+                self.offsets, self.lengths = np.concatenate([self.offsets, more]), np.concatenate([self.lengths, more])
             self.offsets[n : n + len(fresh)], self.lengths[n : n + len(fresh)] = self._merged(buf, starts[first], ends[first])
             self.met.add(buf, starts[first], ends[first], fresh)
             which[new] = self.met.find(buf, starts[new], ends[new], keys[new])
@@ -300,7 +301,7 @@ def default_path() -> str:
 
 def encode_decode_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row of docs (doc_id, text)."""
-    ranks = docs.sparkSession.sparkContext.broadcast(Ranks(read_ranks(path or default_path())))
+    ranks = small_batches(docs).sparkSession.sparkContext.broadcast(Ranks(read_ranks(path or default_path())))
 
     def run(batches):
         encoder = Encoder(ranks.value)

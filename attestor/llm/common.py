@@ -21,6 +21,18 @@ SLICE_BYTES = 1 << 18
 SPACES = b" \t\n\x0b\x0c\r"
 
 
+#: Bytes of an Arrow batch on its way to Python and back, about; Spark's own default is 64 MB.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, whose session from now on moves Arrow batches of BATCH_BYTES, unless another size than the default is set."""
+    key, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
+    if str(conf.get(key)).rstrip("b") == str(64 << 20):
+        conf.set(key, str(BATCH_BYTES))
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

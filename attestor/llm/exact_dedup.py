@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, cut, fresh, possible, slices, spread_join, text_rows
+from .common import SPACES, cut, fresh, possible, slices, small_batches, spread_join, text_rows
 
 OWNERS = 64
 #: Fingerprints that a task holds before it sends them; what follows in its partition counts as another source.
@@ -150,7 +150,7 @@ def _marked(batches):
 
 def exact_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, keep_id, group_size, kept and text_sha256 of every row of docs (doc_id, text); row and h tell rows apart."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
+    docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
     owners = max(OWNERS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     found = cut(docs.mapInArrow(_send(owners), ", ".join(f"{f.name} {_KINDS[f.type]}" for f in _FOUND)), "exact-prints")
     rows = found.where("kind = 0").select("doc_id", "row", "h", "text_sha256", "n_chars", "src", "print")

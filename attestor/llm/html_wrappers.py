@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 #: Pages that a host has before it is dealt into portions of about as many, and different pages that show a template's text.
 PORTION, ALIKE = 200, 3
 
@@ -409,7 +411,7 @@ def _pages(batches):
 def main_texts(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every row of pages (page_id, url, html)."""
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1))
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host.alias("host"), "html")
+    rows = small_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), "url", host.alias("host"), "html")
     large = pages.select(host.alias("large")).groupBy("large").agg(F.count("*").alias("n")).where(F.col("n") > PORTION)
     salt = F.coalesce(F.pmod(F.xxhash64("page_id", "url"), F.ceil(F.col("n") / PORTION)), F.lit(0))
     rows = rows.join(F.broadcast(large), F.col("host") == F.col("large"), "left").select("host", salt.alias("salt"), "page_id", "url", "html")

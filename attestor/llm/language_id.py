@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .byte_bpe import LETTER, byte_classes
-from .common import SLICE_BYTES, slices, text_rows
+from .common import SLICE_BYTES, slices, small_batches, text_rows
 
 #: Labelled texts that the classifier is fitted on, that it is calibrated on, and languages that it tells apart, at most.
 SAMPLE, CALIBRATION, MOST_LANGS = 2400, 6000, 500
@@ -155,7 +155,7 @@ def calibrate(model: Model, z: np.ndarray, labels: list[str], rejected: float =
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     """A calibrated model of the labelled rows that aren't held out; None if there are none with subwords."""
-    spark = docs.sparkSession
+    spark = small_batches(docs).sparkSession
     text = F.col("text")
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", text, F.xxhash64(text, F.lit("sample")).alias("h")).where("lang is not null and text is not null and crc32(cast(doc_id as string)) % 4 <> 2").drop("doc_id")
     counts = known.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGS).collect()
@@ -170,12 +170,11 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     def packed(batches):
         for batch in batches:
             found = bags(*text_rows(batch.column(2)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([b for b, _ in found], pa.list_(pa.int64())), pa.array([n for _, n in found], pa.list_(pa.int64()))], ["lang", "h", "bucket", "n"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([b for b, _ in found], pa.list_(pa.int32())), pa.array([n for _, n in found], pa.list_(pa.int32()))], ["lang", "h", "bucket", "n"])
 
     rows = rows.select("lang", "h", "text", "fits")
-    fitted = rows.where("fits").drop("fits").mapInArrow(packed, "lang string, h long, bucket array<long>, n array<long>").orderBy("h").limit(2 * sample).toArrow().to_pydict()
-    found = sorted(zip(fitted["lang"], fitted["bucket"], fitted["n"], strict=True))
-    model = fit([(np.array(b, np.int64), np.array(n, np.int64)) for _, b, n in found], [x for x, *_ in found])
+    fitted = rows.where("fits").drop("fits").mapInArrow(packed, "lang string, h long, bucket array<int>, n array<int>").orderBy("h").limit(2 * sample).toArrow()
+    model = fit(list(zip(rows_of(fitted["bucket"]), rows_of(fitted["n"]), strict=True)), fitted["lang"].to_pylist())
     if model is None:
         return None
     shared = spark.sparkContext.broadcast(model)
@@ -187,11 +186,21 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep), pa.array(list(z[letters > 0]), pa.list_(pa.float64()))], ["lang", "h", "z"])
 
     most = max(1, min(2 * CALIBRATION, 4_000_000 // len(model.langs)))
-    left = rows.where("not fits").drop("fits").mapInArrow(scored, "lang string, h long, z array<double>").orderBy("h").limit(most).toArrow().to_pydict()
-    calibrate(model, np.array(left["z"], np.float64).reshape(-1, len(model.langs)), left["lang"])
+    left = rows.where("not fits").drop("fits").mapInArrow(scored, "lang string, h long, z array<double>").orderBy("h").limit(most).toArrow()
+    z = rows_of(left["z"])
+    calibrate(model, np.stack(z) if z else np.zeros((0, len(model.langs))), left["lang"].to_pylist())
     return model
 
 
+def rows_of(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The rows of a column of lists, as arrays."""
+    out = []
+    for chunk in column.chunks:
+        at = chunk.offsets.to_numpy()
+        out += np.split(chunk.values.to_numpy(zero_copy_only=False)[at[0] : at[-1]], at[1:-1] - at[0]) if len(chunk) else []
+    return out
+
+
 def logits(model: Model, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The languages' logits before the temperature, and the letters of each row."""
     found, letters = subwords(buf, offs)

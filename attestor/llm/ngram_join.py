@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, possible, shingles, slices, text_rows
+from .common import cut, possible, shingles, slices, small_batches, text_rows
 
 #: The commonest shingles that are broadcast to order the rest, at most.
 COMMON = 1 << 16
@@ -442,7 +442,7 @@ def components(edges: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
 
 def ngram_components(docs: DataFrame, width: int = 5) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of docs (doc_id, text)."""
-    spark = docs.sparkSession
+    spark = small_batches(docs).sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     nodes = cut(documents_as_nodes(docs, width), "ngram-nodes")
     # sets whose nodes clash are a few of 10 ** 10; they are renamed everywhere

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .byte_bpe import Encoder, Ranks, default_path, read_ranks
-from .common import cut, slices, text_rows
+from .common import cut, slices, small_batches, text_rows
 
 LENGTH, END = 1024, 2
 #: The tokenizer file takes this string inside a text for its special token.
@@ -59,7 +59,7 @@ def _ids(encoder: Encoder, buf: np.ndarray, offs: np.ndarray):
 
 def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH, end: int = END) -> DataFrame:
     """item, doc_id, piece, start, length, ids_crc32 of every piece."""
-    ranks = docs.sparkSession.sparkContext.broadcast(Ranks(read_ranks(path or default_path())))
+    ranks = small_batches(docs).sparkSession.sparkContext.broadcast(Ranks(read_ranks(path or default_path())))
 
     def run(batches):
         encoder, item = Encoder(ranks.value), TaskContext.get().partitionId() << 38

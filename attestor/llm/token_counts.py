@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .byte_bpe import NUMBER, SPACE, contracted, runs
-from .common import SLICE_BYTES, Met, spans_hash, text_rows
+from .common import SLICE_BYTES, Met, small_batches, spans_hash, text_rows
 
 LIMIT = 2048
 #: A worker forgets the pre-tokens that it has merged when there are more.
@@ -154,7 +154,7 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
     """doc_id, n_bytes, n_tokens and over_limit of every row of docs (doc_id, text)."""
     with open(path or default_path(), encoding="utf-8") as file:
         spec = file.read()
-    shared = docs.sparkSession.sparkContext.broadcast((spec, whole_tokens(spec)))
+    shared = small_batches(docs).sparkSession.sparkContext.broadcast((spec, whole_tokens(spec)))
 
     def run(batches):
         counter = Counter(*shared.value)
