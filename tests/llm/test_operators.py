@@ -309,28 +309,85 @@ def test_lm_scores(docs, rows, empty):
     assert lm_scoring.lm_scores(empty).count() == 0
 
 
+def flat(texts):
+    raw = [t.encode() for t in texts]
+    return np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+
+
+def lm_tables(texts):
+    """Own words, their counts and all tokens' counts of texts, in Python."""
+    h, _ = lm_scoring.word_hashes(*flat(texts))
+    words, n = np.unique(h, return_counts=True)
+    own = words[np.lexsort((words, -n))[: lm_scoring.OWN]]
+    counts = np.zeros(lm_scoring.TOKENS)
+    np.add.at(counts, lm_scoring.Tokens(own).of(words), n)
+    return own, counts
+
+
 def test_lm_probabilities_by_brute_force_and_learning():
     rng = np.random.default_rng(3)
-    text = " ".join(["a b c d", "e f g h"][k] for k in rng.integers(0, 2, 3000)).encode()
-    buf, offs = np.frombuffer(text, np.uint8), np.array([0, len(text)])
-    slot, at = lm_scoring.word_slots(buf, offs)
-    counts = np.bincount(slot, minlength=lm_scoring.SLOTS)
-    of, within = lm_scoring.classes(counts)
-    weights = lm_scoring.start()
-    before = lm_scoring.log_probabilities((weights, of, within), buf, offs)[1][0]
-    around = lm_scoring.contexts(of[slot], at)
+    text = " ".join(["a b c d", "e f g h"][k] for k in rng.integers(0, 2, 3000))
+    buf, offs = flat([text, "", "a x"])
+    own, counts = lm_tables([text, "a x"])
+    h, at = lm_scoring.word_hashes(buf, offs)
+    token = lm_scoring.Tokens(own).of(h)
+    weights = lm_scoring.start(counts)
+    unigram = lm_scoring.token_sums(weights, token, at)
+    every = np.maximum(counts, lm_scoring.UNSEEN)
+    assert abs(unigram[0] - np.log(every[token[: at[1]]] / every.sum()).sum()) < 1e-4 * abs(unigram[0])
+    around = lm_scoring.contexts(token, at)
+    for _ in range(30):
+        lm_scoring.learn(weights, around, token, 1.0)
+    total = lm_scoring.token_sums(weights, token, at)
+    assert total[0] / at[1] > -0.5 > unigram[0] / at[1] and total[1] == 0
+    m, words = lm_scoring.split(weights), [lm_scoring.EDGE] * 2 + token[: at[1]].tolist() + [lm_scoring.EDGE] * 2
+    brute = 0.0
+    for i in range(at[1]):
+        x = np.concatenate([m["e"][words[i + 2 + d]] for d in (-2, -1, 1, 2)]).astype(np.float64)
+        hid = np.append(np.tanh(x @ m["w"] + m["b"]), 1)
+        c, k = divmod(words[i + 2], lm_scoring.MEMBERS)
+        for z, y in ((hid @ m["u"], c), (hid @ m["v"][c], k)):
+            brute += z[y] - np.log(np.exp(z - z.max()).sum()) - z.max()
+    assert abs(brute - total[0]) < 1e-3 * abs(brute)
+
+
+def test_lm_gradient_by_differences():
+    """A small step lowers the loss by its length times the gradient's square, as the exact gradient does."""
+    texts = [prose(i, 300) for i in range(4)]
+    own, counts = lm_tables(texts)
+    h, at = lm_scoring.word_hashes(*flat(texts))
+    token = lm_scoring.Tokens(own).of(h)
+    around, before = lm_scoring.contexts(token, at), lm_scoring.start(counts)
     for _ in range(3):
-        lm_scoring.learn(weights, around, of[slot], 0.5)
-    n, total = lm_scoring.log_probabilities((weights, of, within), buf, offs)
-    assert n[0] == 12000 and total[0] > before and total[0] / n[0] > -0.3
-    m, brute = lm_scoring.split(weights), 0.0
-    cls = [lm_scoring.EDGE] * 2 + of[slot].tolist() + [lm_scoring.EDGE] * 2
-    for i in range(50):
-        x = np.concatenate([m["e"][cls[i + 2 + d]] for d in (-2, -1, 1, 2)])
-        z = np.tanh(x @ m["w"] + m["b"]) @ m["u"] + m["c"]
-        brute += z[cls[i + 2]] - np.log(np.exp(z - z.max()).sum()) - z.max() + within[slot[i]]
-    part = lm_scoring.log_probabilities((weights, of, within), buf[:99], np.array([0, 99]))
-    assert part[0][0] == 50 and abs(brute - part[1][0]) < 5
+        lm_scoring.learn(before, around, token, 0.5)
+    loss = lambda w: -lm_scoring.token_sums(w, token, at).sum() / len(token)
+    after = before.copy()
+    lm_scoring.learn(after, around, token, 1e-2)
+    moved = lm_scoring.split(after - before)
+    base = lm_scoring.split(before)
+    for name in ("e", "w", "b", "u", "v"):
+        one = before.copy()
+        lm_scoring.split(one)[name][:] = base[name] + moved[name]
+        assert loss(one) < loss(before) + 1e-6
+    assert loss(after) < loss(before)
+
+
+def test_lm_beats_counts_on_held_out_text():
+    rng = random.Random(5)
+    langs = [[f"{p}{w}" for w in range(400)] for p in "abcd"]
+    make = lambda n: [" ".join(rng.choices(langs[i % 4], [1 / (k + 1) for k in range(400)], k=200)) for i in range(n)]
+    train, held = make(300), make(40)
+    own, counts = lm_tables(train)
+    weights = lm_scoring.start(counts)
+    tokens = lm_scoring.Tokens(own)
+    h, at = lm_scoring.word_hashes(*flat(train))
+    token = tokens.of(h)
+    for _ in range(3):
+        lm_scoring.learn(weights, lm_scoring.contexts(token, at), token, lm_scoring.RATE)
+    h, at = lm_scoring.word_hashes(*flat(held))
+    token = tokens.of(h)
+    gain = (lm_scoring.token_sums(weights, token, at).sum() - lm_scoring.token_sums(lm_scoring.start(counts), token, at).sum()) / len(token)
+    assert gain > 0.5  # nats a word: the language shows in its neighbours
 
 
 def test_fingerprints(docs, rows, empty):
@@ -421,29 +478,40 @@ def test_lm_training_masks_every_position_once(monkeypatch):
     from types import SimpleNamespace
 
     texts, met = [prose(i, 5 + i) for i in range(40)], []
+    own, counts = lm_tables(texts)
     monkeypatch.setattr(lm_scoring, "learn", lambda weights, around, target, rate: met.extend(target.tolist()))
-    shared = SimpleNamespace(value=(lm_scoring.start(), np.arange(lm_scoring.SLOTS, dtype=np.int32)))
+    shared = SimpleNamespace(value=(lm_scoring.start(counts), own))
     for number in range(lm_scoring.ROUNDS):
         list(lm_scoring._train(shared, number)([pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])]))
-    raw = [t.encode() for t in texts]
-    slot, _ = lm_scoring.word_slots(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]))
-    assert sorted(met) == sorted(slot.tolist())
+    h, _ = lm_scoring.word_hashes(*flat(texts))
+    assert sorted(met) == sorted(lm_scoring.Tokens(own).of(h).tolist())
+
+
+def test_lm_average_is_weighted_by_words():
+    import pyarrow as pa
+
+    part = lambda x: np.full(3, x, "<f4").tobytes()
+    batch = pa.RecordBatch.from_arrays([pa.array([4, 4, 5], pa.int32()), pa.array([1, 3, 2], pa.int64()), pa.array([part(1 * 1), part(3 * 5), part(2 * 7)], pa.binary())], ["block", "n", "part"])
+    (four, five) = lm_scoring._average([batch])
+    assert np.frombuffer(four.column(1)[0].as_py(), "<f4").tolist() == [4, 4, 4] and np.frombuffer(five.column(1)[0].as_py(), "<f4").tolist() == [7, 7, 7]
 
 
 @pytest.mark.parametrize("head", [1 << 18, 40, 0])
-def test_lm_counts_of_words_that_share_a_slot(spark, monkeypatch, head):
+def test_lm_counts_of_words_that_share_a_token(spark, monkeypatch, head):
+    shared = lambda w: int(lm_scoring.word_hashes(*flat([w]))[0][0]) & (lm_scoring.SHARED - 1)
     by, pair = {}, None
     for i in range(10_000):
         w = f"w{i}"
-        slot = lm_scoring.word_slots(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)]))[0][0]
-        pair = pair or (by[slot], w) if slot in by else pair
-        by[slot] = w
+        pair = pair or (by[shared(w)], w) if shared(w) in by else pair
+        by[shared(w)] = w
     often, once = pair
     texts = [f"{often} filler{i}" for i in range(40)] + [once, often, often]
     monkeypatch.setattr(lm_scoring, "HEAD", head)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     got = {r["doc_id"]: r["log_likelihood"] for r in lm_scoring.lm_scores(df).collect()}
-    assert len(got) == 43 and got[41] == got[42] and abs(got[41] - got[40] - np.log(42)) < 1e-4
+    assert len(got) == 43 and got[41] == got[42] and got[41] > got[40]
+    if not head:  # no word has a token of its own: the two words' scores differ by their counts alone
+        assert abs(got[41] - got[40] - np.log(42)) < 1e-4
 
 
 def test_short_repeated_lines_go(spark):
@@ -452,3 +520,233 @@ def test_short_repeated_lines_go(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = [r["text"] for r in substring_dedup.substring_dedup_report(df).orderBy("doc_id").collect()]
     assert got == [texts[0], f"start two\n{few}\nend two", texts[2], texts[3], ""]
+
+
+def thue_morse(a, b, n):
+    """Two texts of n letters in which every polynomial hash with an odd base and modulus 2 ** 64 is the same from 1024 on."""
+    s = a
+    while len(s) < n:
+        s += s.translate(str.maketrans({a: b, b: a}))
+    return s, s.translate(str.maketrans({a: b, b: a}))
+
+
+@pytest.fixture(scope="module")
+def twins(spark):
+    texts = [t for a, b in ("ab", "xy", "Q7", "éß") for n in (1024, 2048) for t in thue_morse(a, b, n)]
+    sentences = [" ".join({"p": "one", "q": "two"}[c] for c in t) for t in thue_morse("p", "q", 1024)]
+    texts += sentences + [f"{t} {x}" for t in texts[:4] for x in ("z", "zz")]
+    return texts, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+
+
+def test_structured_words_don_t_collide(twins, spark):
+    import public_tokenizers
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    texts, df = twins
+    h = common.spans_hash(*[flat(texts)[k] for k in (0,)], flat(texts)[1][:-1], flat(texts)[1][1:])
+    assert len(set(h.tolist())) == len(set(texts))
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.read_ranks(byte_bpe.default_path()), special_tokens={})
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in byte_bpe.encode_decode_digests(df).collect()}
+    for i, t in enumerate(texts):
+        ids = enc.encode_ordinary(t)
+        assert got[i] == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(t.encode()).hexdigest())
+    counter = Tokenizer.from_file(token_counts.default_path())
+    assert {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(df).collect()} == {i: len(counter.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    crc = {}
+    for r in packing.packed_pieces(df).orderBy("doc_id", "piece").collect():
+        crc.setdefault(r["doc_id"], []).append((r["start"], r["length"], r["ids_crc32"]))
+    for i, t in enumerate(texts):
+        ids = np.array([*library.encode(t, add_special_tokens=False).ids, 2], "<u4")
+        assert all(zlib.crc32(ids[a : a + n].tobytes()) == c for a, n, c in crc[i]) and sum(n for _, n, _ in crc[i]) == len(ids)
+    sets = [shingle_set(t) for t in texts]
+    for r in ngram_join.ngram_components(df).collect():
+        linked = [k for k in range(len(texts)) if 100 * len(sets[k] & sets[r["doc_id"]]) >= 80 * len(sets[k] | sets[r["doc_id"]])]
+        assert r["n_shingles"] == len(sets[r["doc_id"]]) and r["component_id"] == min(linked)
+    assert sorted((r["doc_id"], r["text"]) for r in substring_dedup.substring_dedup_report(df).collect()) == sorted(brute_repeats(list(enumerate(texts)), substring_dedup.MIN_WORDS))
+
+
+def test_cached_strings_are_told_apart_by_their_bytes(monkeypatch):
+    """With a hash of four values every lookup meets another string; results stay those of the libraries."""
+    import public_tokenizers
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    weak = lambda buf, starts, ends, **_: (ends - starts).astype(np.uint64) % np.uint64(4) * np.uint64(2)
+    texts = ["the cat sat on the mat", "a dog and a cat", "x" * 300, "x" * 299 + "y", "the end"]
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.read_ranks(byte_bpe.default_path()), special_tokens={})
+    tokenizer, spec = Tokenizer.from_file(token_counts.default_path()), open(token_counts.default_path(), encoding="utf-8").read()
+    whole = token_counts.whole_tokens(spec)
+    for module in (byte_bpe, token_counts):
+        monkeypatch.setattr(module, "spans_hash", weak)
+    encoder = byte_bpe.Encoder(byte_bpe.Ranks(byte_bpe.read_ranks(byte_bpe.default_path())))
+    for own in (texts, texts[::-1]):
+        ids, at = encoder.encode(*flat(own))
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:], strict=False)] == [enc.encode_ordinary(t) for t in own]
+    counter = token_counts.Counter(spec, whole)
+    assert counter.counts(texts).tolist() == [len(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
+def test_workers_that_forget_give_the_same_ids(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "KNOWN", 30)
+    encoder, plain = (byte_bpe.Encoder(byte_bpe.Ranks(byte_bpe.read_ranks(byte_bpe.default_path()))) for _ in range(2))
+    for i in range(6):
+        texts = [prose(i, 40), prose(i + 1, 3), ""]
+        got = encoder.encode(*flat(texts))
+        monkeypatch.setattr(byte_bpe, "KNOWN", 1000)
+        expected = plain.encode(*flat(texts))
+        monkeypatch.setattr(byte_bpe, "KNOWN", 30)
+        assert got[0].tolist() == expected[0].tolist() and got[1].tolist() == expected[1].tolist()
+
+
+def test_nodes_that_clash_are_told_apart():
+    a, b = np.array([1, 2, 3], np.uint64), np.array([1, 2, 4], np.uint64)
+    (node, check), other = ngram_join.node_of(a), ngram_join.node_of(b)
+    assert node != other[0] and ngram_join.node_of(a, frozenset([node])) == (node ^ check, check)
+
+
+def test_exact_lists_of_any_size(spark, monkeypatch):
+    """A list is sent behind every few fingerprints; copies within a list, between lists and between partitions are met."""
+    import pyarrow as pa
+
+    from pyspark import TaskContext
+    from types import SimpleNamespace
+
+    monkeypatch.setattr(exact_dedup, "GATHERED", 4)
+    monkeypatch.setattr(TaskContext, "get", staticmethod(lambda: SimpleNamespace(partitionId=lambda: 3)))
+    texts = ["a", "b", "a", "c", "d", "a", None, " ", "e", "f"]
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(i, i + 2)), pa.array(texts[i : i + 2], pa.string()), pa.array(range(i, i + 2))], ["doc_id", "text", "h"]) for i in range(0, 10, 2)]
+    out = pa.Table.from_batches(list(exact_dedup._send(8)(batches))).to_pylist()
+    rows, lists = [r for r in out if r["kind"] == 0], [r for r in out if r["kind"] == 1]
+    assert len(rows) == 10 and len({r["row"] for r in rows}) == 10 and len({r["src"] for r in rows}) >= 2
+    bitmaps = pa.Table.from_batches(list(exact_dedup._own([pa.RecordBatch.from_pylist([{k: r[k] for k in ("src", "owner", "payload")} for r in lists])]))).to_pylist()
+    by = {(r["src"], r["owner"]): r["bitmap"] for r in bitmaps}
+    both = pa.RecordBatch.from_pylist([{"src": r["src"], "payload": r["payload"], "again": r["again"], "bitmap": by[r["src"], r["owner"]]} for r in lists])
+    met = {(r["src"], r["print"]) for b in exact_dedup._marked([both]) for r in b.to_pylist()}
+    assert {r["doc_id"] for r in rows if (r["src"], r["print"]) in met} == {0, 2, 5, 6, 7}
+
+
+def test_language_id_of_few_ids_and_none(spark):
+    rows = [(7, f"das ist ein schöner text nummer {'abcdefghij'[i % 10]}", "de") for i in range(3000)] + [(7, f"this is a fine text of number {'klmnopqrst'[i % 10]}", "en") for i in range(3000)]
+    got = language_id.language_predictions(spark.createDataFrame(rows, "doc_id long, text string, lang string")).groupBy("lang_pred").count().collect()
+    held = zlib.crc32(b"7") % 4 == 2
+    assert sum(r["count"] for r in got) == 6000 and ({r["lang_pred"] for r in got} == {"und"}) == held
+    same = spark.createDataFrame([(1, "ein text wie jeder andere", "de")] * 50, "doc_id long, text string, lang string")
+    assert {r["lang_pred"] for r in language_id.language_predictions(same).collect()} == {"de"}
+    bare = spark.createDataFrame([(1, "123 !", "de"), (3, "", "en")], "doc_id long, text string, lang string")
+    assert {r["lang_pred"] for r in language_id.language_predictions(bare).collect()} == {"und"}
+    many = spark.createDataFrame([(i, f"text {chr(97 + i % 26) * 3} words", f"l{i}") for i in range(700)], "doc_id long, text string, lang string")
+    learned = {r["lang_pred"] for r in language_id.language_predictions(many).collect()}
+    assert len(learned) <= language_id.MOST_LANGS
+
+
+def test_language_scores_by_brute_force():
+    rnd = random.Random(2)
+    texts = [" ".join(rnd.choice(["Äpfel", "und", "the", "of", "x1y", "été", "--"]) for _ in range(rnd.randrange(9))) for _ in range(60)]
+    model = language_id.fit(language_id.bags(*flat(texts)), ["a", "b", "c"] * 20)
+    z, letters = language_id.logits(model, *flat(texts))
+    for i, t in enumerate(texts):
+        raw = bytes(c.lower().encode()[k] if c.isalpha() else 32 for c in t for k in range(len(c.encode())))
+        assert letters[i] == sum(len(c.encode()) for c in t if c.isalpha())
+        total, n = np.zeros(3), 0
+        for k, width in enumerate(language_id.WIDTHS):
+            for p in range(len(raw) - width + 1):
+                gram = raw[p : p + width]
+                if (gram.strip() == b"" or 32 in gram[1:-1]):
+                    continue
+                h = int.from_bytes(gram, "little") * 2654435761 & 0xFFFFFFFF
+                h = (h ^ h >> 15) * 0x85EBCA77 & 0xFFFFFFFF
+                total, n = total + model.table[(h >> 18) + k * language_id.BUCKETS], n + 1
+        assert np.allclose(z[i], total / max(n, 1) + model.bias, atol=1e-4)
+
+
+def test_calibrated_threshold_is_a_quantile():
+    model = language_id.Model(["a", "b"], np.zeros((1, 2), np.float32), np.zeros(2), 1.0, 0.0)
+    rng = np.random.default_rng(0)
+    z = rng.normal(0, 3, (4000, 2))
+    language_id.calibrate(model, z, [["a", "b"][k] for k in z.argmax(1)], rejected=0.01)
+    score = np.exp(z / model.temperature)
+    score = (score / score.sum(1, keepdims=True)).max(1)
+    assert 0.008 <= (score < model.least).mean() <= 0.01
+    language_id.calibrate(model, z[:20], ["a"] * 20, rejected=0.01)
+    assert 0 < model.least < 1
+
+
+def test_articles_lose_nothing_by_names_that_are_no_chrome():
+    body = "<section class='related-work'><p>A</p></section><div class=more-about>B</div><p class=tags-explained>C <math><mi>x</mi><mo>=</mo><mn>1</mn></math></p><p class=ad>D</p>"
+    chrome = "<div class='comments-list'>no</div><div class=ad-box>no</div><div id=cookie_notice>no</div><ul class='nav menu'><li>no</ul><div role=navigation>no</div>"
+    assert html_wrappers.extract([f"<article>{body}{chrome}</article>"]) == ["A\nB\nC x=1\nD"]
+
+
+def test_wrapper_of_many_labels_and_long_pages():
+    name = lambda i: "".join(chr(97 + int(c)) for c in str(i))
+    page = "<article>" + "".join(f"<div class=k{name(i)}>t{i}</div>" for i in range(140_000)) + "</article>"
+    assert html_wrappers.extract([page]) == ["\n".join(f"t{i}" for i in range(140_000))]
+    rnd = random.Random(1)
+    pages = []
+    for s in range(2):
+        tags = [rnd.choice(["p", "h2", "div", "section", "pre"]) for _ in range(1500)]
+        pages.append("<article>" + "".join(f"<{t} class=c{rnd.choice('abc')}>{s} {i}</{t}>" for i, t in enumerate(tags)) + "</article>")
+    assert html_wrappers.extract(pages) == ["\n".join(f"{s} {i}" for i in range(1500)) for s in range(2)]
+
+
+def test_folds_of_any_period():
+    body = tuple(f"u{i}" for i in range(60))
+    assert html_wrappers.fold(body * 3) == (("+", body),)
+    assert html_wrappers.fold(tuple("abcbcbcd")) == ("a", ("+", ("b", "c")), "d")
+    assert html_wrappers.fold(tuple("aabbaabb")) == (("+", (("+", ("a",)), ("+", ("b",)))),)
+
+
+def test_fingerprints_by_brute_force(spark):
+    """Bins, densification and packing against plain Python over the same shingle hashes."""
+    texts = [prose(i, n) for i, n in enumerate((1, 4, 5, 9, 40, 300, 2000))] + ["", " "]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    hashed = df.selectExpr("i", "t", r"filter(split(lower(trim(t)), '[\\x20\\x09-\\x0D]+'), w -> w <> '') as w")
+    hashed = hashed.selectExpr("i", "case when size(w) = 0 then array() when size(w) < 5 then array(xxhash64(w)) else transform(sequence(1, size(w) - 4), k -> xxhash64(slice(w, k, 5))) end as h")
+    h = {r["i"]: r["h"] for r in hashed.collect()}
+    got = {r["i"]: r["f"] for r in fingerprints.with_fingerprint(df, "t", "f").withColumn("f", fingerprints.written("f")).collect()}
+    start = [i * 0x9E3779B1 >> 11 & 255 for i in range(256)]
+    step = [(i * 2654435761 >> 7) % 256 | 1 for i in range(256)]
+    for i in range(len(texts)):
+        if not h[i]:
+            assert got[i] == ""
+            continue
+        bins = {}
+        for x in h[i]:
+            bins[(x >> 56) + 128] = min(bins.get((x >> 56) + 128, 1 << 70), x)
+        low = []
+        for b in range(256):
+            at = b if b in bins else next((start[b] + step[b] * r) & 255 for r in range(1, 257) if (start[b] + step[b] * r) & 255 in bins)
+            low.append(bins[at] & 255)
+        assert got[i] == bytes(low).hex().upper()
+
+
+def test_packing_terminates_and_numbers_are_unique(spark):
+    sizes = [600] * 500 + [100] * 3 + [1023] * 20
+    items = spark.createDataFrame(list(enumerate(sizes)), "item long, size long")
+    out = packing.pack(items, group=100).collect()
+    assert len({r["sequence_id"] for r in out}) == 520
+    long = spark.createDataFrame([(1, "word " * 5000), (2, "a"), (3, "b " * 900)], "doc_id long, text string")
+    rows = packing.packed_pieces(long).collect()
+    assert all((r["sequence_id"] < 0) == (r["length"] == 1024) for r in rows)
+
+
+def test_hot_keys_join_by_broadcast(spark, monkeypatch):
+    rows = spark.createDataFrame([(k, i) for i in range(300) for k in (0, i)], "k int, v int")
+    groups = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("v").alias("first")).where("n > 1")
+    for hot in (2, 4096):
+        monkeypatch.setattr(common, "HOT", hot)
+        for how in ("inner", "left"):
+            got = common.spread_join(rows, groups, ["k"], rows.count(), how)
+            expected = rows.join(groups.drop("n"), "k", how)
+            assert sorted(map(tuple, got.select("k", "v", "first").collect()), key=str) == sorted(map(tuple, expected.select("k", "v", "first").collect()), key=str)
+
+
+def test_tables_need_a_shared_folder():
+    from types import SimpleNamespace
+
+    conf = SimpleNamespace(get=lambda *a: None)
+    spark = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(getConf=lambda: conf, master="yarn"))
+    with pytest.raises(ValueError):
+        common.shared_dir(spark)
