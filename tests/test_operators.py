@@ -314,3 +314,62 @@ def test_guards(spark, tmp_path):
     tables.register_views(spark, f"file://{tmp_path}", ["one"])
     assert spark.sql("select sum(k) as s from one").first()["s"] == 10
     assert carry.continued(spark.createDataFrame([(1, 1, 3, False), (1, 2, 3, True), (1, 3, 3, False)], "g int, p int, w int, h boolean"), ["g"], "p", "w", F.col("h")).agg(F.max("table")).first()[0] == 2
+
+
+SCHEMAS = {
+    "families": "family", "series": "series family", "products": "part_number family sram_bytes flash_bytes", "pins": "part_number pad", "pin_functions": "part_number pad signal route", "product_attributes": "part_number attribute label_zh",
+    "remap_fields": "series selector register field bits valid_values reset_value", "remap_routes": "series selector value signal pad peripheral role", "clock_prescalers": "family field divider value", "clock_sources": "family consumer value shift condition",
+    "clock_configs": "family config hpre ppre1 ppre2 domains flash_latency flash_sck_div pll outside_rcc condition", "clock_symbols": "family symbol role value address register", "clock_init": "family function step action value register address source condition",
+    "systick": "family block register offset width_bits write_bits address", "pin_alternate": "family pad register bits width_bits address", "memory_configs": "part_number value code_bytes sram_bytes datasheet_value option_byte_bits obr_bits", "evt_variants": "family macro part_number",
+}
+GOOD = {
+    "families": [("F",)], "series": [("S", "F")], "products": [("P", "F", "100", "200")], "pins": [("P", "PA1"), ("P", "PA2")], "pin_functions": [("P", "PA1", "X", "af-1"), ("P", "PA2", "Y", "main")], "product_attributes": [("P", "a", "标签")],
+    "remap_fields": [("S", "tim1", "R", "TIM1_RM", "R:0;R:1", "0;1;3", "0"), ("S", "tim3", "R|Q", "TIM3_RM", "R:5;Q:1", "0;2", ""), ("S", "spi3", "R", "SPI3_RM", "R:9", "0;1", "0")],
+    "remap_routes": [("S", "tim1", "1", "T1C1", "PA1", "TIM1", "CH1"), ("S", "spi3", "1", "I2S3_WS", "PA2", "I2S3", "WS"), ("S", "tim3", "0", "odd", "PA2", "", "")],
+    "clock_prescalers": [("F", "HPRE", "2", "8")], "clock_sources": [("F", "c", "1", "0", "")], "clock_configs": [("F", "k", "2", "", "", "HCLK=48000000;PCLK=1", "1", "", "PLL RCC_PLL", "", "MAC_A"), ("F", "l", "", "", "", "", "", "4", "", "", "")],
+    "clock_symbols": [("F", "RCC_PLL", "mask", "3", "0x40021004", "RCC->CFGR0"), ("F", "RCC_HPRE_Div2", "value", "8", "", "RCC->CFGR0")],
+    "clock_init": [("F", "init", "3", "set", "1", "RCC->CTLR", "0x40021000", "", "RCC_PLL set"), ("F", "init", "4", "trim", "1", "", "", "x", "")],
+    "systick": [("F", "b", "CTLR", "0x0", "32", "32", "0xe000f000"), ("F", "b", "CNT", "0x8", "64", "32", "")], "pin_alternate": [("F", "PA1", "AFLR", "AFLR:0;AFLR:1", "2", "0x40010000")],
+    "memory_configs": [("P", "00x", "200", "100", "yes", "[7:6]", ""), ("P", "01x", "300", "50", "", "", "")], "evt_variants": [("F", "MAC_A", "P")],
+}
+BAD = {
+    "series": [("S2", "none")], "pin_functions": [("P", "PA9", "X", "af-1"), ("Q", "PA1", "X", "main")], "product_attributes": [("P", "通信", "")],
+    "remap_fields": [("S", "b1", "R", "A_RM", "", "0", ""), ("S", "b2", "R", "B_RM", "R:40", "0", ""), ("S", "b3", "R", "C_RM", "R:3;R:3", "0;9", "1"), ("S", "b4", "Z", "D_RM", "R:4", "", ""), ("S", "tim4", "R", "TIM4_RM", "R:7", "0;1", "")],
+    "remap_routes": [("S", "nope", "1", "x", "PA1", "", ""), ("S", "tim1", "2", "x", "PA1", "TIM1", ""), ("S", "tim3", "0", "TIM4_CH1", "PA1", "TIM4", "CH1"), ("S", "tim3", "2", "TIM9_CH1", "PA1", "TIM9", "CH1")],
+    "clock_prescalers": [("F", "ADC", "0", "1")], "clock_sources": [("F", "d", "x", "0", "MAC_B")], "clock_configs": [("F", "m", "7", "", "", "HCLK", "w", "6", "PLL RCC_NO", "", "")], "clock_symbols": [("F", "RCC_hpre_div2", "odd", "9", "0x4", "CFGR0")],
+    "clock_init": [("F", "two", "1", "set", "1", "CTLR", "0x1", "y", "RCC_HSIRDY"), ("F", "two", "3", "jump", "1", "", "", "", ""), ("F", "three", "x", "set", "1", "", "", "", "")],
+    "systick": [("F", "b", "CMP", "0x4", "48", "32", "0xe000f002"), ("F", "c", "Z", "q", "1", "1", ""), ("F", "b", "OVER", "0x6", "32", "32", "0xE")], "pin_alternate": [("F", "PA2-X", "AFLR", "AFLR:1;OTHER:2", "3", "0x40010001")],
+    "memory_configs": [("P2", "1x0", "0", "5", "", "[7:7]", "7"), ("P2", "110", "1", "1", "", "", ""), ("P3", "2", "1", "7", "yes", "", "")], "products": [("P2", "F", "1", "1"), ("P3", "F", "8", "1")], "evt_variants": [("F", "MAC_Z", "none")],
+}
+
+
+def _tables(spark, *parts):
+    out = {}
+    for name, columns in SCHEMAS.items():
+        out[name] = spark.createDataFrame([r for p in parts for r in p.get(name, [])], ", ".join(f"`{c}` string" for c in columns.split()))
+    return out
+
+
+def test_checker_on_good_and_bad_tables(spark):
+    from attestor.operators import checker
+
+    args = (r"\b(?:RCC|FLASH)_[A-Za-z0-9_]+", r"\bMAC_[A-Z]\b")
+    assert checker.check(_tables(spark, GOOD), *args).collect() == []
+    got = {}
+    for r in checker.check(_tables(spark, GOOD, BAD), *args).collect():
+        got.setdefault(r["rule"], set()).add(r["key"])
+    expected = {
+        "series.family": {"none"}, "pin_functions.part_number": {"Q"}, "evt_variants.part_number": {"none"}, "product_attributes: no CJK in data": {"P 通信"},
+        "remap_fields: bits are there": {"S b1"}, "remap_fields: bits are register:bit": {"S b2"}, "remap_fields: bits don't repeat": {"S b3"}, "remap_fields: register is the bits' registers": {"S b4"}, "remap_fields: values are there": {"S b4"},
+        "remap_fields: values fit the width": {"S b3"}, "remap_fields: reset value is a value": {"S b3"}, "remap_routes: peripheral and role go together": {"S tim1 2"}, "remap_routes: selector is there": {"S nope 1"}, "remap_routes: value is a value": {"S tim1 2"},
+        "remap_routes: selector is the peripheral's": {"S tim3 0", "S tim3 2"}, "clock_prescalers: divider is one": {"F ADC"}, "clock_sources: value and shift are numbers": {"F d"}, "clock_configs: domains are name=hertz": {"F m"},
+        "clock_configs: latency is a number": {"F m"}, "clock_configs: flash divider is a power of two": {"F m"}, "clock_configs: latency or divider, not both": {"F m"}, "clock_configs: divider is known": {"F m"}, "clock_configs: symbol is there": {"F m"},
+        "clock_symbols: role is known": {"F RCC_hpre_div2"}, "clock_symbols: address has its shape": {"F RCC_hpre_div2"}, "clock_symbols: register is block->register": {"F RCC_hpre_div2"}, "clock_symbols: value is the prescaler's": {"F RCC_hpre_div2"},
+        "clock_init: action is known": {"F two 3"}, "clock_init: value and step are numbers": {"F three x"}, "clock_init: register is block->register": {"F two 1"}, "clock_init: address has its shape": {"F two 1"}, "clock_init: only a trim has a source": {"F two 1"},
+        "clock_init: symbol of a condition is there": {"F two"}, "clock_init: steps are dense": {"F two"}, "conditions: macro is known": {"clock_sources F"}, "systick: offset and widths are numbers": {"F c Z"}, "systick: write width divides the width": {"F b CMP"},
+        "systick: address is aligned": {"F b CMP"}, "systick: address has its shape": {"F b OVER"}, "systick: registers don't overlap": {"F b OVER", "F b CNT"}, "pin_alternate: pad has its shape": {"F PA2-X"}, "pin_alternate: bits are as many as the width": {"F PA2-X"},
+        "pin_alternate: bits are of the register": {"F PA2-X"}, "pin_alternate: address is aligned and has its shape": {"F PA2-X"}, "pin_alternate: bits don't overlap": {"F AFLR"}, "pin_functions: alternate function is written somewhere": {"P PA9"}, "pin_functions: pad is a pin": {"P PA9", "Q PA1"},
+        "memory_configs: code is of 0, 1 and x": {"P3 2"}, "memory_configs: sizes are above 0": {"P2 1x0"}, "memory_configs: one row is quoted": {"P2"}, "memory_configs: quoted RAM is the product's": {"P3"}, "memory_configs: codes are disjoint": {"P2"},
+        "memory_configs: span is [hi:lo]": {"P2"}, "memory_configs: span is wide enough": {"P2"},
+    }
+    assert got == expected
