@@ -155,8 +155,11 @@ def searched(df: DataFrame, sets: dict[str, Sequence], shown: Sequence[str], tex
     return df.where(F.contains(F.lower(F.concat_ws(" ", *[F.col(c).cast("string") for c in shown])), F.lit(text.lower())))
 
 
-def chained_hits(df: DataFrame, group: Sequence[str], order: Sequence[str], at: str, window: int) -> DataFrame:
-    """Marks the hits that open a window: those with no hit of their group up to `window` before them."""
-    w = Window.partitionBy(*group).orderBy(*order)
-    before = F.lag(at).over(w)
-    return df.withColumn("opens", before.isNull() | (F.col(at) - before > window))
+def context_windows(df: DataFrame, group: Sequence[str], start: str, end: str, window: int) -> DataFrame:
+    """(group, start, end) of the hits that open a context: those that begin no earlier than `window` behind the last one's end.
+
+    Hits inside a context are left out and don't lengthen it, so each group's hits are folded in order.
+    """
+    hits = df.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct(F.col(start).alias("s"), F.col(end).alias("e")))).alias("_h"))
+    kept = F.aggregate("_h", F.slice("_h", 1, 1), lambda acc, h: F.when(h["s"] >= F.element_at(acc, -1)["e"] + window, F.concat(acc, F.array(h))).otherwise(acc))
+    return hits.select(*group, F.explode(kept).alias("_k")).select(*group, F.col("_k.s").alias(start), F.col("_k.e").alias(end))

@@ -294,10 +294,11 @@ def viewer_search(t):
 
 
 @query("""
-with h as (select user_id, event_id, ts, date_diff('second', timestamp '2000-01-01', date_trunc('second', ts)) as s from events where event_type = 'view'),
-recursive_kept as (select user_id, event_id, s, lag(s) over (partition by user_id order by s, event_id) as p from h)
-select user_id, count(*) filter (where p is null or s - p > 7200) as windows from recursive_kept group by 1
+with recursive h as (select distinct user_id, date_diff('second', timestamp '2000-01-01', date_trunc('second', ts)) as s from events where event_type = 'view'),
+r as (select user_id, min(s) as s from h group by 1 union all select r.user_id, min(h.s) from r join h on h.user_id = r.user_id and h.s >= r.s + 86460 group by r.user_id, r.s)
+select user_id, s from r
 """)
 def hit_windows(t):
-    s = t.events.where("event_type = 'view'").select("user_id", "event_id", F.unix_timestamp(F.col("ts").cast("timestamp")).alias("s"))
-    return report.chained_hits(s, ["user_id"], ["s", "event_id"], "s", 7200).groupBy("user_id").agg(F.count_if("opens").alias("windows"))
+    s = F.unix_timestamp(F.col("ts").cast("timestamp")) - F.unix_timestamp(F.lit("2000-01-01 00:00:00").cast("timestamp"))
+    v = t.events.where("event_type = 'view'").select("user_id", s.alias("s")).distinct().withColumn("e", F.col("s") + 60)
+    return report.context_windows(v, ["user_id"], "s", "e", 86400).select("user_id", "s")

@@ -373,3 +373,22 @@ def test_checker_on_good_and_bad_tables(spark):
         "memory_configs: span is [hi:lo]": {"P2"}, "memory_configs: span is wide enough": {"P2"},
     }
     assert got == expected
+
+
+def test_context_windows(spark):
+    from attestor.operators import report
+
+    df = spark.createDataFrame([("d", s, s + 2) for s in (0, 5, 9, 12, 30, 33)] + [("e", 7, 8)], "d string, s int, e int")
+    got = sorted(tuple(r) for r in report.context_windows(df, ["d"], "s", "e", 10).collect())
+    assert got == [("d", 0, 2), ("d", 12, 14), ("d", 30, 32), ("e", 7, 8)]
+
+
+def test_streams_of_windows_and_firsts(spark, tmp_path):
+    rows = [("2024-01-01 00:00:00", "a"), ("2024-01-01 00:10:00", "a"), ("2024-01-01 02:00:00", "a"), ("2024-01-01 00:20:00", "b"), ("2024-01-02 00:00:00", "z")]
+    spark.createDataFrame(rows, "t string, u string").select(F.to_timestamp("t").alias("t"), "u").coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("t timestamp, u string").parquet(f"{tmp_path}/in")
+    counted, first = [], []
+    snapshots.each_batch(snapshots.windowed_counts(stream, "t", "u"), lambda df, n: counted.extend(df.collect()), f"{tmp_path}/c1").awaitTermination(120)
+    assert sorted((r["u"], r["events"]) for r in counted if r["u"] != "z") == [("a", 1), ("a", 2), ("b", 1)]
+    snapshots.each_batch(snapshots.first_of_each(stream, "t", ["u"]), lambda df, n: first.extend(df.collect()), f"{tmp_path}/c2").awaitTermination(120)
+    assert sorted(r["u"] for r in first) == ["a", "b", "z"]
