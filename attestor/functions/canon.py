@@ -172,13 +172,23 @@ def capped(items: Column | str, most: int, mark: str = "…") -> Column:
 
 
 def classify(x: Column | str, rules: Sequence[tuple[str, str]], default: str | None = None) -> Column:
-    """The label of the first pattern that is found; rules are (pattern, label) in order."""
-    out = F.when(_c(x).rlike(rules[0][0]), rules[0][1])
-    for pattern, label in rules[1:]:
-        out = out.when(_c(x).rlike(pattern), label)
+    """The label of the first pattern that is found; rules are (pattern, label) in order.
+
+    A label with $1 names a class for each value of the pattern's group, so that classes need not be listed.
+    """
+    c = _c(x)
+    out = None
+    for pattern, label in rules:
+        named = F.regexp_replace(F.regexp_substr(c, F.lit(pattern)), pattern, label) if "$" in label else F.lit(label)
+        out = F.when(c.rlike(pattern), named) if out is None else out.when(c.rlike(pattern), named)
     return out.otherwise(default)
 
 
+def ordered_union(*lists: Column | str) -> Column:
+    """Arrays united, each value where it comes first."""
+    return F.array_distinct(F.concat(*[_c(x) for x in lists]))
+
+
 # Text.
 
 #: A pad beside anything but ASCII letters, digits and underscores; Chinese text has no word boundary there.

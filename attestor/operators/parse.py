@@ -133,20 +133,39 @@ def resplit(df: DataFrame, key: str, text: str, vocabulary: list[str]) -> DataFr
     return _documents(df, key, text, "pieces string", rows)
 
 
+def _leaves(x) -> Iterator[tuple[str, str | None]]:
+    """(key, value) of every leaf of nested mappings and lists, with dotted keys; items of lists by their number."""
+    stack = [("", x)]
+    while stack:
+        name, x = stack.pop()
+        if isinstance(x, (dict, list)):
+            pairs = x.items() if isinstance(x, dict) else enumerate(x)
+            stack += [(f"{name}.{k}" if name else str(k), v) for k, v in pairs][::-1]
+        elif name:
+            yield name, None if x is None else str(x)
+
+
 def scan_yaml(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, value) of every leaf of YAML documents, with dotted keys; items of lists by their number."""
+    """(key, value) of every leaf of YAML documents."""
 
     def rows(t: str):
         import yaml
 
-        stack = [("", yaml.safe_load(t))]
-        while stack:
-            name, x = stack.pop()
-            if isinstance(x, (dict, list)):
-                pairs = x.items() if isinstance(x, dict) else enumerate(x)
-                stack += [(f"{name}.{k}" if name else str(k), v) for k, v in pairs][::-1]
-            elif name:
-                yield name, None if x is None else str(x)
+        yield from _leaves(yaml.safe_load(t))
+
+    return _documents(df, key, text, "key string, value string", rows)
+
+
+def scan_json(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, value) of every leaf of JSON documents of any shape; what can't be parsed has none."""
+
+    def rows(t: str):
+        import json
+
+        try:
+            yield from _leaves(json.loads(t))
+        except ValueError:
+            return
 
     return _documents(df, key, text, "key string, value string", rows)
 

@@ -167,3 +167,11 @@ def required(df: DataFrame, key: str, table: DataFrame, table_key: str, value: s
     out = df.join(one, F.col(key) == F.col("_k"), "left")
     missing = F.raise_error(F.concat(F.lit(f"{value} of "), F.col(key).cast("string"), F.lit(" is missing"))).cast("string")
     return out.withColumn(value, F.when(F.col("_k").isNull(), missing).otherwise(F.col("_v"))).drop("_k", "_v")
+
+
+def addresses(pointers: DataFrame, bases: DataFrame, members: DataFrame) -> DataFrame:
+    """(block, member, address): pointers (block, type, base) to bases (base, at) with the members (type, member, offset) of their types.
+
+    What a table lacks is left out.
+    """
+    return pointers.join(bases, "base").join(members, "type").select("block", "member", (F.col("at") + F.col("offset")).alias("address"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from attestor.functions import canon
 from attestor.operators import parse, records, report
-from attestor.operators.resolve import shared_path
+from attestor.operators.resolve import addresses, shared_path
 from attestor.plans.catalogue import query
 from attestor.sources import tables as src
 
@@ -302,3 +302,37 @@ def hit_windows(t):
     s = F.unix_timestamp(F.col("ts").cast("timestamp")) - F.unix_timestamp(F.lit("2000-01-01 00:00:00").cast("timestamp"))
     v = t.events.where("event_type = 'view'").select("user_id", s.alias("s")).distinct().withColumn("e", F.col("s") + 60)
     return report.context_windows(v, ["user_id"], "s", "e", 86400).select("user_id", "s")
+
+
+@query("select event_id, 'k' as key, cast(json_extract_string(props, '$.k') as varchar) as value from events union all select event_id, 'deep.0.x', cast(user_id as varchar) from events")
+def json_leaves(t):
+    text = F.concat(F.expr("substring(props, 1, length(props) - 1)"), F.lit(', "deep": [{"x": '), F.col("user_id").cast("string"), F.lit("}]}"))
+    return parse.scan_json(t.events.select("event_id", text.alias("text")), "event_id", "text")
+
+
+@query("""
+select case when p_brand like 'Brand#1%' then 'first' when regexp_matches(p_brand, '#[0-9]') then 'TIM' || regexp_extract(p_brand, '#([0-9])', 1) else 'other' end as kind, count(*) as n from part group by 1
+""")
+def classify_by_value(t):
+    kind = canon.classify("p_brand", [("^Brand#1", "first"), ("#([0-9])", "TIM$1")], "other")
+    return t.part.groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
+
+
+@query("""
+select n_nationkey, case when n_regionkey = 0 then 'b;0;c' when n_regionkey = 1 then 'b;1;c;a' else 'b;' || n_regionkey || ';c;a' end as items from nation
+""")
+def ordered_union(t):
+    r = F.col("n_regionkey").cast("string")
+    more = F.when(F.col("n_regionkey") == 0, F.array(F.lit("b"), F.lit("c"))).otherwise(F.array(F.lit("c"), F.lit("b"), F.lit("a")))
+    return t.nation.select("n_nationkey", F.array_join(canon.ordered_union(F.array(F.lit("b"), r), more), ";").alias("items"))
+
+
+@query("""
+select s_name as block, p_name as member, cast(n_nationkey * 1000 + p_partkey as bigint) as address
+from supplier join nation on n_nationkey = s_nationkey and n_regionkey < 3 join part on p_size = s_suppkey % 60 and p_partkey < 300
+""")
+def address_join(t):
+    pointers = t.supplier.select(F.col("s_name").alias("block"), F.expr("cast(s_suppkey % 60 as int)").alias("type"), F.col("s_nationkey").alias("base"))
+    bases = t.nation.where("n_regionkey < 3").select(F.col("n_nationkey").alias("base"), (F.col("n_nationkey") * 1000).alias("at"))
+    members = t.part.where("p_partkey < 300").select(F.col("p_size").alias("type"), F.col("p_name").alias("member"), F.col("p_partkey").alias("offset"))
+    return addresses(pointers, bases, members).withColumn("address", F.col("address").cast("long"))

@@ -142,13 +142,28 @@ def viewer_matrix(t):
 with s as (
   select 0 as section_no, 'regions' as section, r_name as line from region union all
   select 1, 'nations', n_name || ' in ' || r_name from nation join region on r_regionkey = n_regionkey union all
-  select 2, 'brands', p_brand || ': ' || count(*) from part group by p_brand)
+  select 2, 'brands', p_brand || ': ' || count(*) from part group by p_brand union all
+  select 3, 'segments', c_mktsegment || ': ' || count(*) || case when count(*) > 100 then ' (many)' else '' end from customer group by c_mktsegment union all
+  select 4, 'defaults', o_orderpriority || ' = ' || max_by(o_orderstatus, o_orderkey) from orders group by o_orderpriority union all
+  select 5, 'sizes', p_type || ' | ' || string_agg(distinct cast(p_size as varchar), ';' order by cast(p_size as varchar)) from part where p_size < 10 group by p_type)
 select section_no, section, line, cast(row_number() over (partition by section_no order by line) as int) as ord from s
 """)
 def report_sections(t):
     nations = t.nation.join(t.region, F.col("r_regionkey") == F.col("n_regionkey"))
     brands = t.part.groupBy("p_brand").agg(F.count("*").alias("n"))
-    return report.lines([("regions", t.region, F.col("r_name")), ("nations", nations, F.concat_ws(" in ", "n_name", "r_name")), ("brands", brands, F.concat(F.col("p_brand"), F.lit(": "), F.col("n").cast("string")))])
+    return report.lines([("regions", t.region, F.col("r_name")), ("nations", nations, F.concat_ws(" in ", "n_name", "r_name")), ("brands", brands, F.concat(F.col("p_brand"), F.lit(": "), F.col("n").cast("string"))), *_more_sections(t)])
+
+
+def _more_sections(t):
+    segments = t.customer.groupBy("c_mktsegment").agg(F.count("*").alias("n"))
+    many = F.when(F.col("n") > 100, " (many)").otherwise("")
+    defaults = t.orders.groupBy("o_orderpriority").agg(F.max_by("o_orderstatus", "o_orderkey").alias("s"))
+    sizes = t.part.where("p_size < 10").groupBy("p_type").agg(report.joined_set(F.col("p_size").cast("string")).alias("sizes"))
+    return [
+        ("segments", segments, F.concat(F.col("c_mktsegment"), F.lit(": "), F.col("n").cast("string"), many)),
+        ("defaults", defaults, F.concat_ws(" = ", "o_orderpriority", "s")),
+        ("sizes", sizes, F.concat_ws(" | ", "p_type", "sizes")),
+    ]
 
 
 @query("""
