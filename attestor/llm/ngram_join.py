@@ -514,3 +514,21 @@ def _only_own(width: int, clashes: frozenset):
             yield batch.filter(pa.array(mine, pa.bool_()))
 
     return run
+
+
+SQL = r"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+n as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) end as g from d),
+e as (select doc_id, len(g) as n, unnest(g) as t from n),
+p as (
+  select a.doc_id as a, b.doc_id as b, count(*) as c, any_value(a.n) as na, any_value(b.n) as nb
+  from e a join e b on a.t = b.t and a.doc_id < b.doc_id and 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) group by 1, 2),
+l as (select a, b from p where 100 * c >= 80 * (na + nb - c)),
+sides as (select a, b from l union all select b, a from l),
+r as (select doc_id as x, doc_id as y from n union select r.x, sides.b from r join sides on sides.a = r.y),
+m as (select x, min(y) as component_id from r group by x)
+select doc_id, cast(len(g) as bigint) as n_shingles, component_id from n join m on x = doc_id
+"""

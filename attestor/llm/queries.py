@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-from . import exact_dedup
+from . import exact_dedup, ngram_join
 from .common import table
 
 
@@ -28,4 +28,4 @@ QUERIES = {
     "op10_html_extraction": _of("html_wrappers", "main_texts", "pages"),
 }
 
-ORACLE_SQL: dict[str, str] = {"op7_exact_dedup": exact_dedup.SQL}
+ORACLE_SQL: dict[str, str] = {"op5_ngram_jaccard_join": ngram_join.SQL, "op7_exact_dedup": exact_dedup.SQL}

@@ -750,3 +750,17 @@ def test_tables_need_a_shared_folder():
     spark = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(getConf=lambda: conf, master="yarn"))
     with pytest.raises(ValueError):
         common.shared_dir(spark)
+
+
+@pytest.mark.parametrize("name", ["op5_ngram_jaccard_join", "op7_exact_dedup"])
+def test_rows_equal_those_of_the_sql(spark, name):
+    import duckdb
+
+    from attestor.llm.queries import ORACLE_SQL, QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{folder}/documents.parquet'")
+    theirs = con.sql(ORACLE_SQL[name])
+    ours = QUERIES[name](spark, folder).select(*theirs.columns)
+    assert sorted(map(tuple, ours.collect()), key=str) == sorted(theirs.fetchall(), key=str)
