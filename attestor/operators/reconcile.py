@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Sequence
 from difflib import SequenceMatcher
+from itertools import product
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,41 +99,90 @@ def greedy_match(left: DataFrame, right: DataFrame, keys: Sequence[str], order:
     `conflict`, with the columns that differ.  Else it is `reference`; right rows left over are not returned.
 
     What a row takes depends on what earlier ones took, so a task runs through one key; both sides meet in one shuffle.
+    Rows are streamed in Arrow batches: what a task holds is one key's right rows, and a row costs the same however many.
     """
     shown = [*equal, *if_both]
     names = [*keys, *order, *shown]
-    kinds = {c: left.schema[c].dataType.simpleString() for c in names}
     both = left.select(*names).withColumn("_side", F.lit(0)).unionByName(right.select(*names).withColumn("_side", F.lit(1)))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_side", *order]).astype(object)
-        rows = pdf.where(pdf.notna(), None).to_dict("records")
-        free = dict(enumerate(r for r in rows if r["_side"]))
-        index: dict = {}
-        for n, r in free.items():
-            index.setdefault(tuple(r[c] for c in equal), []).append(n)
-        out, first = [], 0
-        for row in (r for r in rows if not r["_side"]):
-            same = index.get(tuple(row[c] for c in equal), [])
-            n = next((n for n in same if all(None in (row[c], free[n][c]) or row[c] == free[n][c] for c in if_both)), None)
-            confidence, differ = "confirmed", ""
-            if n is None and free:
-                while first not in free:
-                    first += 1
-                n, confidence = first, "conflict"
-                differ = ",".join(f"{c}={'' if free[n][c] is None else free[n][c]}" for c in shown if free[n][c] != row[c])
-            if n is None:
-                confidence = "reference"
-            else:
-                taken = free.pop(n)
-                index[tuple(taken[c] for c in equal)].remove(n)
-                if confidence == "confirmed":
-                    row |= {c: taken[c] for c in if_both if row[c] is None}
-            out.append((*(row[c] for c in names), None if n is None else n, confidence, differ))
-        return pd.DataFrame(out, columns=[*names, "taken", "confidence", "differ"])
-
-    schema = ", ".join(f"`{c}` {k}" for c, k in kinds.items()) + ", taken int, confidence string, differ string"
-    return both.groupBy(*keys).applyInPandas(run, schema)
+    first = [*[F.col(c) for c in keys], F.desc("_side"), *[F.asc_nulls_last(c) for c in order]]
+    at = {c: i for i, c in enumerate(names)}
+
+    def run(batches):
+        key, free = None, None
+        for batch in batches:
+            own = list(zip(*(_values(batch.column(at[c]), _NAN) for c in keys), strict=True))
+            same, both_ = (list(zip(*(_values(batch.column(at[c])) for c in some), strict=True)) or [()] * batch.num_rows for some in (equal, if_both))
+            side = batch.column(len(names)).to_pylist()
+            filled, taken, confidence, differ = [], [], [], []
+            for k, s, e, b in zip(own, side, same, both_, strict=True):
+                if free is None or k != key:
+                    key, free = k, _Free()
+                if s:
+                    free.add(e, b)
+                    continue
+                n = free.agreeing(e, b)
+                if n is not None:
+                    filled.append(tuple(y if x is None else x for x, y in zip(b, free.rows[n][1], strict=True)))
+                    confidence.append("confirmed")
+                    differ.append("")
+                else:
+                    n = free.first()
+                    filled.append(b)
+                    confidence.append("reference" if n is None else "conflict")
+                    differ.append("" if n is None else ",".join(f"{c}={'' if y is None else y}" for c, x, y in zip(shown, e + b, sum(free.rows[n], ()), strict=True) if x != y))
+                if n is not None:
+                    free.taken[n] = 1
+                taken.append(n)
+            out = batch.filter(pa.array([not s for s in side], pa.bool_()))
+            columns = [out.column(at[c]) for c in names[: len(names) - len(if_both)]]
+            columns += [pa.array([f[i] for f in filled], out.column(at[c]).type) for i, c in enumerate(if_both)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(taken, pa.int32()), pa.array(confidence, pa.string()), pa.array(differ, pa.string())], [*names, "taken", "confidence", "differ"])
+
+    schema = ", ".join(f"`{c}` {left.schema[c].dataType.simpleString()}" for c in names) + ", taken int, confidence string, differ string"
+    return both.repartition(*keys).sortWithinPartitions(*first).mapInArrow(run, schema)
+
+
+_NAN = float("nan")
+
+
+def _values(column: pa.Array, nan: float | None = None) -> list:
+    """A column's values, with a blank or one and the same object for every NaN."""
+    values = column.to_pylist()
+    return [nan if v != v else v for v in values] if pa.types.is_floating(column.type) else values
+
+
+class _Free:
+    """The right rows of one key in order, those taken, and the free ones by their values."""
+
+    def __init__(self):
+        self.rows, self.taken, self.by, self.least, self._kept = [], bytearray(), {}, 0, {}
+
+    def add(self, equal: tuple, if_both: tuple) -> None:
+        row = (equal, if_both)
+        self.rows.append(self._kept.setdefault(row, row))  # rows alike are one object
+        self.taken.append(0)
+
+    def first(self) -> int | None:
+        at = self.taken.find(0, self.least)
+        self.least = len(self.taken) if at < 0 else at
+        return None if at < 0 else at
+
+    def agreeing(self, equal: tuple, if_both: tuple) -> int | None:
+        """The first free row with the same `equal` and no other value of if_both where both state one."""
+        stated = tuple(i for i, v in enumerate(if_both) if v is not None)
+        if stated not in self.by:  # rows by `equal` and by their own values, or blanks, in the columns that are stated
+            index = self.by[stated] = {}
+            for n, (e, b) in enumerate(self.rows):
+                if not self.taken[n]:
+                    index.setdefault((e, *[b[i] for i in stated]), deque()).append(n)
+        best, index = None, self.by[stated]
+        for values in product(*[(if_both[i], None) for i in stated]):
+            queue = index.get((equal, *values))
+            while queue and self.taken[queue[0]]:
+                queue.popleft()
+            if queue and (best is None or queue[0] < best):
+                best = queue[0]
+        return best
 
 
 def consensus(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:

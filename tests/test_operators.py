@@ -232,6 +232,34 @@ def test_greedy_match_by_brute_force(spark):
     assert kinds == {"confirmed", "conflict", "reference"}
 
 
+def test_greedy_match_of_hot_and_odd_keys(spark):
+    import random
+    import time
+
+    rnd = random.Random(9)
+    side = lambda n: [(rnd.choice([None, 1.5, float("nan")]), rnd.choice([None, *range(40)]), rnd.choice([None, 1, 2]), rnd.choice([None, 5, 6]), rnd.choice([None, 7, 8])) for _ in range(n)]
+    order = lambda r: (repr(r[0]), r[1] is None, r[1] or 0)
+    unique = lambda rows: sorted({order(r): r for r in rows}.values(), key=order)
+    left, right = unique(side(150)), unique(side(130))
+    schema = "k double, o int, e int, x int, y int"
+    match = lambda a, b: reconcile.greedy_match(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema), ["k"], ["o"], ["e"], ["x", "y"]).drop("taken")
+    expected, free = [], [(repr(r[0]), *r[1:]) for r in right]
+    for row in ((repr(r[0]), *r[1:]) for r in left):
+        own = [r for r in free if r[0] == row[0]]
+        met = next((r for r in own if r[2] == row[2] and all(None in p or p[0] == p[1] for p in zip(r[3:], row[3:], strict=True))), None)
+        taken = met or next(iter(own), None)
+        if taken:
+            free.remove(taken)
+        differ = "" if met or not taken else ",".join(f"{c}={'' if a is None else a}" for c, a, b in zip("exy", taken[2:], row[2:], strict=True) if a != b)
+        filled = [a if b is None else b for a, b in zip(met[3:], row[3:], strict=True)] if met else row[3:]
+        expected.append((*row[:3], *filled, "confirmed" if met else "conflict" if taken else "reference", differ))
+    assert sorted(((repr(r[0]), *r[1:]) for r in match(left, right).collect()), key=str) == sorted(expected, key=str)
+    n, began = 40_000, time.perf_counter()  # of one key, where looking through all free rows takes minutes
+    rows = lambda x, y: spark.range(n).selectExpr("1d as k", "int(id) as o", "0 as e", f"{x} as x", f"{y} as y")
+    got = reconcile.greedy_match(rows("int(id)", "int(id)"), rows(f"int({n} - 1 - id)", "int(null)"), ["k"], ["o"], ["e"], ["x", "y"])
+    assert got.where(f"confidence = 'confirmed' and taken = {n} - 1 - o and x = o and y = o").count() == n and time.perf_counter() - began < 60
+
+
 def test_selector_resolution_on_literal_rows(spark):
     from attestor.operators import selectors
 
