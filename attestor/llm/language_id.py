@@ -40,6 +40,8 @@ STEPS = 800
 REJECTED, MARGIN = 0.001, 0.8
 #: Share of wrong labels that calibration allows for, so that separable data don't make every score 1.
 SMOOTH = 0.01
+#: Numbers of the table that are looked up at once.
+LOGITS = 1 << 22
 UND = "und"
 
 
@@ -99,6 +101,11 @@ def bags(buf: np.ndarray, offs: np.ndarray) -> list[tuple[np.ndarray, np.ndarray
     return [np.unique(np.concatenate([h[at[i] : at[i + 1]] for h, at in found]), return_counts=True) for i in range(len(offs) - 1)]
 
 
+def bags_in_slices(buf: np.ndarray, offs: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """bags(), a slice of rows at a time: a batch's subwords are some seventy times its bytes."""
+    return [bag for *_, b, o in slices(buf, offs, SLICE_BYTES) for bag in bags(b, o)]
+
+
 def _softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(1, keepdims=True))
     return e / e.sum(1, keepdims=True)
@@ -169,7 +176,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
 
     def packed(batches):
         for batch in batches:
-            found = bags(*text_rows(batch.column(2)))
+            found = bags_in_slices(*text_rows(batch.column(2)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([b for b, _ in found], pa.list_(pa.int32())), pa.array([n for _, n in found], pa.list_(pa.int32()))], ["lang", "h", "bucket", "n"])
 
     rows = rows.select("lang", "h", "text", "fits")
@@ -181,7 +188,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
 
     def scored(batches):
         for batch in batches:
-            z, letters = logits(shared.value, *text_rows(batch.column(2)))
+            z, letters = logits_in_slices(shared.value, *text_rows(batch.column(2)))
             keep = pa.array(letters > 0)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep), pa.array(list(z[letters > 0]), pa.list_(pa.float64()))], ["lang", "h", "z"])
 
@@ -205,14 +212,22 @@ def logits(model: Model, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray,
     """The languages' logits before the temperature, and the letters of each row."""
     found, letters = subwords(buf, offs)
     total, n = np.zeros((len(offs) - 1, len(model.langs))), np.zeros(len(offs) - 1)
+    most = max(1, LOGITS // len(model.langs))
     for bucket, at in found:
-        rows = np.flatnonzero(at[1:] > at[:-1])
-        if len(rows):
-            total[rows] += np.add.reduceat(model.table[bucket], at[rows])
-            n += np.diff(at)
+        for a in range(0, len(bucket), most):
+            part = np.clip(at - a, 0, min(most, len(bucket) - a))
+            rows = np.flatnonzero(part[1:] > part[:-1])
+            total[rows] += np.add.reduceat(model.table[bucket[a : a + most]], part[rows])
+        n += np.diff(at)
     return total / np.maximum(n, 1)[:, None] + model.bias, letters
 
 
+def logits_in_slices(model: Model, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """logits(), a slice of rows at a time."""
+    z, letters = zip((np.zeros((0, len(model.langs))), np.zeros(0, np.int64)), *(logits(model, b, o) for *_, b, o in slices(buf, offs, SLICE_BYTES)), strict=True)
+    return np.concatenate(z), np.concatenate(letters)
+
+
 def scores(model: Model, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Index of the language, score, and letters of each row."""
     z, letters = logits(model, buf, offs)

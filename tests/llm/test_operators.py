@@ -627,6 +627,28 @@ def test_exact_lists_of_any_size(spark, monkeypatch):
     assert {r["doc_id"] for r in rows if (r["src"], r["print"]) in met} == {0, 2, 5, 6, 7}
 
 
+def test_language_id_looks_at_a_batch_in_slices():
+    import tracemalloc
+
+    rnd = np.random.default_rng(5)
+    letters = np.frombuffer(b"abcdefghijklmnop qrst uv ", np.uint8)
+    texts = [letters[rnd.integers(0, len(letters), 4000)].tobytes() for _ in range(1000)] + [b"", b"a", letters[rnd.integers(0, len(letters), 90_000)].tobytes()]
+    buf, offs = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    width = len(language_id.WIDTHS) * language_id.BUCKETS
+    model = language_id.Model([f"l{i}" for i in range(200)], rnd.normal(size=(width, 200)).astype(np.float32), np.zeros(200), 1.0, 0.0)
+    for whole, sliced in ((language_id.bags, language_id.bags_in_slices), (lambda b, o: language_id.logits(model, b, o), lambda b, o: language_id.logits_in_slices(model, b, o))):
+        tracemalloc.start()
+        got = sliced(buf, offs)
+        kept, most = tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        assert most - kept < 80e6  # a batch of 4 MB
+        few = offs[:20]
+        expected = whole(buf[: few[-1]], few)
+        assert all(np.allclose(a, b) for x, y in zip(got[:19], expected, strict=False) for a, b in zip(np.atleast_1d(x), np.atleast_1d(y), strict=True)) if isinstance(got, list) else all(np.allclose(a[:19], b) for a, b in zip(got, expected, strict=True))
+    for z, n in (language_id.logits_in_slices(model, buf[:0], np.zeros(k, np.int64)) for k in (1, 3)):
+        assert len(z) == len(n) and np.isfinite(z).all()
+
+
 def test_language_id_of_few_ids_and_none(spark):
     rows = [(7, f"das ist ein schöner text nummer {'abcdefghij'[i % 10]}", "de") for i in range(3000)] + [(7, f"this is a fine text of number {'klmnopqrst'[i % 10]}", "en") for i in range(3000)]
     got = language_id.language_predictions(spark.createDataFrame(rows, "doc_id long, text string, lang string")).groupBy("lang_pred").count().collect()
