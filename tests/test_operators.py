@@ -182,6 +182,20 @@ def test_dont_care_overlap_has_all_pairs_of_a_brand(spark, tmp_path):
     assert got == {("A", 1, 500, "1000", "101x", False), ("A", 1, 9000, "1000", "1010", False), ("A", 500, 9000, "101x", "1010", True)}
 
 
+def test_dont_care_overlap_keeps_odd_rows_and_shuffles_no_pair(spark, tmp_path):
+    import duckdb
+
+    from attestor.plans.catalogue import ORACLE_SQL, QUERIES
+
+    rows = [(1, "A", 3), (2, "A", None), (2, "A", 5), (3, "A", -3), (3, "A", 3), (None, "A", 3), (4, None, 3), (5, None, 3), (9, "B", 1)] + [(100 + i, "C", i) for i in range(200)]
+    spark.createDataFrame(rows, "p_partkey long, p_brand string, p_size int").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    got = QUERIES["dont_care_overlap"](spark, f"file://{tmp_path}")
+    theirs = duckdb.sql(ORACLE_SQL["dont_care_overlap"].replace("from part)", f"from '{tmp_path}/part.parquet/*.parquet')"))
+    assert sorted(map(tuple, got.select(*theirs.columns).collect()), key=str) == sorted(theirs.fetchall(), key=str)
+    tasks = got.select(F.spark_partition_id().alias("task")).groupBy("task").count().collect()
+    assert len(tasks) == 4 and max(r["count"] for r in tasks) < 2 * min(r["count"] for r in tasks)  # one task for small tables before
+
+
 def test_spread_offset_equals_the_running_sum(spark):
     rows = [(g, o, (g or 7) * o % 11) for g in (1, 2, None) for o in range(60)]
     df = spark.createDataFrame(rows, "g int, o int, n int").repartition(5)
