@@ -2,10 +2,14 @@
 
 Text reaches numpy as the UTF-8 bytes of an Arrow batch, in slices of a quarter of a megabyte, so that memory does not
 depend on how many rows a batch or a partition holds.  One document is never cut: a slice holds at least one row.
+
+Spark keeps a Python worker for later tasks, and with it whatever Arrow and the C library hold on to of the memory that
+it no longer uses; after every large batch and at a task's end it goes back to the system.
 """
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import tempfile
 import uuid
@@ -33,6 +37,28 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return this process's unused memory to the system, Arrow's and, where the C library can, malloc's."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
+def lean(run):
+    """The function of a mapInArrow, whose workers give back at the end of a task what it took."""
+
+    def lean_run(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return lean_run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -86,6 +112,8 @@ def slices(buf: np.ndarray, offs: np.ndarray, most: int = SLICE_BYTES):
         to = max(at + 1, int(np.searchsorted(offs, offs[at] + most, "right")) - 1)
         yield at, to, buf[offs[at] : offs[to]], offs[at : to + 1] - offs[at]
         at = to
+    if n and offs[-1] > SLICE_BYTES:
+        give_back()
 
 
 #: Spans of up to so many bytes are hashed in numpy, eight bytes at a time; the few longer ones by BLAKE2b.

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, cut, fresh, possible, slices, small_batches, spread_join, text_rows
+from .common import SPACES, cut, fresh, lean, possible, slices, small_batches, spread_join, text_rows
 
 OWNERS = 64
 #: Fingerprints that a task holds before it sends them; what follows in its partition counts as another source.
@@ -152,11 +152,11 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, keep_id, group_size, kept and text_sha256 of every row of docs (doc_id, text); row and h tell rows apart."""
     docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
     owners = max(OWNERS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    found = cut(docs.mapInArrow(_send(owners), ", ".join(f"{f.name} {_KINDS[f.type]}" for f in _FOUND)), "exact-prints")
+    found = cut(docs.mapInArrow(lean(_send(owners)), ", ".join(f"{f.name} {_KINDS[f.type]}" for f in _FOUND)), "exact-prints")
     rows = found.where("kind = 0").select("doc_id", "row", "h", "text_sha256", "n_chars", "src", "print")
     lists = found.where("kind = 1").select("src", "owner", "payload", "again")
-    bitmaps = lists.select("src", "owner", "payload").repartition(owners, "owner").mapInArrow(_own, "src long, owner int, bitmap binary")
-    marked = lists.join(bitmaps, ["src", "owner"]).select("src", "payload", "again", "bitmap").mapInArrow(_marked, "src long, print long")
+    bitmaps = lists.select("src", "owner", "payload").repartition(owners, "owner").mapInArrow(lean(_own), "src long, owner int, bitmap binary")
+    marked = lists.join(bitmaps, ["src", "owner"]).select("src", "payload", "again", "bitmap").mapInArrow(lean(_marked), "src long, print long")
     suspects = rows.select("src", "print", "doc_id", "h", "row", "n_chars").join(marked, ["src", "print"], "left_semi")
     suspects = cut(suspects.groupBy("doc_id", "h").agg(F.min("row").alias("row"), F.min("n_chars").alias("n_chars")), "exact-suspects")
     texts = possible(docs, "h", suspects.select("h"))[0].alias("d").join(suspects.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.h") == F.col("s.h")))

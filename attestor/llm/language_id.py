@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .byte_bpe import LETTER, byte_classes
-from .common import SLICE_BYTES, slices, small_batches, text_rows
+from .common import SLICE_BYTES, lean, slices, small_batches, text_rows
 
 #: Labelled texts that the classifier is fitted on, that it is calibrated on, and languages that it tells apart, at most.
 SAMPLE, CALIBRATION, MOST_LANGS = 2400, 6000, 500
@@ -180,7 +180,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([b for b, _ in found], pa.list_(pa.int32())), pa.array([n for _, n in found], pa.list_(pa.int32()))], ["lang", "h", "bucket", "n"])
 
     rows = rows.select("lang", "h", "text", "fits")
-    fitted = rows.where("fits").drop("fits").mapInArrow(packed, "lang string, h long, bucket array<int>, n array<int>").orderBy("h").limit(2 * sample).toArrow()
+    fitted = rows.where("fits").drop("fits").mapInArrow(lean(packed), "lang string, h long, bucket array<int>, n array<int>").orderBy("h").limit(2 * sample).toArrow()
     model = fit(list(zip(rows_of(fitted["bucket"]), rows_of(fitted["n"]), strict=True)), fitted["lang"].to_pylist())
     if model is None:
         return None
@@ -193,7 +193,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep), pa.array(list(z[letters > 0]), pa.list_(pa.float64()))], ["lang", "h", "z"])
 
     most = max(1, min(2 * CALIBRATION, 4_000_000 // len(model.langs)))
-    left = rows.where("not fits").drop("fits").mapInArrow(scored, "lang string, h long, z array<double>").orderBy("h").limit(most).toArrow()
+    left = rows.where("not fits").drop("fits").mapInArrow(lean(scored), "lang string, h long, z array<double>").orderBy("h").limit(most).toArrow()
     z = rows_of(left["z"])
     calibrate(model, np.stack(z) if z else np.zeros((0, len(model.langs))), left["lang"].to_pylist())
     return model

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, possible, shingles, slices, small_batches, text_rows
+from .common import cut, lean, possible, shingles, slices, small_batches, text_rows
 
 #: The commonest shingles that are broadcast to order the rest, at most.
 COMMON = 1 << 16
@@ -73,8 +73,12 @@ def _repeated(width: int):
         held, n = [], 0
 
         def flush():
-            tokens, counts = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(tokens[counts > 1].astype(np.int64)), pa.array(counts[counts > 1])], ["token", "n"])
+            tokens = np.concatenate(held)
+            held.clear()
+            tokens.sort()  # in place, and only repeated ones are indexed: numpy.unique takes several times the tokens' memory
+            edge = np.diff(np.concatenate([[False], tokens[1:] == tokens[:-1], [False]]).view(np.int8))
+            first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+            return pa.RecordBatch.from_arrays([pa.array(tokens[first].astype(np.int64)), pa.array(last - first + 1)], ["token", "n"])
 
         for batch in batches:
             buf, offs = text_rows(batch.column(0))
@@ -84,7 +88,7 @@ def _repeated(width: int):
                     n += len(own)
                     if n > 2_000_000:
                         yield flush()
-                        held, n = [], 0
+                        n = 0
         if held:
             yield flush()
 
@@ -93,7 +97,7 @@ def _repeated(width: int):
 
 def common_tokens(docs: DataFrame, width: int) -> np.ndarray:
     """The commonest tokens, COMMON at most, with their rank by count."""
-    counts = cut(docs.select("text").mapInArrow(_repeated(width), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where("n >= 8"), "ngram-common")
+    counts = cut(docs.select("text").mapInArrow(lean(_repeated(width)), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where("n >= 8"), "ngram-common")
     steps = sorted((r for r in counts.groupBy(F.floor(F.log2("n") * 4).alias("step")).count().collect()), key=lambda r: -r["step"])
     least, total = None, 0
     for r in steps:
@@ -141,7 +145,7 @@ def documents_as_nodes(docs: DataFrame, width: int = 5) -> DataFrame:
             columns = [batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(check, pa.int64()), pa.array(maps, pa.binary()), pa.array(excess, pa.int32()), pa.array(wide, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "node", "check", "bitmap", "excess", "wide"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, node long, check long, bitmap binary, excess int, wide binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(run), "doc_id long, n long, node long, check long, bitmap binary, excess int, wide binary")
 
 
 def _prefixes(width: int, common, clashes: frozenset):
@@ -424,7 +428,7 @@ def components(edges: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
     """
     edges = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "stars")
     if edges.count() <= one_task:
-        return cut(edges.coalesce(1).mapInArrow(_forest, "node long, root long"), "forest")
+        return cut(edges.coalesce(1).mapInArrow(lean(_forest), "node long, root long"), "forest")
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -451,8 +455,8 @@ def ngram_components(docs: DataFrame, width: int = 5) -> DataFrame:
         nodes = nodes.withColumn("node", F.when(F.col("node").isin(*clashes), F.col("node").bitwiseXOR(F.col("check"))).otherwise(F.col("node")))
     classes = nodes.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"))
     common = spark.sparkContext.broadcast(common_tokens(docs, width))
-    rows = docs.select("text").mapInArrow(_prefixes(width, common, clashes), "token long, part int, node long, n int, rest int")
-    met = cut(rows.repartition("token", "part").mapInArrow(_meet, "kind int, token long, node long, rest int, other long"), "ngram-met")
+    rows = docs.select("text").mapInArrow(lean(_prefixes(width, common, clashes)), "token long, part int, node long, n int, rest int")
+    met = cut(rows.repartition("token", "part").mapInArrow(lean(_meet), "kind int, token long, node long, rest int, other long"), "ngram-met")
     shared, first = met.where("kind = 0").select("token", "node", "rest"), met.where("kind = 1").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
 
     maps = nodes.where("bitmap is not null").select("node", F.col("n").cast("int").alias("n"), "bitmap", "excess")
@@ -463,7 +467,7 @@ def ngram_components(docs: DataFrame, width: int = 5) -> DataFrame:
         def side(x):
             return maps.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("excess").alias(f"e{x}"), F.col("bitmap").alias(f"m{x}"))
 
-        may = cut(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ea", "eb", "ma", "mb").mapInArrow(_plausible, "a long, b long"), "ngram-pairs")
+        may = cut(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ea", "eb", "ma", "mb").mapInArrow(lean(_plausible), "a long, b long"), "ngram-pairs")
         taking_part = may.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         taking_part = cut(taking_part, "ngram-part")
         wide = nodes.where("bitmap is not null").select("node", "n", F.coalesce("wide", "bitmap").alias("wide"))
@@ -472,12 +476,12 @@ def ngram_components(docs: DataFrame, width: int = 5) -> DataFrame:
         def broad(x):
             return wide.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("wide").alias(f"w{x}"))
 
-        may = cut(may.join(broad("a"), "a").join(broad("b"), "b").select("a", "b", "na", "nb", "wa", "wb").mapInArrow(_plausible_wide, "a long, b long"), "ngram-pairs")
+        may = cut(may.join(broad("a"), "a").join(broad("b"), "b").select("a", "b", "na", "nb", "wa", "wb").mapInArrow(lean(_plausible_wide), "a long, b long"), "ngram-pairs")
         read = cut(may.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(classes, "node"), "ngram-read")
         own = possible(docs, "doc_id", read.select("rep"))[0].alias("d").join(read.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.rep"))).select("node", "text")
-        texts = cut(own.mapInArrow(_only_own(width, clashes), "node long, text string"), "ngram-texts")
+        texts = cut(own.mapInArrow(lean(_only_own(width, clashes)), "node long, text string"), "ngram-texts")
         sides = may.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
-        return cut(sides.select("a", "b", "ta", "tb").mapInArrow(_linked(width), "a long, b long"), "ngram-links")
+        return cut(sides.select("a", "b", "ta", "tb").mapInArrow(lean(_linked(width)), "a long, b long"), "ngram-links")
 
     def met_in_trees(roots: DataFrame, every: bool) -> DataFrame:
         """Candidates between components; of tokens with the same nodes, one stands for all."""
@@ -486,7 +490,7 @@ def ngram_components(docs: DataFrame, width: int = 5) -> DataFrame:
         mixed = marked.groupBy("token").agg(*print_).where("c0 <> c1").groupBy("g", "x", "s").agg(F.min("token").alias("token")).select("token", F.ceil(F.col("g") / BLOCK).cast("int").alias("nb"))
         dealt = marked.join(mixed, "token").withColumn("block", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
         dealt = dealt.join(maps, "node").select("token", F.least("block", "j").alias("bi"), F.greatest("block", "j").alias("bj"), "block", "node", "comp", "rest", "n", "bitmap", "excess")
-        return dealt.repartition("token", "bi", "bj").mapInArrow(_search(every), "a long, b long").distinct()
+        return dealt.repartition("token", "bi", "bj").mapInArrow(lean(_search(every)), "a long, b long").distinct()
 
     links = linked(first)
     roots = components(links)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .byte_bpe import Encoder, Ranks, default_path, read_ranks
-from .common import cut, slices, small_batches, text_rows
+from .common import cut, lean, slices, small_batches, text_rows
 
 LENGTH, END = 1024, 2
 #: The tokenizer file takes this string inside a text for its special token.
@@ -83,7 +83,7 @@ def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH, end:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(item, item + n)), batch.column(0).take(pa.array(which, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(size, pa.int64()), pa.array(crc, pa.int64())], ["item", "doc_id", "piece", "start", "length", "ids_crc32"])
             item += n
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "item long, doc_id long, piece int, start long, length long, ids_crc32 long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(run), "item long, doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -140,7 +140,7 @@ def pack(items: DataFrame, length: int = LENGTH, group: int = GROUP, slack: int
         groups = max(1, -(-n // group))
         least = length - slack if groups > 1 else 0
         dealt = left.withColumn("group", F.pmod(F.xxhash64("item", F.lit(len(rounds))), F.lit(groups)).cast("int"))
-        done = cut(dealt.select("group", "item", "size").repartition(min(groups, 16384), "group").mapInArrow(_round(len(rounds) + 1, length, least), "item long, bin long, place long, total long, full boolean"), "pack")
+        done = cut(dealt.select("group", "item", "size").repartition(min(groups, 16384), "group").mapInArrow(lean(_round(len(rounds) + 1, length, least)), "item long, bin long, place long, total long, full boolean"), "pack")
         rounds.append(done)
         if groups == 1:
             break

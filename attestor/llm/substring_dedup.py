@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fresh, runs_hash, slices, small_batches, spans_hash, spread_join, text_rows, words
+from .common import cut, fresh, lean, runs_hash, slices, small_batches, spans_hash, spread_join, text_rows, words
 
 MIN_WORDS, LINE_WORDS = 25, 8
 _LAST = (1 << 63) - 1
@@ -140,7 +140,7 @@ def remove_repeats(docs: DataFrame, out: str, min_words: int = MIN_WORDS) -> Dat
     """docs with text cut, and a struct of n_removed, removed_chars, removed ('start+length<first document', by ';')."""
     rank, h, r, g, places, firsts = fresh(docs.withColumn(out, F.lit(0)), "rank", "hash", "r", "g", "places", "firsts")
     keyed = small_batches(docs).withColumn(rank, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))).withColumn(h, F.xxhash64(F.coalesce("text", F.lit(""))))
-    rows = cut(keyed.select(rank, h, "text").mapInArrow(_units, "rank long, h long, place int, d1 long, d2 int"), "units")
+    rows = cut(keyed.select(rank, h, "text").mapInArrow(lean(_units), "rank long, h long, place int, d1 long, d2 int"), "units")
     groups = cut(rows.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min("rank").alias("first")).where("n > 1"), "unit-groups")
     marks = spread_join(rows, groups, ["d1", "d2"], rows.count()).where("rank <> first").select("rank", "h", "place", "first")
     lists = marks.groupBy("rank", "h").agg(F.array_sort(F.collect_set(F.struct("place", "first"))).alias("marks"))

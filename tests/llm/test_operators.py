@@ -3,10 +3,14 @@
 import hashlib
 import random
 import re
+import subprocess
+import sys
+import tracemalloc
 import unicodedata
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -786,3 +790,60 @@ def test_rows_equal_those_of_the_sql(spark, name):
     theirs = con.sql(ORACLE_SQL[name])
     ours = QUERIES[name](spark, folder).select(*theirs.columns)
     assert sorted(map(tuple, ours.collect()), key=str) == sorted(theirs.fetchall(), key=str)
+
+
+#: A worker in small: three batches of 16 MB, of which nothing is kept; prints by how many MB its own memory has grown.
+WORKER = """
+import re
+import pyarrow as pa
+from attestor.llm import substring_dedup
+
+def own():
+    return sum(map(int, re.findall(r"Pss_(?:Anon|Shmem):\\s+(\\d+)", open("/proc/self/smaps_rollup").read()))) / 1024
+
+def batches(n):
+    for i in range(n):
+        texts = pa.array(" ".join(f"w{(i * 8000 + j) * 257 + k}" for k in range(250)) + "." for j in range(8000))
+        yield pa.record_batch([pa.array(range(8000)), pa.array(range(8000)), texts], ["rank", "h", "text"])
+
+sum(b.num_rows for b in substring_dedup._units(b.slice(0, 1) for b in batches(1)))
+before = own()
+sum(b.num_rows for b in substring_dedup._units(batches(3)))
+print(own() - before)
+"""
+
+
+@pytest.mark.skipif(not common._trim or not sys.platform.startswith("linux"), reason="what a process holds can't be told or returned here")
+def test_workers_give_back_what_large_batches_took():
+    run = subprocess.run([sys.executable, "-c", WORKER], capture_output=True, text=True, cwd=common.__file__.rsplit("/attestor/", 1)[0], check=True)
+    assert float(run.stdout) < 4, run.stdout
+
+
+def test_tasks_give_back_at_their_end_however_they_end(monkeypatch):
+    calls = []
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(1))
+    assert list(common.lean(lambda batches: (2 * b for b in batches))([1, 2])) == [2, 4] and calls == [1]
+    stopped = common.lean(iter)([1, 2])
+    next(stopped)
+    stopped.close()
+    assert calls == [1, 1]
+    with pytest.raises(ZeroDivisionError):
+        list(common.lean(lambda batches: (1 // b for b in batches))([0]))
+    assert calls == [1, 1, 1]
+
+
+def test_repeated_tokens_of_a_batch_take_little_memory(monkeypatch):
+    rnd = np.random.default_rng(1)
+    sets = [np.unique(rnd.integers(0, 3_000_000, 1000, dtype=np.uint64)) for _ in range(2500)]
+    monkeypatch.setattr(ngram_join, "_sets", lambda b, o, width: (sets[i] for i in range(len(o) - 1)))
+    batch = pa.record_batch([pa.array(["x"] * len(sets))], ["text"])
+    tracemalloc.start()
+    got = list(ngram_join._repeated(5)([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got) == 2 and peak < 60e6, peak
+    at, wanted = int(np.searchsorted(np.cumsum([len(x) for x in sets]), 2_000_000, "right")) + 1, []
+    for part in (sets[:at], sets[at:]):
+        tokens, counts = np.unique(np.concatenate(part), return_counts=True)
+        wanted.append((tokens[counts > 1].tolist(), counts[counts > 1].tolist()))
+    assert [(b.column(0).to_pylist(), b.column(1).to_pylist()) for b in got] == wanted
